@@ -9,9 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators import clean, reports
+from mercato.operators import clean, diff, reports
+from mercato.plans import diff_job
 from mercato.plans import oracle_sql as osql
-from mercato.sources import testdata
+from mercato.sources import snapshots, testdata
+
+# Run label of the registered diff checks (the jobs stamp the current time).
+RUN_TS = osql.RUN_TS
+TOL = osql.DIFF_TOLERANCE
 
 
 def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +58,87 @@ def statistical_profile(spark, sf_dir):
     return reports.statistical_profile(_delivered(spark, sf_dir))
 
 
+def _orders_comparison(spark, sf_dir, **kw) -> diff.Comparison:
+    control, target = testdata.orders_diff_pair(spark, sf_dir)
+    return diff.compare_tables(control, target, "orders", tolerance=TOL, run_timestamp=RUN_TS, **kw)
+
+
+def diff_missing(spark, sf_dir):
+    return _orders_comparison(spark, sf_dir).missing
+
+
+def diff_new(spark, sf_dir):
+    return _orders_comparison(spark, sf_dir).new
+
+
+def diff_multiplicity(spark, sf_dir):
+    return _orders_comparison(spark, sf_dir).changed
+
+
+def diff_result(spark, sf_dir):
+    return _orders_comparison(spark, sf_dir).result
+
+
+def diff_rounded(spark, sf_dir):
+    return _orders_comparison(spark, sf_dir, precision=osql.ROUND_PRECISION).result
+
+
+def diff_stringified(spark, sf_dir):
+    control, target = testdata.orders_diff_pair(spark, sf_dir)
+    return diff.compare_tables(diff.stringify(control), diff.stringify(target), "orders",
+                               tolerance=TOL, run_timestamp=RUN_TS).result
+
+
+def _register_pairs(spark, sf_dir) -> list[tuple[str, str]]:
+    pairs = []
+    for name, pair in (("orders", testdata.orders_diff_pair), ("customer", testdata.customer_diff_pair)):
+        control, target = pair(spark, sf_dir)
+        control.createOrReplaceTempView(f"{name}_control")
+        target.createOrReplaceTempView(f"{name}_target")
+        pairs.append((f"{name}_control", f"{name}_target"))
+    return pairs
+
+
+def diff_multi_table(spark, sf_dir):
+    comps = diff_job.compare_catalog_pairs(spark, _register_pairs(spark, sf_dir), tolerance=TOL,
+                                           run_timestamp=RUN_TS)
+    return diff_job.results_frame(comps)
+
+
+def diff_summary(spark, sf_dir):
+    return diff_job.run_summary(diff_multi_table(spark, sf_dir), TOL, run_timestamp=RUN_TS)
+
+
+def diff_directories(spark, sf_dir):
+    tables = [f"{t}.parquet" for t in osql.DIRECTORY_TABLES]
+    comps = diff_job.compare_directories(spark, tables, sf_dir, sf_dir, "parquet", tolerance=TOL,
+                                         run_timestamp=RUN_TS)
+    return diff_job.results_frame(comps)
+
+
+def snapshot_ancestors(spark, sf_dir):
+    return snapshots.ancestors(testdata.orders_history(spark, sf_dir).lineage)
+
+
+def common_ancestor(spark, sf_dir):
+    history = testdata.orders_history(spark, sf_dir)
+    ctrl, tgt = testdata.history_pair(spark, sf_dir)
+    return snapshots.common_ancestor(history.lineage, history.name, ctrl, tgt)
+
+
+def changelog(spark, sf_dir):
+    history = testdata.orders_history(spark, sf_dir)
+    ctrl, tgt = testdata.history_pair(spark, sf_dir)
+    control_changes, _, _ = snapshots.cdc_views(history, ctrl, tgt)
+    return control_changes
+
+
+def cdc_diff(spark, sf_dir):
+    history = testdata.orders_history(spark, sf_dir)
+    ctrl, tgt = testdata.history_pair(spark, sf_dir)
+    return snapshots.compare_snapshots(history, ctrl, tgt, tolerance=TOL, run_timestamp=RUN_TS).result
+
+
 QUERIES = {
     "validated_orders": validated_orders,
     "revenue_analysis": revenue_analysis,
@@ -62,6 +148,19 @@ QUERIES = {
     "daily_sales_moving_avg": daily_sales_moving_avg,
     "cohort_retention": cohort_retention,
     "statistical_profile": statistical_profile,
+    "diff_missing": diff_missing,
+    "diff_new": diff_new,
+    "diff_multiplicity": diff_multiplicity,
+    "diff_result": diff_result,
+    "diff_rounded": diff_rounded,
+    "diff_stringified": diff_stringified,
+    "diff_multi_table": diff_multi_table,
+    "diff_summary": diff_summary,
+    "diff_directories": diff_directories,
+    "snapshot_ancestors": snapshot_ancestors,
+    "common_ancestor": common_ancestor,
+    "changelog": changelog,
+    "cdc_diff": cdc_diff,
 }
 
-ORACLE_SQL = dict(osql.REPORT_SQL)
+ORACLE_SQL = {**osql.REPORT_SQL, **osql.DIFF_SQL}

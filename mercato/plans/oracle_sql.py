@@ -259,3 +259,185 @@ REPORT_SQL = {
     "cohort_retention": COHORT_RETENTION,
     "statistical_profile": STATISTICAL_PROFILE,
 }
+
+
+# ------------------------------------------------------------------ diffs
+RUN_TS = "1970-01-01T00:00:00"
+ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+ORDERS_PAIR = """
+control AS (SELECT * FROM orders),
+kept AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+         CASE WHEN o_orderkey % 97 = 0 THEN o_totalprice + CAST(0.01 AS DOUBLE) ELSE o_totalprice END AS o_totalprice,
+         o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderkey % 101 <> 0
+),
+target AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE o_orderkey % 103 = 0)"""
+
+CUSTOMER_PAIR = """
+control AS (SELECT * FROM customer),
+target AS (SELECT * FROM customer WHERE c_custkey % 89 <> 0)"""
+
+
+def _rounded(rel: str, cols: list[str], fractional: set[str], precision: int) -> str:
+    sel = ", ".join(
+        f"CAST(CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,{precision})) AS {c}" if c in fractional else c
+        for c in cols)
+    return f"SELECT {sel} FROM {rel}"
+
+
+def _stringified(rel: str, cols: list[str]) -> str:
+    return f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in cols)} FROM {rel}"
+
+
+def diff_record(table_name: str, pair_ctes: str, tolerance: float, control: str = "control",
+                target: str = "target", prefix: str = "") -> str:
+    """The per-table result record, computed the way the contract describes it:
+    two EXCEPTs, and when the counts differ the EXCEPT of the grouped counts."""
+    p = prefix
+    return f"""
+{p}cc AS (SELECT COUNT(*) AS n FROM {control}),
+{p}tc AS (SELECT COUNT(*) AS n FROM {target}),
+{p}miss AS (SELECT COUNT(*) AS n FROM (SELECT * FROM {control} EXCEPT SELECT * FROM {target})),
+{p}new AS (SELECT COUNT(*) AS n FROM (SELECT * FROM {target} EXCEPT SELECT * FROM {control})),
+{p}gc AS (SELECT *, COUNT(*) AS __n FROM {control} GROUP BY ALL),
+{p}gt AS (SELECT *, COUNT(*) AS __n FROM {target} GROUP BY ALL),
+{p}gmiss AS (SELECT COUNT(*) AS n FROM (SELECT * FROM {p}gc EXCEPT SELECT * FROM {p}gt)),
+{p}gnew AS (SELECT COUNT(*) AS n FROM (SELECT * FROM {p}gt EXCEPT SELECT * FROM {p}gc)),
+{p}dc AS (SELECT COUNT(*) AS n FROM {p}gc),
+{p}rec AS (
+  SELECT '{table_name}' AS table_name, cc.n AS control_count, tc.n AS target_count,
+         miss.n AS missing_rows_count, new.n AS new_rows_count,
+         miss.n + new.n AS total_differences,
+         CAST({tolerance!r} AS DOUBLE) AS tolerance,
+         CAST({tolerance!r} AS DOUBLE) * cc.n AS tolerance_threshold,
+         (CAST(miss.n + new.n AS DOUBLE) <= CAST({tolerance!r} AS DOUBLE) * cc.n)
+           AND (cc.n = tc.n OR CAST(gmiss.n + gnew.n AS DOUBLE) <= CAST({tolerance!r} AS DOUBLE) * dc.n) AS passed,
+         '{RUN_TS}' AS timestamp,
+         CASE WHEN cc.n <> tc.n THEN true END AS grouped_comparison,
+         CASE WHEN cc.n <> tc.n THEN gmiss.n + gnew.n END AS grouped_differences,
+         CAST(NULL AS VARCHAR) AS grouped_comparison_error
+  FROM {p}cc cc, {p}tc tc, {p}miss miss, {p}new new, {p}gmiss gmiss, {p}gnew gnew, {p}dc dc
+)"""
+
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
+
+
+DIFF_TOLERANCE = 0.05
+ROUND_PRECISION = 1
+
+DIFF_MISSING = _with(ORDERS_PAIR) + "SELECT * FROM control EXCEPT SELECT * FROM target"
+DIFF_NEW = _with(ORDERS_PAIR) + "SELECT * FROM target EXCEPT SELECT * FROM control"
+_ON = " AND ".join(f"c.{c} IS NOT DISTINCT FROM t.{c}" for c in ORDERS_COLS)
+DIFF_MULTIPLICITY = _with(
+    ORDERS_PAIR,
+    f"c AS (SELECT {', '.join(ORDERS_COLS)}, COUNT(*) AS control_n FROM control GROUP BY ALL)",
+    f"t AS (SELECT {', '.join(ORDERS_COLS)}, COUNT(*) AS target_n FROM target GROUP BY ALL)",
+) + f"SELECT c.*, t.target_n FROM c JOIN t ON {_ON} WHERE c.control_n <> t.target_n"
+
+DIFF_RESULT = _with(ORDERS_PAIR, diff_record("orders", "", DIFF_TOLERANCE)) + "SELECT * FROM rec"
+
+DIFF_ROUNDED = _with(
+    ORDERS_PAIR,
+    f"rc AS ({_rounded('control', ORDERS_COLS, {'o_totalprice'}, ROUND_PRECISION)})",
+    f"rt AS ({_rounded('target', ORDERS_COLS, {'o_totalprice'}, ROUND_PRECISION)})",
+    diff_record("orders", "", DIFF_TOLERANCE, "rc", "rt"),
+) + "SELECT * FROM rec"
+
+DIFF_STRINGIFIED = _with(
+    ORDERS_PAIR,
+    f"sc AS ({_stringified('control', ORDERS_COLS)})",
+    f"st AS ({_stringified('target', ORDERS_COLS)})",
+    diff_record("orders", "", DIFF_TOLERANCE, "sc", "st"),
+) + "SELECT * FROM rec"
+
+# Catalog mode over two view pairs (D2): orders and customer.
+_MULTI_CTES = [
+    ORDERS_PAIR.replace("control AS", "o_control AS").replace("target AS", "o_target AS")
+               .replace("FROM kept", "FROM o_kept").replace("kept AS", "o_kept AS"),
+    diff_record("orders_control", "", DIFF_TOLERANCE, "o_control", "o_target", prefix="o_"),
+    CUSTOMER_PAIR.replace("control AS", "c_control AS").replace("target AS", "c_target AS"),
+    diff_record("customer_control", "", DIFF_TOLERANCE, "c_control", "c_target", prefix="c_"),
+]
+DIFF_MULTI_TABLE = _with(*_MULTI_CTES) + "SELECT * FROM o_rec UNION ALL SELECT * FROM c_rec"
+
+DIFF_SUMMARY = _with(*_MULTI_CTES, "res AS (SELECT * FROM o_rec UNION ALL SELECT * FROM c_rec)") + f"""
+SELECT '{RUN_TS}' AS comparison_timestamp, COUNT(*) AS total_tables,
+       CAST(count_if(passed) AS BIGINT) AS passed_tables, CAST(count_if(NOT passed) AS BIGINT) AS failed_tables,
+       'N/A' AS control_root, 'N/A' AS target_root, CAST({DIFF_TOLERANCE!r} AS DOUBLE) AS tolerance
+FROM res"""
+
+# Directory mode (D3) over the driver's tables, control root = target root.
+DIRECTORY_TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem")
+DIFF_DIRECTORIES = _with(*[
+    diff_record(f"{t}.parquet", "", DIFF_TOLERANCE, t, t, prefix=f"{t}_") for t in DIRECTORY_TABLES
+]) + " UNION ALL ".join(f"SELECT * FROM {t}_rec" for t in DIRECTORY_TABLES)
+
+# ------------------------------------------------------------- snapshots
+RESTATED_BASE = 10_000
+_HISTORY = f"""
+years AS (SELECT DISTINCT CAST(year(o_orderdate) AS BIGINT) AS y FROM orders),
+lineage AS (
+  SELECT 'orders' AS table_name, y AS snapshot_id, lag(y) OVER (ORDER BY y) AS parent_id FROM years
+  UNION ALL
+  SELECT 'orders', y + {RESTATED_BASE}, y FROM years
+),
+anc AS (
+  SELECT table_name, snapshot_id, snapshot_id AS ancestor_id, CAST(0 AS INTEGER) AS depth FROM lineage
+  UNION ALL
+  SELECT a.table_name, a.snapshot_id, l.parent_id, CAST(a.depth + 1 AS INTEGER)
+  FROM anc a JOIN lineage l ON a.table_name = l.table_name AND a.ancestor_id = l.snapshot_id
+  WHERE l.parent_id IS NOT NULL
+),
+ids AS (SELECT MAX(y) AS ctrl, MAX(y) - 1 + {RESTATED_BASE} AS tgt FROM years),
+shared AS (
+  SELECT c.ancestor_id, c.depth AS control_depth, t.depth AS target_depth
+  FROM anc c JOIN anc t ON c.ancestor_id = t.ancestor_id, ids
+  WHERE c.snapshot_id = ids.ctrl AND t.snapshot_id = ids.tgt
+),
+best AS (SELECT * FROM shared ORDER BY target_depth LIMIT 1),
+snap_base AS (SELECT o.* FROM orders o, best, years
+              WHERE year(o.o_orderdate) <= best.ancestor_id AND years.y = best.ancestor_id),
+snap_ctrl AS (SELECT o.* FROM orders o, ids WHERE year(o.o_orderdate) <= ids.ctrl),
+snap_tgt AS (SELECT o.* FROM orders o, ids
+             WHERE year(o.o_orderdate) <= ids.tgt - {RESTATED_BASE} AND o.o_orderstatus <> 'P'),
+ch_ctrl AS (
+  SELECT *, 'INSERT' AS _change_type FROM (SELECT * FROM snap_ctrl EXCEPT ALL SELECT * FROM snap_base)
+  UNION ALL
+  SELECT *, 'DELETE' AS _change_type FROM (SELECT * FROM snap_base EXCEPT ALL SELECT * FROM snap_ctrl)
+),
+ch_tgt AS (
+  SELECT *, 'INSERT' AS _change_type FROM (SELECT * FROM snap_tgt EXCEPT ALL SELECT * FROM snap_base)
+  UNION ALL
+  SELECT *, 'DELETE' AS _change_type FROM (SELECT * FROM snap_base EXCEPT ALL SELECT * FROM snap_tgt)
+)"""
+
+SNAPSHOT_ANCESTORS = "WITH RECURSIVE " + _HISTORY.strip() + "\nSELECT table_name, snapshot_id, ancestor_id, depth FROM anc"
+COMMON_ANCESTOR = "WITH RECURSIVE " + _HISTORY.strip() + """
+SELECT 'orders' AS table_name, ids.ctrl AS control_snapshot, ids.tgt AS target_snapshot,
+       best.ancestor_id, best.control_depth, best.target_depth
+FROM best, ids"""
+CHANGELOG = "WITH RECURSIVE " + _HISTORY.strip() + "\nSELECT * FROM ch_ctrl"
+CDC_DIFF = ("WITH RECURSIVE " + _HISTORY.strip() + ",\n"
+            + diff_record("orders", "", DIFF_TOLERANCE, "ch_ctrl", "ch_tgt").strip()
+            + "\nSELECT * FROM rec")
+
+DIFF_SQL = {
+    "diff_missing": DIFF_MISSING,
+    "diff_new": DIFF_NEW,
+    "diff_multiplicity": DIFF_MULTIPLICITY,
+    "diff_result": DIFF_RESULT,
+    "diff_rounded": DIFF_ROUNDED,
+    "diff_stringified": DIFF_STRINGIFIED,
+    "diff_multi_table": DIFF_MULTI_TABLE,
+    "diff_summary": DIFF_SUMMARY,
+    "diff_directories": DIFF_DIRECTORIES,
+    "snapshot_ancestors": SNAPSHOT_ANCESTORS,
+    "common_ancestor": COMMON_ANCESTOR,
+    "changelog": CHANGELOG,
+    "cdc_diff": CDC_DIFF,
+}

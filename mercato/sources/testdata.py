@@ -118,3 +118,61 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return fact(spark, sf_dir), customers(spark, sf_dir), products(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- diff inputs
+# Fixed perturbation of the orders table used as the "target" version:
+#   rows with o_orderkey % 101 = 0 are dropped,
+#   o_totalprice + 0.01 where o_orderkey % 97 = 0,
+#   rows with o_orderkey % 103 = 0 appear twice.
+def orders_diff_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    control = read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    kept = control.filter(k % 101 != 0).withColumn(
+        "o_totalprice", F.when(k % 97 == 0, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice")))
+    kept = kept.select(*control.columns)
+    return control, kept.unionByName(kept.filter(k % 103 == 0))
+
+
+# Fixed perturbation of the customer table: keys divisible by 89 are dropped.
+def customer_diff_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    control = read(spark, sf_dir, "customer")
+    return control, control.filter(F.col("c_custkey") % 89 != 0)
+
+
+# ------------------------------------------------------------ orders history
+# A versioned "orders" table derived from the data: one snapshot per order
+# year y (snapshot id y, parent = previous year) holding the orders up to y,
+# and one restated branch per year (id RESTATED_BASE + y, parent y) holding
+# the same orders without the pending ('P') ones.
+RESTATED_BASE = 10_000
+
+
+def orders_history(spark: SparkSession, sf_dir: str):
+    from pyspark.sql import Window
+
+    from mercato.sources.snapshots import VersionedTable
+
+    orders = read(spark, sf_dir, "orders")
+    years = orders.select(F.year("o_orderdate").cast("bigint").alias("y")).distinct()
+    # one row per calendar year: the ordered window is bounded by the date range
+    main = years.select(F.lit("orders").alias("table_name"), F.col("y").alias("snapshot_id"),
+                        F.lag("y").over(Window.orderBy("y")).alias("parent_id"))
+    fork = years.select(F.lit("orders").alias("table_name"),
+                        (F.col("y") + RESTATED_BASE).alias("snapshot_id"), F.col("y").alias("parent_id"))
+    lineage = main.unionByName(fork)
+
+    def reader(snapshot_id: int) -> DataFrame:
+        year = snapshot_id - RESTATED_BASE if snapshot_id >= RESTATED_BASE else snapshot_id
+        upto = orders.filter(F.col("o_orderdate") < F.lit(f"{year + 1}-01-01 00:00:00").cast("timestamp_ntz"))
+        if snapshot_id >= RESTATED_BASE:
+            upto = upto.filter(F.col("o_orderstatus") != "P")
+        return upto
+
+    return VersionedTable("orders", lineage, reader)
+
+
+def history_pair(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """(control, target) snapshots: the latest year vs the restated branch of the year before."""
+    last = read(spark, sf_dir, "orders").agg(F.max(F.year("o_orderdate"))).first()[0]
+    return int(last), int(RESTATED_BASE + last - 1)
