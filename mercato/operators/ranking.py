@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_ROWS_PER_BUCKET = 1_000_000
+DEFAULT_ROWS_PER_BUCKET = 250_000
 DEFAULT_MAX_BUCKETS = 1024
 DEFAULT_OVERSAMPLE = 64
 

@@ -164,3 +164,76 @@ QUERIES = {
 }
 
 ORACLE_SQL = {**osql.REPORT_SQL, **osql.DIFF_SQL}
+
+
+# ------------------------------------------------------------- generator
+def _generated_orders(spark, sf_dir):
+    from mercato.sources import generate
+    ids = testdata.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    n = ids.count()
+    return generate.generate_orders(ids, max(1, n // 5), max(1, n // 2))
+
+
+def generated_orders(spark, sf_dir):
+    return _generated_orders(spark, sf_dir)
+
+
+def generated_customers(spark, sf_dir):
+    from mercato.sources import generate
+    return generate.generate_customers(_generated_orders(spark, sf_dir))
+
+
+def generated_products(spark, sf_dir):
+    from mercato.sources import generate
+    return generate.generate_products(_generated_orders(spark, sf_dir))
+
+
+def _generator_sql(which: str) -> str:
+    from mercato.sources import generate
+    return generate.oracle_sql("SELECT o_orderkey AS id FROM orders",
+                               "SELECT greatest(1, COUNT(*) // 5) FROM orders",
+                               "SELECT greatest(1, COUNT(*) // 2) FROM orders", which)
+
+
+QUERIES.update({
+    "generated_orders": generated_orders,
+    "generated_customers": generated_customers,
+    "generated_products": generated_products,
+})
+ORACLE_SQL.update({
+    "generated_orders": _generator_sql("orders"),
+    "generated_customers": _generator_sql("customers"),
+    "generated_products": _generator_sql("products"),
+})
+
+
+# ------------------------------------------------------ ranking operators
+# Small buckets so that even the sf0.01 tables are ranked across several tasks.
+RANK_DEMO_ROWS_PER_BUCKET = 10_000
+_LI_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def global_rank(spark, sf_dir):
+    from mercato.operators.ranking import row_number_over
+    li = testdata.read(spark, sf_dir, "lineitem").select(*_LI_KEYS, "l_extendedprice")
+    return row_number_over(li, "price_rank", [("l_extendedprice", False)], tiebreak=_LI_KEYS,
+                           rows_per_bucket=RANK_DEMO_ROWS_PER_BUCKET)
+
+
+def global_ntile(spark, sf_dir):
+    from mercato.operators.ranking import ntile_over
+    li = testdata.read(spark, sf_dir, "lineitem").select(*_LI_KEYS, "l_quantity")
+    return ntile_over(li, "quantity_quintile", 5, [("l_quantity", True)], tiebreak=_LI_KEYS,
+                      rows_per_bucket=RANK_DEMO_ROWS_PER_BUCKET)
+
+
+_LI_ORDER = ", ".join(f"{k} ASC NULLS FIRST" for k in _LI_KEYS)
+QUERIES.update({"global_rank": global_rank, "global_ntile": global_ntile})
+ORACLE_SQL.update({
+    "global_rank": f"""SELECT {', '.join(_LI_KEYS)}, l_extendedprice,
+       CAST(row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, {_LI_ORDER}) AS INTEGER) AS price_rank
+FROM lineitem""",
+    "global_ntile": f"""SELECT {', '.join(_LI_KEYS)}, l_quantity,
+       CAST(ntile(5) OVER (ORDER BY l_quantity ASC NULLS FIRST, {_LI_ORDER}) AS INTEGER) AS quantity_quintile
+FROM lineitem""",
+})
