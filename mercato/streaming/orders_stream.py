@@ -1,0 +1,43 @@
+"""The validation step (T0) on a stream of order files.
+
+The reference has no streaming; this only lets the same stateless operator
+(``clean.clean_orders`` / ``clean.delivered``) run on files as they arrive,
+with a checkpoint for exactly-once output. The reports themselves stay batch
+jobs over the written working set.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from mercato.functions import parse_date
+from mercato.operators import clean
+from mercato.schemas import ORDERS_SCHEMA
+from mercato.session import ensure_checkpoint_dir
+
+
+def read_order_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Orders CSV files arriving in ``input_dir``, typed by the fixed schema."""
+    reader = spark.readStream.option("header", "true").schema(ORDERS_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.csv(input_dir).withColumn("order_date", parse_date("order_date"))
+
+
+def delivered_stream(spark: SparkSession, input_dir: str, **kw) -> DataFrame:
+    return clean.delivered(read_order_stream(spark, input_dir, **kw))
+
+
+def start_delivered_sink(spark: SparkSession, input_dir: str, output_dir: str, query_name: str,
+                         available_now: bool = True) -> StreamingQuery:
+    """Append validated delivered orders to parquet at ``output_dir``.
+
+    The stream's checkpoint lives under the shared ``spark.checkpoint.dir``.
+    """
+    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
+    writer = (delivered_stream(spark, input_dir).writeStream.format("parquet")
+              .option("checkpointLocation", ckpt).option("path", output_dir).outputMode("append")
+              .queryName(query_name))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
