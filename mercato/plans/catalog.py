@@ -20,7 +20,7 @@ TOL = osql.DIFF_TOLERANCE
 
 
 def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.delivered(testdata.fact(spark, sf_dir))
+    return clean.delivered(testdata.fact(spark, sf_dir, status=clean.DELIVERED))
 
 
 def validated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of collected DataFrames are removed from the shared folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

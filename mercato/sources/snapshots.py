@@ -62,6 +62,8 @@ def ancestors(lineage: DataFrame) -> DataFrame:
 
     Output: table_name, snapshot_id, ancestor_id, depth -- depth 0 is the
     snapshot, 1 its parent, ... (newest first when ordered by depth).
+    The recursion re-reads ``lineage`` once per level, so pass a materialised
+    table (a lineage is one row per snapshot), not a plan over the data.
     """
     spark = lineage.sparkSession
     view = f"__lineage_{next(_view_ids)}"
