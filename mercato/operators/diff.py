@@ -221,6 +221,45 @@ def compare_tables(control: DataFrame, target: DataFrame, table_name: str = "unk
                       result_record(diff_counts(counts), table_name, tolerance, mode, run_timestamp))
 
 
+DEFAULT_CHUNK = 10_000
+
+
+def replicate_rows(df: DataFrame, copies: str, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Each row repeated ``copies`` times (bag semantics), with bounded work per task.
+
+    Rows needing at most ``chunk`` copies are expanded where they are. A row
+    needing more (one row that holds a large share of a table) is first cut
+    into chunks of at most ``chunk`` copies; the chunks are hash-spread over
+    the cluster and expanded there, so no task emits more than its share.
+    Both branches read the same aggregated input (its exchange is reused).
+    """
+    n = F.col(copies)
+    data = [c for c in df.columns if c != copies]
+    small = (df.filter((n > 0) & (n <= chunk))
+             .select(*[_q(c) for c in data], F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("__i"))
+             .drop("__i"))
+    big = df.filter(n > chunk)
+    chunks = big.select(*[_q(c) for c in data], n.alias("__n"),
+                        F.explode(F.sequence(F.lit(0), ((n - 1) / chunk).cast("int"))).alias("__chunk"))
+    sizes = F.least(F.lit(chunk), F.col("__n") - F.col("__chunk") * chunk).cast("int")
+    spread = (chunks.repartition(F.xxhash64(*[_q(c) for c in data], F.col("__chunk")))
+              .select(*[_q(c) for c in data], F.explode(F.sequence(F.lit(1), sizes)).alias("__i"))
+              .drop("__i"))
+    return small.unionByName(spread)
+
+
+def bag_changes(start: DataFrame, end: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """``end EXCEPT ALL start`` tagged INSERT plus ``start EXCEPT ALL end`` tagged
+    DELETE, from one aggregation of both sides."""
+    counts = row_counts(start, end)
+    delta = F.col(T_N) - F.col(C_N)
+    tagged = counts.filter(delta != 0).select(
+        *[_q(c) for c in start.columns],
+        F.when(delta > 0, F.lit("INSERT")).otherwise(F.lit("DELETE")).alias("_change_type"),
+        F.abs(delta).alias("__copies"))
+    return replicate_rows(tagged, "__copies", chunk)
+
+
 def sample_rows(df: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` rows for display (the job shows them untruncated)."""
     return df.limit(n)

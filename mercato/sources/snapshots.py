@@ -7,8 +7,8 @@ No table-format jar is assumed. A versioned table is modelled as data:
   (a parquet folder per snapshot, or any derived DataFrame).
 
 Ancestry is a recursive CTE over the lineage; the changelog between two
-snapshots is ``EXCEPT ALL`` both ways (Spark plans it as one tagged union and
-aggregation); ``_change_type`` marks INSERT / DELETE. With a table format
+snapshots is ``EXCEPT ALL`` both ways, computed as one tagged union and
+aggregation; ``_change_type`` marks INSERT / DELETE. With a table format
 that has its own changelog, pass its reader instead -- nothing else changes.
 """
 
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators.diff import Comparison, compare_tables
+from mercato.operators.diff import Comparison, bag_changes, compare_tables
 
 # Change-tracking columns dropped before a diff (they differ between two
 # histories even when the end states agree). ``_change_type`` is kept.
@@ -115,10 +115,13 @@ def common_ancestor(lineage: DataFrame, table_name: str, control_snapshot: int,
 
 
 def changelog(start: DataFrame, end: DataFrame) -> DataFrame:
-    """Net changes from ``start`` to ``end``: inserted and deleted rows (with repeats)."""
-    inserted = end.exceptAll(start).withColumn("_change_type", F.lit(INSERT))
-    deleted = start.exceptAll(end).withColumn("_change_type", F.lit(DELETE))
-    return inserted.unionByName(deleted)
+    """Net changes from ``start`` to ``end``: inserted and deleted rows, with repeats.
+
+    Equals ``end EXCEPT ALL start`` (INSERT) plus ``start EXCEPT ALL end``
+    (DELETE), computed from one aggregation of both snapshots; copies of a
+    row repeated many times are emitted in bounded chunks across tasks.
+    """
+    return bag_changes(start, end)
 
 
 def drop_tracking_columns(df: DataFrame) -> DataFrame:

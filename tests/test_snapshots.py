@@ -64,3 +64,16 @@ def test_unrelated_roots_fall_back_to_full_compare(spark, fork):
 def test_parse_qualified():
     assert S.parse_qualified("db.t@42") == ("db.t", 42)
     assert S.parse_qualified("db.t") == ("db.t", None)
+
+
+def test_changelog_equals_except_all_with_hot_duplicates(spark):
+    from mercato.operators.diff import bag_changes
+    # one row repeated 2,500 times on one side (the hot group), others spread
+    start = spark.range(3000).select((F.when(F.col("id") < 2500, 0).otherwise(F.col("id") % 97)).alias("v"))
+    end = spark.range(2000).select((F.when(F.col("id") < 100, 0).otherwise(F.col("id") % 89)).alias("v"))
+    got = bag_changes(start, end, chunk=64)
+    exp = (end.exceptAll(start).withColumn("_change_type", F.lit("INSERT"))
+           .unionByName(start.exceptAll(end).withColumn("_change_type", F.lit("DELETE"))))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    parts = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in parts) < 2400   # the 2,400 DELETE copies are spread
