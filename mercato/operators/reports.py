@@ -120,17 +120,20 @@ def rfm_analysis(delivered: DataFrame, best_is_high: bool = False,
     the segment rule treats >= 4 as best. ``best_is_high=True`` flips the three
     orders to the usual RFM convention (5 = best).
     Recency is measured from the latest order date of the whole set, taken as
-    a scalar subquery (no driver round trip, no join).
+    a scalar subquery over the per-customer table (no driver round trip, no join).
     """
-    ref_date = delivered.select(F.max("order_date")).scalar()
-    base = delivered.groupBy("customer_id").agg(
+    per_customer = delivered.groupBy("customer_id").agg(
         F.max("order_date").alias("_last"),
         F.count("order_id").alias("frequency"),
         F.sum("grand_total").alias("_monetary"),
-    ).select("customer_id", F.datediff(ref_date, F.col("_last")).alias("recency"),
-             "frequency", "_monetary")
-    base = cut_lineage(base)
-    n = base.count()
+    )
+    per_customer = cut_lineage(per_customer)
+    # the latest order date overall = the latest of the customers' last dates:
+    # a scalar subquery over the small per-customer table, not over the orders
+    ref_date = per_customer.select(F.max("_last")).scalar()
+    base = per_customer.select("customer_id", F.datediff(ref_date, F.col("_last")).alias("recency"),
+                               "frequency", "_monetary")
+    n = per_customer.count()
     asc_r, asc_fm = (False, True) if best_is_high else (True, False)
     tie = ("customer_id",)
     scored = add_ranks(base, [
@@ -242,19 +245,18 @@ def daily_sales_moving_avg(delivered: DataFrame) -> DataFrame:
 def cohort_retention(delivered: DataFrame) -> DataFrame:
     """Distinct active customers by first-purchase month and months since it.
 
-    The fact is first reduced to distinct (customer, order day) pairs; the
-    first purchase is a window min over a customer's *days*, which is bounded
-    by the calendar even for a customer with a third of all orders.
+    One pass per customer: the set of the customer's distinct order *days*
+    (merged map-side, and bounded by the calendar even for a customer with a
+    third of all orders) gives the first purchase and every distinct month
+    offset; the second shuffle only counts customers per (cohort, offset).
     """
-    days = delivered.select("customer_id", "order_date").distinct()
-    first = F.min("order_date").over(Window.partitionBy("customer_id"))
-    tagged = days.select("customer_id", "order_date", first.alias("_first"))
-    return (tagged.select(
-                month_label("_first").alias("cohort_month"),
-                months_since("order_date", "_first").alias("months_since_first"),
-                "customer_id")
+    days = delivered.groupBy("customer_id").agg(F.collect_set("order_date").alias("_days"))
+    first = F.array_min("_days")
+    offsets = F.array_distinct(F.transform("_days", lambda d: months_since(d, first)))
+    return (days.select(month_label(first).alias("cohort_month"),
+                        F.explode(offsets).alias("months_since_first"))
             .groupBy("cohort_month", "months_since_first")
-            .agg(F.countDistinct("customer_id").alias("active_customers")))
+            .agg(F.count(F.lit(1)).alias("active_customers")))
 
 
 def sorted_cohorts(cohorts: DataFrame) -> DataFrame:

@@ -57,8 +57,13 @@ BRAND_LETTERS = ["A", "B", "C", "D", "E", "F", "G", "H"]
 TAX_PERCENT = 8
 
 
+DEFAULT_SEED = 42
+_SEED = [DEFAULT_SEED]   # the seed in effect while expressions are built
+
+
 def mix(salt: int, id_expr: str = "id") -> str:
-    """SQL: a pseudo-random integer in [0, P) from the id and a salt."""
+    """SQL: a pseudo-random integer in [0, P) from the id, a field salt and the seed."""
+    salt = salt + 1000 * _SEED[0]
     h1 = f"((({id_expr}) % {P}) * 48271 + {salt}) % {P}"
     h2 = f"(({h1}) * ({h1}) + 12345) % {P}"
     h3 = f"(({h2}) * 16807 + {salt * 7 + 1}) % {P}"
@@ -215,30 +220,65 @@ def _select(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.expr(sql).alias(name) for name, sql in exprs])
 
 
-def generate_orders(ids: DataFrame, n_customers: int = 2000, n_products: int = 5000) -> DataFrame:
+class _seeded:
+    def __init__(self, seed: int):
+        self.seed = seed
+
+    def __enter__(self):
+        self.old, _SEED[0] = _SEED[0], int(self.seed)
+
+    def __exit__(self, *exc):
+        _SEED[0] = self.old
+
+
+def generate_orders(ids: DataFrame, n_customers: int = 2000, n_products: int = 5000,
+                    seed: int = DEFAULT_SEED) -> DataFrame:
     """One order per row of ``ids`` (a bigint column ``id``), in the orders CSV contract."""
     if n_customers < 1 or n_products < 1:
         raise ValueError("n_customers and n_products must be positive")
-    return _select(_select(ids.select(F.col("id").cast("bigint").alias("id")),
-                           order_draws(n_customers, n_products)), order_values())
+    with _seeded(seed):
+        return _select(_select(ids.select(F.col("id").cast("bigint").alias("id")),
+                               order_draws(n_customers, n_products)), order_values())
 
 
-def generate_customers(orders: DataFrame) -> DataFrame:
+def generate_customers(orders: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     """One customer row per distinct customer id of the generated orders."""
     ids = orders.select("customer_id").distinct().select(
         "customer_id", F.expr("CAST(substring(customer_id, 5) AS BIGINT)").alias("id"))
-    return _select(ids, customer_values())
+    with _seeded(seed):
+        return _select(ids, customer_values())
 
 
-def generate_products(orders: DataFrame) -> DataFrame:
+def generate_products(orders: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     """One product row per distinct product id of the generated orders."""
     ids = orders.select("product_id").distinct().select(
         "product_id", F.expr("CAST(substring(product_id, 5) AS BIGINT)").alias("id"))
-    return _select(ids, product_values())
+    with _seeded(seed):
+        return _select(ids, product_values())
+
+
+def generate_tables(spark, n_orders: int = 10_000, n_customers: int = 2000, n_products: int = 5000,
+                    seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """N1: the three related tables, ``n_orders`` orders over ``spark.range``."""
+    orders = generate_orders(spark.range(n_orders), n_customers, n_products, seed)
+    return orders, generate_customers(orders, seed), generate_products(orders, seed)
+
 
+def write_tables(tables: tuple[DataFrame, DataFrame, DataFrame], out: str,
+                 names: tuple[str, str, str] = ("orders.csv", "customers.csv", "products.csv")) -> None:
+    """K4: each table as CSV with header under ``out`` (parallel writers)."""
+    for df, name in zip(tables, names):
+        df.write.mode("overwrite").option("header", "true").csv(f"{out.rstrip('/')}/{name}")
 
-def oracle_sql(ids_sql: str, n_customers_sql: str, n_products_sql: str, which: str = "orders") -> str:
+
+def oracle_sql(ids_sql: str, n_customers_sql: str, n_products_sql: str, which: str = "orders",
+               seed: int = DEFAULT_SEED) -> str:
     """The same generator as plain SQL over ``ids_sql`` (a query with column ``id``)."""
+    with _seeded(seed):
+        return _oracle_sql(ids_sql, n_customers_sql, n_products_sql, which)
+
+
+def _oracle_sql(ids_sql: str, n_customers_sql: str, n_products_sql: str, which: str) -> str:
     stage1 = ", ".join(f"{s} AS {n}" for n, s in order_draws(f"({n_customers_sql})", f"({n_products_sql})"))
     stage2 = ", ".join(f"{s} AS {n}" for n, s in order_values())
     orders = f"SELECT {stage2} FROM (SELECT {stage1} FROM ({ids_sql}) ids) d"
@@ -251,3 +291,26 @@ def oracle_sql(ids_sql: str, n_customers_sql: str, n_products_sql: str, which: s
     cols = ", ".join(f"{s} AS {n}" for n, s in product_values())
     return (f"SELECT {cols} FROM (SELECT product_id, CAST(substring(product_id, 5) AS BIGINT) AS id "
             f"FROM (SELECT DISTINCT product_id FROM ({orders}) o) x) p")
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m mercato.sources.generate OUT [--orders N] [--customers N] [--products N] [--seed S]``"""
+    import argparse
+
+    from mercato.session import get_session
+
+    p = argparse.ArgumentParser(description="Write generated orders, customers and products as CSV.")
+    p.add_argument("out")
+    p.add_argument("--orders", type=int, default=10_000)
+    p.add_argument("--customers", type=int, default=2000)
+    p.add_argument("--products", type=int, default=5000)
+    p.add_argument("--seed", type=int, default=DEFAULT_SEED)
+    a = p.parse_args(argv)
+    spark = get_session(app_name="mercato-datagen")
+    write_tables(generate_tables(spark, a.orders, a.customers, a.products, a.seed), a.out)
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+    sys.exit(main())

@@ -37,3 +37,13 @@ def test_dimensions_cover_the_orders(spark):
     p = prod.agg(F.min("avg_rating"), F.max("avg_rating")).first()
     assert 2.5 <= p[0] and p[1] <= 5.0
     assert orders.join(cust, "customer_id", "left_anti").count() == 0
+
+
+def test_seed_changes_draws_and_tables_write(spark, scratch):
+    a = G.generate_orders(spark.range(200), 50, 80, seed=1).collect()
+    b = G.generate_orders(spark.range(200), 50, 80, seed=2).collect()
+    assert [r.order_id for r in a] == [r.order_id for r in b]
+    assert [r.customer_id for r in a] != [r.customer_id for r in b]
+    G.write_tables(G.generate_tables(spark, 300, 40, 60), scratch)
+    back = spark.read.option("header", "true").csv(f"{scratch}/orders.csv")
+    assert back.count() == 300 and len(back.columns) == 24
