@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators.diff import Comparison, compare_tables
+from mercato.operators.diff import Comparison, compare_tables, sample_rows
 from mercato.sources.files import read_catalog_table, read_table_pair
 from mercato.sources.snapshots import VersionedTable, compare_snapshots, parse_qualified
 
@@ -103,7 +103,7 @@ def summary_document(results: DataFrame, tolerance: float, control_root: str | N
                        F.collect_list(F.struct(*results.columns)).alias("results"))
 
 
-def write_differences(comparison: Comparison, output_path: str, max_show: int = 20) -> dict:
+def write_differences(comparison: Comparison, output_path: str) -> dict:
     """K2: missing / new rows of one table under ``output_path`` (only when non-empty).
 
     CSV when every column is atomic, parquet otherwise. Written in parallel:
@@ -195,6 +195,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None,
         print(f"{row.table_name}: control={row.control_count} target={row.target_count} "
               f"missing={row.missing_rows_count} new={row.new_rows_count} passed={row.passed}",
               file=sys.stderr)
+    for c in comps:                      # K5: a few differing rows, untruncated
+        for label, df in (("new", c.new), ("missing", c.missing)):
+            rows = sample_rows(df).collect()
+            if rows:
+                print(f"{c.table_name}: first {len(rows)} {label} rows", file=sys.stderr)
+                for r in rows:
+                    print(f"  {tuple(r)}", file=sys.stderr)
     failed = results.filter(~F.col("passed")).count()
     if args.output_path:
         for c in comps:

@@ -30,12 +30,13 @@ def delivered_stream(spark: SparkSession, input_dir: str, **kw) -> DataFrame:
 
 
 def start_delivered_sink(spark: SparkSession, input_dir: str, output_dir: str, query_name: str,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, checkpoint_location: str | None = None) -> StreamingQuery:
     """Append validated delivered orders to parquet at ``output_dir``.
 
-    The stream's checkpoint lives under the shared ``spark.checkpoint.dir``.
+    The stream's checkpoint (its progress and file log) defaults to
+    ``{spark.checkpoint.dir}/streams/{query_name}``: one query name, one stream.
     """
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
+    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
     writer = (delivered_stream(spark, input_dir).writeStream.format("parquet")
               .option("checkpointLocation", ckpt).option("path", output_dir).outputMode("append")
               .queryName(query_name))

@@ -59,7 +59,8 @@ def test_diff_job_catalog_mode(spark):
 
 def test_orders_stream_validates_incrementally(spark, scratch):
     _write_inputs(spark, f"{scratch}/in", n=600)
-    q = start_delivered_sink(spark, f"{scratch}/in/orders.csv", f"{scratch}/stream_out", "orders_stream_test")
+    q = start_delivered_sink(spark, f"{scratch}/in/orders.csv", f"{scratch}/stream_out", "orders_stream_test",
+                             checkpoint_location=f"{scratch}/stream_ckpt")
     q.awaitTermination(120)
     out = spark.read.parquet(f"{scratch}/stream_out")
     exp = spark.read.option("header", "true").csv(f"{scratch}/in/orders.csv").filter("order_status = 'Delivered'")
