@@ -117,6 +117,49 @@ def _bucket_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
         .otherwise(_bucket_expr(key, bounds, mid, hi))
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _sql_literal(v, dtype: T.DataType) -> str | None:
+    """A typed SQL literal for ``v``, or None when the type has no safe text form."""
+    t = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(dtype, T.BooleanType):
+        return "true" if v else "false"
+    if isinstance(dtype, _INTEGRAL):
+        return f"CAST({int(v)} AS {t})"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return f"CAST('{float(v)!r}' AS {t})"        # NaN / inf spelled as Java parses them
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST('{format(v, 'f')}' AS {t})"
+    if isinstance(dtype, T.StringType):
+        return f"CAST(X'{v.encode('utf-8').hex()}' AS STRING)"
+    if isinstance(dtype, T.DateType):
+        return f"DATE '{v.isoformat()}'"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    return None
+
+
+def _sql_struct(values, key_type: T.StructType) -> str | None:
+    parts = []
+    for v, f in zip(values, key_type.fields):
+        lit = _sql_literal(v, f.dataType)
+        if lit is None:
+            return None
+        parts.append(f"'{f.name}', {lit}")
+    return "named_struct(" + ", ".join(parts) + ")"
+
+
+def _bucket_sql(key_col: str, bounds: list[str], lo: int, hi: int) -> str:
+    if lo == hi:
+        return str(lo)
+    mid = (lo + hi + 1) // 2
+    return (f"CASE WHEN {key_col} < {bounds[mid - 1]} THEN {_bucket_sql(key_col, bounds, lo, mid - 1)} "
+            f"ELSE {_bucket_sql(key_col, bounds, mid, hi)} END")
+
+
 def _pick_bounds(sorted_keys: list, buckets: int) -> list:
     m = len(sorted_keys)
     picked = []
@@ -181,8 +224,17 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], n_rows: int | None = None,
 
     with_buckets = df
     for i, p in enumerate(prepared):
-        lits = [_literal_struct(list(b), p.key_type) for b in p.bounds]
-        bucket = _bucket_expr(p.key, lits, 0, len(lits)) if lits else F.lit(0)
+        # The boundary tree is one SQL expression (parsed once) when every key
+        # type has a text literal; otherwise it is built from Column literals.
+        sql_bounds = [_sql_struct(list(b), p.key_type) for b in p.bounds]
+        if not p.bounds:
+            bucket = F.lit(0)
+        elif all(b is not None for b in sql_bounds):
+            with_buckets = with_buckets.withColumn(f"__k{i}", p.key)
+            bucket = F.expr(_bucket_sql(f"__k{i}", sql_bounds, 0, len(sql_bounds)))
+        else:
+            lits = [_literal_struct(list(b), p.key_type) for b in p.bounds]
+            bucket = _bucket_expr(p.key, lits, 0, len(lits))
         with_buckets = with_buckets.withColumn(f"__b{i}", bucket)
         if p.spec.partition_by:
             with_buckets = with_buckets.withColumn(f"__p{i}", F.struct(*p.spec.partition_by))
@@ -209,7 +261,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], n_rows: int | None = None,
         rn = F.col(f"__rn{i}") + F.col(f"__off{i}")
         value = _tile(rn, F.col(f"__n{i}"), spec.ntile) if spec.ntile else rn.cast("int")
         out = out.withColumn(spec.out, value).drop(f"__rn{i}", f"__off{i}", f"__n{i}")
-    helper = [c for c in out.columns if c.startswith("__b") or c.startswith("__p")]
+    helper = [c for c in out.columns if c[:3] in ("__b", "__p", "__k")]
     return out.drop(*helper)
 
 

@@ -119,17 +119,25 @@ def rfm_analysis(delivered: DataFrame, best_is_high: bool = False,
     frequency / monetary descending, so score 1 is the *best* customers while
     the segment rule treats >= 4 as best. ``best_is_high=True`` flips the three
     orders to the usual RFM convention (5 = best).
-    Recency is measured from the latest order date of the whole set, taken as
-    a scalar subquery over the per-customer table (no driver round trip, no join).
     """
     per_customer = delivered.groupBy("customer_id").agg(
         F.max("order_date").alias("_last"),
         F.count("order_id").alias("frequency"),
         F.sum("grand_total").alias("_monetary"),
     )
+    return rfm_scores(per_customer, best_is_high, rows_per_bucket, max_buckets)
+
+
+def rfm_scores(per_customer: DataFrame, best_is_high: bool = False,
+               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+               max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
+    """RFM from one row per customer: ``customer_id, _last, frequency, _monetary``.
+
+    Recency is measured from the latest order date of the whole set = the
+    latest of the customers' last dates: a scalar subquery over this small
+    table (no driver round trip, no join, no second pass over the orders).
+    """
     per_customer = cut_lineage(per_customer)
-    # the latest order date overall = the latest of the customers' last dates:
-    # a scalar subquery over the small per-customer table, not over the orders
     ref_date = per_customer.select(F.max("_last")).scalar()
     base = per_customer.select("customer_id", F.datediff(ref_date, F.col("_last")).alias("recency"),
                                "frequency", "_monetary")
@@ -164,20 +172,26 @@ def customer_360(delivered: DataFrame, customers: DataFrame, products: DataFrame
     rows fan out exactly as a row-level join would: a customer listed twice with
     the same attributes has every additive measure doubled.
 
-    Plan: partial sums per (customer, product) -> join products for the brand
-    -> sums per customer -> join customers and the RFM segment. Joins see one
-    row per (customer, product) or per customer, never one per order.
+    Plan: partial sums per (customer, product), written once to the shared
+    checkpoint folder -> (a) the RFM table per customer, (b) join products for
+    the brand -> sums per customer -> join customers and the RFM segment.
+    One pass over the orders; joins see one row per (customer, product) or
+    per customer, never one per order.
     """
-    if rfm is None:
-        rfm = rfm_analysis(delivered, **rank_kw)
     per_cp = delivered.groupBy("customer_id", "product_id").agg(
         F.count("order_id").alias("_n"),
         F.sum("grand_total").alias("_value"),
+        F.max("order_date").alias("_last"),
         F.sum("rating").alias("_rating_sum"),
         F.count("rating").alias("_rating_n"),
         count_when(F.col("discount_percent") > 0).alias("_disc_n"),
         F.sum("discount_amount").alias("_disc_amt"),
     )
+    per_cp = cut_lineage(per_cp)
+    if rfm is None:
+        rfm = rfm_scores(per_cp.groupBy("customer_id").agg(
+            F.max("_last").alias("_last"), F.sum("_n").alias("frequency"),
+            F.sum("_value").alias("_monetary")), **rank_kw)
     brands = products.select("product_id", F.col("brand").alias("_brand"))
     per_c = per_cp.join(brands, "product_id").groupBy("customer_id").agg(
         F.sum("_n").alias("_n"),
