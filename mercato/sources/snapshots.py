@@ -57,6 +57,14 @@ def from_snapshot_paths(spark: SparkSession, name: str, lineage_with_paths: Data
     return VersionedTable(name, lineage, lambda s: spark.read.format(fmt).load(paths[s]))
 
 
+def from_catalog_table(spark: SparkSession, name: str, lineage: DataFrame) -> VersionedTable:
+    """A catalog table whose format supports time travel by snapshot id
+    (``spark.read.option("snapshot-id", id).table(name)``); the lineage comes
+    from the format's metadata tables, loaded by the caller."""
+    return VersionedTable(name, lineage,
+                          lambda s: spark.read.option("snapshot-id", str(s)).table(name))
+
+
 def ancestors(lineage: DataFrame) -> DataFrame:
     """Every snapshot with each of its ancestors (itself at depth 0), per table.
 

@@ -65,3 +65,22 @@ def test_orders_stream_validates_incrementally(spark, scratch):
     out = spark.read.parquet(f"{scratch}/stream_out")
     exp = spark.read.option("header", "true").csv(f"{scratch}/in/orders.csv").filter("order_status = 'Delivered'")
     assert out.count() == exp.count() > 0
+
+
+def test_diff_job_csv_directories_with_options(spark, scratch):
+    a, b = f"{scratch}/ca", f"{scratch}/cb"
+    rows = spark.range(300).select("id", (F.col("id") % 7).alias("g"), (F.col("id") / 4).alias("x"))
+    rows.write.option("header", "false").option("sep", "|").csv(f"{a}/t")
+    rows.filter("id <> 5").write.option("header", "false").option("sep", "|").csv(f"{b}/t")
+    comps = diff_job.compare_directories(spark, ["t"], a, b, "csv",
+                                         dict(csv_header=False, csv_infer_schema=True, csv_delimiter="|"))
+    r = comps[0].result.first()
+    assert (r.control_count, r.target_count, r.missing_rows_count, r.new_rows_count) == (300, 299, 1, 0)
+    assert dict(comps[0].counts.dtypes)["_c2"] == "double"   # inferred, not string
+
+
+def test_no_python_udf_in_any_registered_plan(spark):
+    import __spark_entry__ as E
+    from mercato.plans.inspect import has_python_udf
+    for name, fn in E.queries().items():
+        assert not has_python_udf(fn(spark, "/root/testdata/sf0.001")), name
