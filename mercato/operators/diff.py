@@ -187,7 +187,23 @@ class Comparison:
 
     table_name: str
     counts: DataFrame          # distinct rows with both counts
-    result: DataFrame          # one-row result record
+    tolerance: float = 0.0
+    mode: str = "set"
+    run_timestamp: str | None = None
+
+    @property
+    def result(self) -> DataFrame:
+        """One-row result record."""
+        return result_record(diff_counts(self.counts), self.table_name, self.tolerance, self.mode,
+                             self.run_timestamp)
+
+    def materialized(self) -> "Comparison":
+        """The same comparison over counts written once to the shared checkpoint
+        folder: the record and the missing / new row outputs then read that copy
+        instead of each re-aggregating both tables."""
+        from mercato.session import cut_lineage
+        return Comparison(self.table_name, cut_lineage(self.counts), self.tolerance, self.mode,
+                          self.run_timestamp)
 
     @property
     def missing(self) -> DataFrame:
@@ -216,9 +232,10 @@ def compare_tables(control: DataFrame, target: DataFrame, table_name: str = "unk
         control, target = round_fractional(control, precision), round_fractional(target, precision)
     if not all(_groupable(f.dataType) for f in control.schema.fields):
         control, target = stringify(control), stringify(target)
-    counts = row_counts(control, target)
-    return Comparison(table_name, counts,
-                      result_record(diff_counts(counts), table_name, tolerance, mode, run_timestamp))
+    if mode not in ("set", "bag"):
+        raise ValueError("mode must be 'set' or 'bag'")
+    return Comparison(table_name, row_counts(control, target), tolerance, mode,
+                      run_timestamp or _dt.datetime.now().isoformat())
 
 
 DEFAULT_CHUNK = 10_000
