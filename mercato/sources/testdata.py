@@ -74,10 +74,11 @@ def fact(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFra
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    # Both sides grow with the scale factor: join them by shuffling on the
-    # order key (sort-merge, spills) rather than broadcasting |orders| rows.
     orders = read(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority").hint("merge")
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    # lineitem x orders: both sides grow with the scale factor, so they are
+    # joined by shuffling on the order key (sort-merge, spills), never by
+    # broadcasting |orders| rows (hint on the enriched orders below).
     li_cond, o_cond = _status_filters(status)
     if li_cond is not None:
         li = li.filter(li_cond)
@@ -89,9 +90,11 @@ def fact(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFra
     cust = customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_mktsegment", "n_name", "r_name")
 
-    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(part, li.l_partkey == part.p_partkey)
-              .join(cust, orders.o_custkey == cust.c_custkey))
+    # Orders are enriched with their customer first (orders-sized join), so the
+    # lineitem-sized data is shuffled only by order key and by part key.
+    enriched = orders.join(cust, orders.o_custkey == cust.c_custkey).hint("merge")
+    joined = (li.join(enriched, li.l_orderkey == enriched.o_orderkey)
+              .join(part, li.l_partkey == part.p_partkey))
 
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     disc = F.col("l_discount").cast("decimal(4,2)")
