@@ -24,7 +24,7 @@ from mercato.functions import (count_when, mean_of, month_label, months_since,
                                ratio_or_zero, round_ratio, stddev_exact)
 from mercato.operators.ranking import (DEFAULT_MAX_BUCKETS, DEFAULT_ROWS_PER_BUCKET,
                                        RankSpec, add_ranks)
-from mercato.session import cut_lineage
+from mercato.session import cut_lineage, cut_lineage_counted
 
 MONEY_SCALE = 2
 QUANTILES = (0.25, 0.5, 0.75)
@@ -79,9 +79,9 @@ def product_performance(delivered: DataFrame, top_k: int = 5,
         F.sum("quantity").cast("bigint").alias("total_sold"),
         F.countDistinct("customer_id").alias("unique_buyers"),
     )
-    # Written once to the shared checkpoint folder: the ranks read it several times.
-    perf = cut_lineage(perf)
-    n = perf.count()
+    # Written once to the shared checkpoint folder: the ranks read it several
+    # times. The row count is observed during that write (no extra job).
+    perf, n = cut_lineage_counted(perf)
     order = (("_rev", False),)
     ranked = add_ranks(perf, [
         RankSpec("rank_in_category", order, ("category",), tuple(grain)),
@@ -137,11 +137,10 @@ def rfm_scores(per_customer: DataFrame, best_is_high: bool = False,
     latest of the customers' last dates: a scalar subquery over this small
     table (no driver round trip, no join, no second pass over the orders).
     """
-    per_customer = cut_lineage(per_customer)
+    per_customer, n = cut_lineage_counted(per_customer)
     ref_date = per_customer.select(F.max("_last")).scalar()
     base = per_customer.select("customer_id", F.datediff(ref_date, F.col("_last")).alias("recency"),
                                "frequency", "_monetary")
-    n = per_customer.count()
     asc_r, asc_fm = (False, True) if best_is_high else (True, False)
     tie = ("customer_id",)
     scored = add_ranks(base, [

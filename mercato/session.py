@@ -76,3 +76,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` plus the row count, observed during the same job."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    obs = Observation()
+    written = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return written, int(obs.get["rows"])
