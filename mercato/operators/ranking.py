@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.session import cut_lineage
+
 DEFAULT_ROWS_PER_BUCKET = 250_000
 DEFAULT_MAX_BUCKETS = 1024
 DEFAULT_OVERSAMPLE = 64
@@ -239,14 +241,29 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], n_rows: int | None = None,
         if p.spec.partition_by:
             with_buckets = with_buckets.withColumn(f"__p{i}", F.struct(*p.spec.partition_by))
 
+    # Count tables: one row per (partition, bucket) -> offset of the bucket and
+    # size of the partition; at most (#buckets + #partitions) rows per spec.
+    # Several specs share one pass over the input (grouping sets), written once.
+    keys_of = [([f"__p{i}"] if p.spec.partition_by else []) + [f"__b{i}"] for i, p in enumerate(prepared)]
+    if len(prepared) > 1:
+        all_keys = [k for ks in keys_of for k in ks]
+        gid = F.grouping_id(*all_keys).alias("__g")
+        shared = with_buckets.groupingSets(keys_of, *all_keys).agg(F.count(F.lit(1)).alias("__c"), gid)
+        shared = cut_lineage(shared)
+
+    def counts_for(i: int) -> DataFrame:
+        if len(prepared) == 1:
+            return with_buckets.groupBy(*keys_of[0]).agg(F.count(F.lit(1)).alias("__c"))
+        n_keys = len(all_keys)
+        g = sum(1 << (n_keys - 1 - j) for j, k in enumerate(all_keys) if k not in keys_of[i])
+        return shared.filter(F.col("__g") == g).select(*keys_of[i], "__c")
+
     out = with_buckets
     for i, p in enumerate(prepared):
         spec = p.spec
         b, pk = f"__b{i}", f"__p{i}"
         part = [pk] if spec.partition_by else []
-        # Count table: one row per (partition, bucket) -> offset of the bucket and
-        # size of the partition. At most (#buckets + #partitions) rows.
-        counts = with_buckets.groupBy(*part, b).agg(F.count(F.lit(1)).alias("__c"))
+        counts = counts_for(i)
         w_run = Window.partitionBy(*part).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.select(
             *part, b,
