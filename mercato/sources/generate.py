@@ -236,9 +236,14 @@ def generate_orders(ids: DataFrame, n_customers: int = 2000, n_products: int = 5
     """One order per row of ``ids`` (a bigint column ``id``), in the orders CSV contract."""
     if n_customers < 1 or n_products < 1:
         raise ValueError("n_customers and n_products must be positive")
+    ids = ids.select(F.col("id").cast("bigint").alias("id"))
+    # Generation is CPU work per row: an id source narrower than the cluster
+    # (one file, one row group) is hash-spread first; wide sources are used as is.
+    width = ids.sparkSession.sparkContext.defaultParallelism
+    if ids.rdd.getNumPartitions() < width:
+        ids = ids.repartition(width, "id")
     with _seeded(seed):
-        return _select(_select(ids.select(F.col("id").cast("bigint").alias("id")),
-                               order_draws(n_customers, n_products)), order_values())
+        return _select(_select(ids, order_draws(n_customers, n_products)), order_values())
 
 
 def generate_customers(orders: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
