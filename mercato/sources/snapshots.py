@@ -6,7 +6,7 @@ No table-format jar is assumed. A versioned table is modelled as data:
 * a *reader* ``snapshot_id -> DataFrame`` giving the table as of that snapshot
   (a parquet folder per snapshot, or any derived DataFrame).
 
-Ancestry is a recursive CTE over the lineage; the changelog between two
+Ancestry is computed by pointer doubling over the lineage; the changelog between two
 snapshots is ``EXCEPT ALL`` both ways, computed as one tagged union and
 aggregation; ``_change_type`` marks INSERT / DELETE. With a table format
 that has its own changelog, pass its reader instead -- nothing else changes.
@@ -65,19 +65,51 @@ def from_catalog_table(spark: SparkSession, name: str, lineage: DataFrame) -> Ve
                           lambda s: spark.read.option("snapshot-id", str(s)).table(name))
 
 
-def ancestors(lineage: DataFrame) -> DataFrame:
-    """Every snapshot with each of its ancestors (itself at depth 0), per table.
+def ancestors(lineage: DataFrame, roots: list[int] | None = None, table_name: str | None = None) -> DataFrame:
+    """Every snapshot (or only ``roots``) with each of its ancestors, itself at depth 0.
 
     Output: table_name, snapshot_id, ancestor_id, depth -- depth 0 is the
     snapshot, 1 its parent, ... (newest first when ordered by depth).
-    The recursion re-reads ``lineage`` once per level, so pass a materialised
-    table (a lineage is one row per snapshot), not a plan over the data.
+
+    Pointer doubling: after round k every root knows its ancestors at depths
+    below 2^k, and a jump table holds each snapshot's 2^k-th ancestor; one join
+    of each doubles both. A chain of depth L takes about log2(L) rounds of
+    small joins (a recursive query would take L rounds). Both tables are
+    written to the shared checkpoint folder each round, so plans stay short.
     """
+    from mercato.session import cut_lineage
+
+    lin = lineage.select("table_name", "snapshot_id", "parent_id")
+    if table_name is not None:
+        lin = lin.filter(F.col("table_name") == table_name)
+    lin = cut_lineage(lin)
+    jump = lin.filter(F.col("parent_id").isNotNull()).select(
+        "table_name", F.col("snapshot_id").alias("__from"), F.col("parent_id").alias("__to"))
+    start = lin if roots is None else lin.filter(F.col("snapshot_id").isin([int(r) for r in roots]))
+    known = start.select("table_name", "snapshot_id", F.col("snapshot_id").alias("ancestor_id"),
+                         F.lit(0).alias("depth"))
+    span = 1
+    while True:
+        step = known.join(jump, (known.table_name == jump.table_name) & (known.ancestor_id == jump.__from)) \
+            .select(known.table_name, "snapshot_id", F.col("__to").alias("ancestor_id"),
+                    (F.col("depth") + span).alias("depth"))
+        if step.isEmpty():
+            return known
+        known = cut_lineage(known.unionByName(step))
+        j2 = jump.alias("a").join(jump.alias("b"), (F.col("a.table_name") == F.col("b.table_name"))
+                                  & (F.col("a.__to") == F.col("b.__from")))
+        jump = cut_lineage(j2.select(F.col("a.table_name").alias("table_name"), F.col("a.__from").alias("__from"),
+                                     F.col("b.__to").alias("__to")))
+        span *= 2
+
+
+def ancestors_recursive(lineage: DataFrame, max_depth: int = 100) -> DataFrame:
+    """The same ancestry as a recursive query (one iteration per level, up to ``max_depth``)."""
     spark = lineage.sparkSession
     view = f"__lineage_{next(_view_ids)}"
     lineage.select("table_name", "snapshot_id", "parent_id").createOrReplaceTempView(view)
     return spark.sql(f"""
-        WITH RECURSIVE anc (table_name, snapshot_id, ancestor_id, depth) AS (
+        WITH RECURSIVE anc (table_name, snapshot_id, ancestor_id, depth) MAX RECURSION LEVEL {int(max_depth) + 1} AS (
           SELECT table_name, snapshot_id, snapshot_id, 0 FROM {view}
           UNION ALL
           SELECT a.table_name, a.snapshot_id, l.parent_id, a.depth + 1
@@ -89,8 +121,8 @@ def ancestors(lineage: DataFrame) -> DataFrame:
 
 
 def ancestors_of(lineage: DataFrame, table_name: str, snapshot_id: int) -> DataFrame:
-    return ancestors(lineage).filter(
-        (F.col("table_name") == table_name) & (F.col("snapshot_id") == int(snapshot_id)))
+    """One snapshot's ancestors (linear in its depth)."""
+    return ancestors(lineage, roots=[snapshot_id], table_name=table_name)
 
 
 def common_ancestor(lineage: DataFrame, table_name: str, control_snapshot: int,
@@ -104,7 +136,7 @@ def common_ancestor(lineage: DataFrame, table_name: str, control_snapshot: int,
     """
     if which not in ("nearest", "oldest"):
         raise ValueError("which must be 'nearest' or 'oldest'")
-    anc = ancestors(lineage).filter(F.col("table_name") == table_name)
+    anc = ancestors(lineage, roots=[control_snapshot, target_snapshot], table_name=table_name)
     c = anc.filter(F.col("snapshot_id") == int(control_snapshot)).select(
         "ancestor_id", F.col("depth").alias("control_depth"))
     t = anc.filter(F.col("snapshot_id") == int(target_snapshot)).select(

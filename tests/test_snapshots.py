@@ -77,3 +77,14 @@ def test_changelog_equals_except_all_with_hot_duplicates(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
     parts = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in parts) < 2400   # the 2,400 DELETE copies are spread
+
+
+def test_deep_chain_doubling_matches_recursive_query(spark):
+    rows = [("t", i, (i - 1) if i > 0 else None) for i in range(150)] + [("t", 1000 + i, 10 * i) for i in range(5)]
+    lin = _lineage(spark, rows)
+    one = S.ancestors_of(lin, "t", 149).collect()
+    assert sorted((r.ancestor_id, r.depth) for r in one) == sorted((149 - d, d) for d in range(150))
+    got = sorted(map(tuple, S.ancestors(lin).collect()))
+    exp = sorted(map(tuple, S.ancestors_recursive(lin, max_depth=160).collect()))
+    assert got == exp and len(got) == 150 * 151 // 2 + sum(10 * i + 2 for i in range(5))
+    assert S.common_ancestor(lin, "t", 1004, 1003).first().ancestor_id == 30
