@@ -39,6 +39,7 @@ from mercato.session import cut_lineage
 DEFAULT_ROWS_PER_BUCKET = 250_000
 DEFAULT_MAX_BUCKETS = 1024
 DEFAULT_OVERSAMPLE = 64
+MAX_RANGE_PARTITIONS = 100_000   # beyond this a task takes more than rows_per_bucket rows
 
 
 @dataclass(frozen=True)
@@ -190,16 +191,27 @@ def _tile(rn: Column, n: Column, k: int) -> Column:
 
 def add_ranks(df: DataFrame, specs: list[RankSpec], n_rows: int | None = None,
               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, max_buckets: int = DEFAULT_MAX_BUCKETS,
-              oversample: int = DEFAULT_OVERSAMPLE, seed: int = 17) -> DataFrame:
+              oversample: int = DEFAULT_OVERSAMPLE, seed: int = 17, method: str = "auto") -> DataFrame:
     """Add one ``row_number`` / ``ntile`` column per spec, exact and distributed.
 
     ``df`` should be cheap to re-read (a checkpoint or a file scan): it is
-    scanned once for the count, once for the sample and once per count table.
+    scanned once for the count, once for the sample and once for the count
+    tables. When more than ``max_buckets`` ranges are needed (or
+    ``method="range"``), each spec goes through Spark's range partitioning
+    instead (``_rank_by_range_partitioning``).
     """
     if not specs:
         return df
     n = df.count() if n_rows is None else n_rows
-    buckets = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
+    wanted = max(1, math.ceil(n / max(1, rows_per_bucket)))
+    if wanted > max_buckets or method == "range":
+        # More ranges than a literal comparison tree should hold: let Spark's
+        # range partitioner place the rows (binary search over its own sample).
+        out = df
+        for spec in specs:
+            out = _rank_by_range_partitioning(out, spec, min(wanted, MAX_RANGE_PARTITIONS), n)
+        return out
+    buckets = max(1, min(max_buckets, wanted))
 
     if buckets == 1:
         # Bounded: at most rows_per_bucket rows in the whole input.
@@ -282,6 +294,41 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], n_rows: int | None = None,
     return out.drop(*helper)
 
 
+_POSITION_BITS = 33   # monotonically_increasing_id: partition index above, row index below
+
+
+def _rank_by_range_partitioning(df: DataFrame, spec: RankSpec, parts: int, n: int) -> DataFrame:
+    """One ranking column through ``repartitionByRange`` (no cap on the number of ranges).
+
+    The full sort key (partition columns, order keys, tie-breaks) is range
+    partitioned by Spark's sampler, so a hot value is split by its tie-breaks;
+    each range is sorted in its task and every row's position in its task is
+    the low bits of ``monotonically_increasing_id``. The result is written to
+    the shared checkpoint folder, so positions and the count table below are
+    read from the same placement. A count table per (task, partition value),
+    at most (#ranges + #partition values) rows, gives each row's offset.
+    """
+    from mercato.session import cut_lineage
+
+    order = [F.col(c).asc_nulls_first() for c in spec.partition_by] + _window_order(spec)
+    placed = (df.repartitionByRange(max(1, parts), *order).sortWithinPartitions(*order)
+              .withColumn("__t", F.spark_partition_id())
+              .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND((1 << _POSITION_BITS) - 1)))
+    placed = cut_lineage(placed)
+    part = [F.struct(*spec.partition_by).alias("__pk")] if spec.partition_by else []
+    pk = ["__pk"] if spec.partition_by else []
+    counts = placed.groupBy(*part, "__t").agg(F.count(F.lit(1)).alias("__c"), F.min("__pos").alias("__first"))
+    w_run = Window.partitionBy(*pk).orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*pk, "__t", "__first",
+                           F.coalesce(F.sum("__c").over(w_run), F.lit(0)).alias("__off"),
+                           F.sum("__c").over(Window.partitionBy(*pk)).alias("__n"))
+    keyed = placed.select("*", *part)
+    rn = F.col("__pos") - F.col("__first") + 1 + F.col("__off")
+    joined = keyed.join(counts, on=[*pk, "__t"])
+    value = _tile(rn, F.col("__n"), spec.ntile) if spec.ntile else rn.cast("int")
+    return joined.withColumn(spec.out, value).drop("__t", "__pos", "__first", "__off", "__n", *pk)
+
+
 def row_number_over(df: DataFrame, out: str, order: list[tuple[str, bool]], partition_by=(),
                     tiebreak=(), **kw) -> DataFrame:
     return add_ranks(df, [RankSpec(out, tuple(order), tuple(partition_by), tuple(tiebreak))], **kw)

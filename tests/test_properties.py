@@ -37,12 +37,13 @@ def test_diff_counts_match_brute_force(spark, a, b):
 @SETTINGS
 @given(vals=st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.sampled_from("pq")), min_size=1,
                      max_size=40),
-       rows_per_bucket=st.integers(1, 12), k=st.integers(1, 6))
-def test_ranks_match_brute_force(spark, vals, rows_per_bucket, k):
+       rows_per_bucket=st.integers(1, 12), k=st.integers(1, 6), method=st.sampled_from(["auto", "range"]))
+def test_ranks_match_brute_force(spark, vals, rows_per_bucket, k, method):
     df = spark.createDataFrame([(i, v, g) for i, (v, g) in enumerate(vals)], "id long, v int, g string")
     got = add_ranks(df, [RankSpec("r", (("v", False),), (), ("id",)),
                          RankSpec("pr", (("v", True),), ("g",), ("id",)),
-                         RankSpec("t", (("v", True),), (), ("id",), k)], rows_per_bucket=rows_per_bucket)
+                         RankSpec("t", (("v", True),), (), ("id",), k)], rows_per_bucket=rows_per_bucket,
+                    method=method)
     rows = {r.id: r for r in got.collect()}
     n = len(vals)
     # descending, NULLS LAST, then id

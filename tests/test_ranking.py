@@ -30,9 +30,10 @@ SPECS = [
 ]
 
 
-@pytest.mark.parametrize("rows_per_bucket", [100, 700, 10_000])
-def test_bucketed_ranks_equal_plain_windows(spark, skewed, rows_per_bucket):
-    got = add_ranks(skewed, SPECS, rows_per_bucket=rows_per_bucket)
+@pytest.mark.parametrize("rows_per_bucket,method", [(100, "auto"), (700, "auto"), (10_000, "auto"),
+                                                    (100, "range"), (400, "range")])
+def test_bucketed_ranks_equal_plain_windows(spark, skewed, rows_per_bucket, method):
+    got = add_ranks(skewed, SPECS, rows_per_bucket=rows_per_bucket, method=method)
     exp = skewed.select("id", *[_plain(s) for s in SPECS])
     j = got.join(exp, "id")
     assert j.count() == 3000
