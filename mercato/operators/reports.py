@@ -201,26 +201,34 @@ def customer_360(delivered: DataFrame, customers: DataFrame, products: DataFrame
         F.sum("_disc_n").alias("_disc_n"),
         F.sum("_disc_amt").alias("_disc_amt"),
     )
-    dims = customers.groupBy(*customers.columns).agg(F.count(F.lit(1)).alias("_mult"))
     segs = rfm.select("customer_id", "customer_value")
-    j = per_c.join(dims, "customer_id").join(segs, "customer_id", "left")
-    mult = F.col("_mult")
-    total_orders = (F.col("_n") * mult).alias("total_orders")
-    lifetime = (F.col("_value") * mult)
-    disc_n = (F.col("_disc_n") * mult)
-    out = j.select(
+    # Joined on customer_id (one row per customer on the left), then grouped by
+    # the customer attributes: a customer listed twice with equal attributes
+    # has its measures summed twice, as a row-level join would. The grouping
+    # reuses the join's partitioning by customer_id (no further exchange).
+    j = per_c.join(customers, "customer_id").join(segs, "customer_id", "left")
+    g = j.groupBy(*CUSTOMER_KEYS).agg(
+        F.sum("_n").alias("total_orders"),
+        F.sum("_value").alias("_value"),
+        F.max("brands_purchased").alias("brands_purchased"),
+        F.sum("_rating_sum").alias("_rating_sum"),
+        F.sum("_rating_n").alias("_rating_n"),
+        F.sum("_disc_n").alias("_disc_n"),
+        F.sum("_disc_amt").alias("_disc_amt"),
+    )
+    n = F.col("total_orders")
+    return g.select(
         *CUSTOMER_KEYS,
-        total_orders,
-        lifetime.cast("double").alias("lifetime_value"),
-        (lifetime.cast("double") / (F.col("_n") * mult)).alias("avg_order_value"),
+        "total_orders",
+        F.col("_value").cast("double").alias("lifetime_value"),
+        (F.col("_value").cast("double") / n).alias("avg_order_value"),
         "brands_purchased",
         F.when(F.col("_rating_n") > 0, F.col("_rating_sum") / F.col("_rating_n")).alias("avg_rating_given"),
-        disc_n.cast("bigint").alias("orders_with_discount"),
-        (F.col("_disc_amt") * mult).cast("double").alias("total_discounts_availed"),
-        ratio_or_zero(disc_n, F.col("_n") * mult, multiplier=100).alias("discount_affinity"),
-        ratio_or_zero(lifetime, F.col("account_age_days"), num_scale=MONEY_SCALE).alias("daily_value"),
+        F.col("_disc_n").cast("bigint").alias("orders_with_discount"),
+        F.col("_disc_amt").cast("double").alias("total_discounts_availed"),
+        ratio_or_zero("_disc_n", n, multiplier=100).alias("discount_affinity"),
+        ratio_or_zero("_value", F.col("account_age_days"), num_scale=MONEY_SCALE).alias("daily_value"),
     )
-    return out
 
 
 # --------------------------------------------------------------------- T5
