@@ -143,3 +143,14 @@ def test_reports_on_empty_input(spark, orders):
     for fn in (reports.revenue_analysis, reports.product_performance, reports.rfm_analysis,
                reports.daily_sales_moving_avg, reports.cohort_retention, reports.statistical_profile):
         assert fn(empty).count() == 0
+
+
+def test_plan_shapes(spark, orders):
+    from mercato.plans.inspect import plan_text
+    cohort = plan_text(reports.cohort_retention(orders), "simple")
+    assert "Window" not in cohort and "partial_collect_set" in cohort
+    revenue = plan_text(reports.revenue_analysis(orders), "simple")
+    assert "partial_sum" in revenue and "SinglePartition" not in revenue
+    daily = plan_text(reports.daily_sales_moving_avg(orders), "simple")
+    # the single ordered window runs after the per-day aggregation
+    assert daily.index("Window") < daily.index("HashAggregate")
