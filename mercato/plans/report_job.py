@@ -2,10 +2,11 @@
 
     python -m mercato.plans.report_job INPUT_PATH OUTPUT_PATH [--single-file]
 
-The delivered working set is validated once and written to the shared
-checkpoint folder (``spark.checkpoint.dir``), so the seven reports read a
-compact, column-pruned copy instead of re-parsing the CSV seven times, and a
-lost executor never forces a re-parse. Each report is computed once, by its
+The delivered working set is validated once and written as parquet to the
+shared checkpoint folder (``spark.checkpoint.dir``), so the seven reports read
+a compact columnar copy (each only its columns) instead of re-parsing the CSV
+seven times, and a lost executor never forces a re-parse. The copy is removed
+when the job ends. Each report is computed once, by its
 write; its row count is collected during that write with an ``Observation``
 (no second job). Writers run in parallel -- one file per task -- unless
 ``single_file`` asks for one file per report.
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators import clean, reports
-from mercato.session import cut_lineage
+from mercato.session import drop_table_files, write_table
 from mercato.sources.files import read_report_inputs
 
 # Columns of the fact that any report reads.
@@ -33,10 +34,10 @@ REPORT_NAMES = ("revenue_analysis", "product_performance", "rfm_analysis", "cust
                 "time_series", "cohort_analysis", "statistical_analysis")
 
 
-def working_set(orders: DataFrame, materialize: bool = True) -> DataFrame:
-    """Delivered, validated orders with only the columns the reports use."""
-    d = clean.delivered(orders).select(*WORKING_SET_COLUMNS)
-    return cut_lineage(d) if materialize else d
+def working_set(orders: DataFrame) -> tuple[DataFrame, str]:
+    """Delivered, validated orders with only the columns the reports use, written
+    once as parquet to the shared checkpoint folder: (table, path)."""
+    return write_table(clean.delivered(orders).select(*WORKING_SET_COLUMNS), "working_set")
 
 
 def build_reports(delivered: DataFrame, customers: DataFrame, products: DataFrame,
@@ -73,8 +74,11 @@ def write_reports(results: dict[str, DataFrame], output_path: str, single_file:
 def run(spark: SparkSession, input_path: str, output_path: str, single_file: bool = False,
         file_names: dict[str, str] | None = None) -> dict[str, int]:
     orders, customers, products = read_report_inputs(spark, input_path, file_names)
-    delivered = working_set(orders)
-    return write_reports(build_reports(delivered, customers, products), output_path, single_file)
+    delivered, path = working_set(orders)
+    try:
+        return write_reports(build_reports(delivered, customers, products), output_path, single_file)
+    finally:
+        drop_table_files(spark, path)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

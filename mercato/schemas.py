@@ -52,15 +52,6 @@ PRODUCTS_SCHEMA = T.StructType([
     T.StructField("num_reviews", T.IntegerType(), True),
 ])
 
-# Columns the reports read from the fact. Money may be double (CSV input) or
-# decimal (exact input); the reports cast money to ``decimal(18,2)`` once.
-FACT_COLUMNS = [
-    "order_id", "customer_id", "order_date", "delivery_date", "product_id",
-    "product_type", "category", "quantity", "total_amount", "discount_percent",
-    "discount_amount", "grand_total", "payment_method", "region", "city",
-    "customer_segment", "order_status", "rating", "is_prime_member",
-]
-
 # One compared table (D1). The optional grouped_* fields are NULL unless the
 # row counts of the two sides differ.
 DIFF_RESULT_SCHEMA = T.StructType([
@@ -78,10 +69,3 @@ DIFF_RESULT_SCHEMA = T.StructType([
     T.StructField("grouped_differences", T.LongType(), True),
     T.StructField("grouped_comparison_error", T.StringType(), True),
 ])
-
-# Snapshot lineage of a versioned table: one row per snapshot.
-LINEAGE_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("snapshot_id", T.LongType(), False),
-    T.StructField("parent_id", T.LongType(), True),
-])

@@ -86,3 +86,24 @@ def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
     obs = Observation()
     written = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("rows")))
     return written, int(obs.get["rows"])
+
+
+def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as parquet under ``{spark.checkpoint.dir}/tables/`` and read it back.
+
+    For a wide intermediate that several later jobs read: columnar and
+    compressed, so each reader scans only its columns (with filter pushdown),
+    and the copy survives executor loss. Returns (table, path).
+    """
+    import uuid
+
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def drop_table_files(spark: SparkSession, path: str) -> None:
+    """Remove a folder written by ``write_table`` (through the Hadoop file system of the path)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

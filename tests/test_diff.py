@@ -113,3 +113,10 @@ def test_diff_is_one_shuffle(spark):
     a = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
     c = compare_tables(a, a.filter("id % 5 <> 0"))
     assert count_exchanges(c.counts) == 1
+
+
+def test_result_record_schema_is_the_contract(spark):
+    from mercato.schemas import DIFF_RESULT_SCHEMA
+    r = rec(spark, [(1, 1.0, "a")], [(1, 1.0, "a"), (2, 2.0, "b")]).result
+    assert [(f.name, f.dataType) for f in r.schema.fields] == \
+        [(f.name, f.dataType) for f in DIFF_RESULT_SCHEMA.fields]

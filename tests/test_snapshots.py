@@ -88,3 +88,18 @@ def test_deep_chain_doubling_matches_recursive_query(spark):
     exp = sorted(map(tuple, S.ancestors_recursive(lin, max_depth=160).collect()))
     assert got == exp and len(got) == 150 * 151 // 2 + sum(10 * i + 2 for i in range(5))
     assert S.common_ancestor(lin, "t", 1004, 1003).first().ancestor_id == 30
+
+
+def test_snapshot_folders_with_lineage_paths(spark, scratch):
+    base = spark.range(100).select("id", (F.col("id") % 3).alias("g"))
+    base.filter("id < 60").write.parquet(f"{scratch}/s1")
+    base.filter("id < 80").write.parquet(f"{scratch}/s2")
+    base.filter("id < 60 or id >= 90").write.parquet(f"{scratch}/s3")
+    lin = spark.createDataFrame([("t", 1, None, f"{scratch}/s1"), ("t", 2, 1, f"{scratch}/s2"),
+                                 ("t", 3, 1, f"{scratch}/s3")],
+                                "table_name string, snapshot_id long, parent_id long, path string")
+    table = S.from_snapshot_paths(spark, "t", lin)
+    c, t, anc = S.cdc_views(table, 2, 3)
+    assert anc == 1 and c.count() == 20 and t.count() == 10
+    r = S.compare_snapshots(table, 2, 3).result.first()
+    assert (r.missing_rows_count, r.new_rows_count) == (20, 10)
