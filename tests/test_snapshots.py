@@ -103,3 +103,13 @@ def test_snapshot_folders_with_lineage_paths(spark, scratch):
     assert anc == 1 and c.count() == 20 and t.count() == 10
     r = S.compare_snapshots(table, 2, 3).result.first()
     assert (r.missing_rows_count, r.new_rows_count) == (20, 10)
+
+
+def test_catalog_pairs_with_snapshot_names(spark, fork):
+    from mercato.plans import diff_job
+    comps = diff_job.compare_catalog_pairs(spark, [("t@3", "t@4")], versioned={"t": fork}, mode="bag")
+    direct = S.compare_snapshots(fork, 3, 4, mode="bag").result.first()
+    r = comps[0].result.first()
+    assert r.table_name == "t" and r.total_differences == direct.total_differences > 0
+    with pytest.raises(ValueError):
+        diff_job.compare_catalog_pairs(spark, [("t@3", "u@8")], versioned={"t": fork})
