@@ -18,11 +18,14 @@ for the same total order. The boundaries only balance load: any boundaries
 give the right answer. The key includes the tie-break columns, so even a
 single value that holds a third of all rows is split across buckets.
 
-B = ceil(N / rows_per_bucket) capped at ``max_buckets``; with B = 1 the
-operator is the plain window, whose single task is then bounded by
-``rows_per_bucket`` rows. The only eager work is one ``count`` (skipped when
-the caller passes ``n_rows``) and one sample of at most
-``B * oversample`` keys, collected to pick the boundaries.
+B = ceil(N / rows_per_bucket); with B = 1 the operator is the plain window,
+whose single task is then bounded by ``rows_per_bucket`` rows. Eager work: one
+``count`` (skipped when the caller passes ``n_rows``), one sample of about
+``B * oversample`` keys collected to pick the boundaries, and -- for several
+ranks at once -- one grouping-sets pass that writes all count tables.
+
+Beyond ``max_buckets`` ranges a literal tree would be too large; each rank
+then uses Spark's range partitioner (``_rank_by_range_partitioning``).
 """
 
 from __future__ import annotations
