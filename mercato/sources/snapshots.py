@@ -79,10 +79,11 @@ def ancestors(lineage: DataFrame, roots: list[int] | None = None, table_name: st
     """
     from mercato.session import cut_lineage
 
+    # the lineage is read twice (jump table, start rows): pass a materialised
+    # table, one row per snapshot, not a plan over the data
     lin = lineage.select("table_name", "snapshot_id", "parent_id")
     if table_name is not None:
         lin = lin.filter(F.col("table_name") == table_name)
-    lin = cut_lineage(lin)
     jump = lin.filter(F.col("parent_id").isNotNull()).select(
         "table_name", F.col("snapshot_id").alias("__from"), F.col("parent_id").alias("__to"))
     start = lin if roots is None else lin.filter(F.col("snapshot_id").isin([int(r) for r in roots]))
