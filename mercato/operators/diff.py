@@ -130,18 +130,22 @@ def multiplicity_changes(counts: DataFrame) -> DataFrame:
             .withColumnRenamed(C_N, "control_n").withColumnRenamed(T_N, "target_n"))
 
 
+def _stat_exprs() -> dict:
+    c, t = F.col(C_N), F.col(T_N)
+    return {
+        "control_count": F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias("control_count"),
+        "target_count": F.coalesce(F.sum(t), F.lit(0)).cast("bigint").alias("target_count"),
+        "missing_rows_count": count_when((c > 0) & (t == 0)).alias("missing_rows_count"),
+        "new_rows_count": count_when((t > 0) & (c == 0)).alias("new_rows_count"),
+        "changed_multiplicity_count": count_when((c > 0) & (t > 0) & (c != t)).alias("changed_multiplicity_count"),
+        "distinct_control_count": count_when(c > 0).alias("distinct_control_count"),
+        "bag_differences": F.coalesce(F.sum(F.abs(c - t)), F.lit(0)).cast("bigint").alias("bag_differences"),
+    }
+
+
 def diff_counts(counts: DataFrame) -> DataFrame:
     """All counts of the result record in one aggregation (one row)."""
-    c, t = F.col(C_N), F.col(T_N)
-    return counts.agg(
-        F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias("control_count"),
-        F.coalesce(F.sum(t), F.lit(0)).cast("bigint").alias("target_count"),
-        count_when((c > 0) & (t == 0)).alias("missing_rows_count"),
-        count_when((t > 0) & (c == 0)).alias("new_rows_count"),
-        count_when((c > 0) & (t > 0) & (c != t)).alias("changed_multiplicity_count"),
-        count_when(c > 0).alias("distinct_control_count"),
-        F.coalesce(F.sum(F.abs(c - t)), F.lit(0)).cast("bigint").alias("bag_differences"),
-    )
+    return counts.agg(*_stat_exprs().values())
 
 
 def result_record(stats: DataFrame, table_name: str, tolerance: float, mode: str = "set",
@@ -197,6 +201,25 @@ class Comparison:
         return result_record(diff_counts(self.counts), self.table_name, self.tolerance, self.mode,
                              self.run_timestamp)
 
+    def differences_only(self) -> "Comparison":
+        """One job: the rows that differ are written to the shared checkpoint folder
+        (usually a small set) while the record's counts over *all* rows are
+        observed during that same write. The returned comparison's record and
+        row outputs then read only that small copy."""
+        from pyspark.sql import Observation
+
+        from mercato.session import write_table
+
+        obs = Observation()
+        stats_cols = diff_counts(self.counts).columns
+        observed = self.counts.observe(obs, *[_stat_exprs()[c] for c in stats_cols])
+        table, _ = write_table(observed.filter(F.col(C_N) != F.col(T_N)), f"diff-{self.table_name}")
+        stats = obs.get
+        spark = self.counts.sparkSession
+        row = spark.createDataFrame([tuple(int(stats[c]) for c in stats_cols)],
+                                    ", ".join(f"{c} bigint" for c in stats_cols))
+        return _Observed(self.table_name, table, self.tolerance, self.mode, self.run_timestamp, row)
+
     def materialized(self) -> "Comparison":
         """The same comparison over counts written once to the shared checkpoint
         folder: the record and the missing / new row outputs then read that copy
@@ -218,6 +241,18 @@ class Comparison:
         return multiplicity_changes(self.counts)
 
 
+@dataclass
+class _Observed(Comparison):
+    """A comparison whose ``counts`` hold only the differing rows and whose
+    record comes from statistics observed over all rows."""
+
+    stats: DataFrame | None = None
+
+    @property
+    def result(self) -> DataFrame:
+        return result_record(self.stats, self.table_name, self.tolerance, self.mode, self.run_timestamp)
+
+
 def compare_tables(control: DataFrame, target: DataFrame, table_name: str = "unknown",
                    precision: int | None = None, tolerance: float = 0.0, mode: str = "set",
                    run_timestamp: str | None = None) -> Comparison:

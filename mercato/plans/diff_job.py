@@ -190,9 +190,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None,
     else:
         comps = compare_catalog_pairs(spark, list(zip(args.control_tables, args.target_tables)),
                                       versioned, run_timestamp=ts, **kw)
-    if args.output_path:
-        # the record, the samples and the written diff rows all read one copy
-        comps = [c.materialized() for c in comps]
+    # One aggregation per table: the differing rows are written once (with the
+    # record's counts observed in the same job); record, samples and output
+    # files then read that small copy.
+    comps = [c.differences_only() for c in comps]
     results = results_frame(comps).cache()  # a handful of rows, read by summary and writes
     for row in results.collect():
         print(f"{row.table_name}: control={row.control_count} target={row.target_count} "

@@ -120,3 +120,14 @@ def test_result_record_schema_is_the_contract(spark):
     r = rec(spark, [(1, 1.0, "a")], [(1, 1.0, "a"), (2, 2.0, "b")]).result
     assert [(f.name, f.dataType) for f in r.schema.fields] == \
         [(f.name, f.dataType) for f in DIFF_RESULT_SCHEMA.fields]
+
+
+def test_differences_only_keeps_record_and_rows(spark):
+    a = [(i, float(i % 3), "x") for i in range(50)] + [(1, 1.0, "x")]
+    b = [(i, float(i % 3), "x") for i in range(5, 55)]
+    full = rec(spark, a, b, tolerance=0.5)
+    small = full.differences_only()
+    assert small.result.first().asDict() == full.result.first().asDict()
+    assert sorted(map(tuple, small.missing.collect())) == sorted(map(tuple, full.missing.collect()))
+    assert sorted(map(tuple, small.new.collect())) == sorted(map(tuple, full.new.collect()))
+    assert sorted(map(tuple, small.changed.collect())) == sorted(map(tuple, full.changed.collect()))
