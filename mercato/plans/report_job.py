@@ -1,6 +1,7 @@
 """Report job (E1, K1): three inputs -> delivered working set -> seven reports -> CSV.
 
     python -m mercato.plans.report_job INPUT_PATH OUTPUT_PATH [--single-file]
+        [--orders-file orders.csv] [--customers-file customers.csv] [--products-file products.csv]
 
 The delivered working set is validated once and written as parquet to the
 shared checkpoint folder (``spark.checkpoint.dir``), so the seven reports read
@@ -88,10 +89,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("input_path")
     p.add_argument("output_path")
     p.add_argument("--single-file", action="store_true", help="one CSV file per report")
+    p.add_argument("--orders-file", default="orders.csv")
+    p.add_argument("--customers-file", default="customers.csv")
+    p.add_argument("--products-file", default="products.csv")
     args = p.parse_args(argv)
     spark = spark or get_session(app_name="mercato-reports")
     t0 = time.time()
-    counts = run(spark, args.input_path.rstrip("/"), args.output_path.rstrip("/"), args.single_file)
+    names = {"orders": args.orders_file, "customers": args.customers_file, "products": args.products_file}
+    counts = run(spark, args.input_path.rstrip("/"), args.output_path.rstrip("/"), args.single_file, names)
     for name, n in counts.items():
         print(f"{name}: {n} rows", file=sys.stderr)
     print(f"done in {time.time() - t0:.2f} s", file=sys.stderr)

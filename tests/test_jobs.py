@@ -84,3 +84,14 @@ def test_no_python_udf_in_any_registered_plan(spark):
     from mercato.plans.inspect import has_python_udf
     for name, fn in E.queries().items():
         assert not has_python_udf(fn(spark, "/root/testdata/sf0.001")), name
+
+
+def test_report_job_custom_file_names(spark, scratch):
+    orders = G.generate_orders(spark.range(800), 100, 150)
+    orders.write.option("header", "true").csv(f"{scratch}/in/my_orders.csv")
+    G.generate_customers(orders).write.option("header", "true").csv(f"{scratch}/in/my_customers.csv")
+    G.generate_products(orders).write.option("header", "true").csv(f"{scratch}/in/my_products.csv")
+    rc = report_job.main([f"{scratch}/in", f"{scratch}/out", "--orders-file", "my_orders.csv",
+                          "--customers-file", "my_customers.csv", "--products-file", "my_products.csv"],
+                         spark=spark)
+    assert rc == 0 and spark.read.option("header", "true").csv(f"{scratch}/out/customer_360").count() > 0
