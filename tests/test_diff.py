@@ -131,3 +131,11 @@ def test_differences_only_keeps_record_and_rows(spark):
     assert sorted(map(tuple, small.missing.collect())) == sorted(map(tuple, full.missing.collect()))
     assert sorted(map(tuple, small.new.collect())) == sorted(map(tuple, full.new.collect()))
     assert sorted(map(tuple, small.changed.collect())) == sorted(map(tuple, full.changed.collect()))
+
+
+def test_differences_only_record_needs_no_second_pass(spark):
+    a = [(i, float(i), "x") for i in range(30)]
+    small = rec(spark, a, a[:25]).differences_only()
+    plan = small.result._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Scan" in plan          # a one-row local table, no re-aggregation
+    assert small.counts.count() == 5                         # only the differing rows were written
