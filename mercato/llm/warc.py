@@ -116,8 +116,8 @@ def record_chain(candidates: DataFrame) -> DataFrame:
     reached = cut_lineage(candidates.where("off = 0").select("file", "off").distinct())
     rounds = max(1, math.ceil(math.log2(blocks + 1))) if blocks else 0
     for k in range(rounds):
-        reached = cut_lineage(reached.join(jumps, ["file", "off"]).select(
-            "file", F.explode(F.array("off", "leave")).alias("off")).distinct())
+        further = reached.join(jumps, ["file", "off"]).select("file", F.col("leave").alias("off"))
+        reached = cut_lineage(reached.unionByName(further).distinct())
         if k + 1 < rounds:
             onward = jumps.select("file", F.col("off").alias("leave"), F.col("leave").alias("next"))
             jumps = cut_lineage(jumps.join(onward, ["file", "leave"]).select(
