@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import exact, line_dedup, mixing, packing, warc
+from mercato.llm import exact, jaccard, line_dedup, mixing, packing, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op5_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(read(spark, sf_dir, "documents"), keep="max")
 
 
+def op6_ngram_jaccard(spark, sf_dir):
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op7_pack_documents(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
@@ -41,4 +45,5 @@ def op10_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op5_exact_dedup, op7_pack_documents, op9_line_dedup, op10_warc)}
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op5_exact_dedup, op6_ngram_jaccard, op7_pack_documents, op9_line_dedup, op10_warc)}

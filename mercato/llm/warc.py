@@ -43,10 +43,11 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0,
     # a line end inside a URL would end its header line
     rows = (rows.withColumn("url", F.regexp_replace("url", r"[\r\n]", "%0A"))
             .withColumn("bytes", F.octet_length("html").cast("long")).withColumn("digest", base32_sha1(F.col("html"))))
-    first = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first_id"))
-    rows = rows.join(first, ["digest", "bytes"])
-    revisit = F.coalesce((F.col("bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-                         & F.col("first_id").isNotNull(), F.lit(False))
+    copied = rows.groupBy("digest", "bytes").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    # written, so that the planner knows its size: payloads are only shuffled if copies are many
+    copied, _ = write_table(copied.where((F.col("n") > 1) & (F.col("bytes") >= min_bytes)).drop("n"), "warc-copied")
+    rows = rows.join(copied, ["digest", "bytes"], "left")
+    revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("bytes").cast("string"), F.lit(BREAK))
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("html")))
