@@ -40,13 +40,13 @@ def word_hashes(words: pa.Array) -> np.ndarray:
     _, ends, data = words.buffers()
     ends = np.frombuffer(ends, np.int64)[words.offset:words.offset + len(words) + 1]
     data = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].astype(np.uint64)
-    starts = ends[:-1] - ends[0]
-    if len(data) == 0:
-        return np.zeros(len(words), np.uint64)
-    place = np.arange(len(data)) - np.repeat(starts, np.diff(ends))
+    starts, lengths = ends[:-1] - ends[0], np.diff(ends)
+    place = np.arange(len(data)) - np.repeat(starts, lengths)
     weights = mixed(np.arange(1, int(place.max(initial=0)) + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    # an empty word (its code is never used) may start past the last byte
-    return mixed(np.add.reduceat((data + np.uint64(1)) * weights[place], np.minimum(starts, len(data) - 1)))
+    out = np.zeros(len(words), np.uint64)
+    if len(data):  # an empty word has no bytes to add up
+        out[lengths > 0] = np.add.reduceat((data + np.uint64(1)) * weights[place], starts[lengths > 0])
+    return mixed(out)
 
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
