@@ -62,4 +62,15 @@ SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM q"""
 
-ORACLE_SQL = {"op1_mix_sources": MIX, "op5_exact_dedup": EXACT, "op6_ngram_jaccard": JACCARD, "op9_line_dedup": LINES, "op10_warc": WARC}
+VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT e.vec_id, (SELECT count(*) FROM u WHERE u.a = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN c ON c.node = e.vec_id"""
+
+ORACLE_SQL = {"op2_embedding_neardup": VECTORS, "op1_mix_sources": MIX, "op5_exact_dedup": EXACT, "op6_ngram_jaccard": JACCARD, "op9_line_dedup": LINES, "op10_warc": WARC}

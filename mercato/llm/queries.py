@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import exact, jaccard, line_dedup, mixing, packing, warc
+from mercato.llm import embeddings, exact, jaccard, line_dedup, mixing, packing, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_mix_sources(spark, sf_dir):
         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_embedding_neardup(spark, sf_dir):
+    return embeddings.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(read(spark, sf_dir, "documents"), keep="max")
 
@@ -46,4 +50,4 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op5_exact_dedup, op6_ngram_jaccard, op7_pack_documents, op9_line_dedup, op10_warc)}
+    op1_mix_sources, op2_embedding_neardup, op5_exact_dedup, op6_ngram_jaccard, op7_pack_documents, op9_line_dedup, op10_warc)}
