@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import embeddings, exact, jaccard, line_dedup, mixing, packing, warc
+from mercato.llm import embeddings, exact, jaccard, language, line_dedup, mixing, packing, pii, toxicity, warc
+from mercato.llm.labelled import held_out
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,18 @@ def op2_embedding_neardup(spark, sf_dir):
     return embeddings.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op3_personal_data(spark, sf_dir):
+    return pii.find_personal_data(read(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(read(spark, sf_dir, "documents"), keep="max")
 
@@ -35,6 +48,12 @@ def op7_pack_documents(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op8_language(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return language.identify_languages(docs, language.train(docs)).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_line_dedup(spark, sf_dir):
     rows = line_dedup.without_repeated_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("row.text", F.lit(""))
@@ -50,4 +69,5 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_embedding_neardup, op5_exact_dedup, op6_ngram_jaccard, op7_pack_documents, op9_line_dedup, op10_warc)}
+    op1_mix_sources, op2_embedding_neardup, op3_personal_data, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard,
+    op7_pack_documents, op8_language, op9_line_dedup, op10_warc)}
