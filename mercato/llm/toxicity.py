@@ -109,9 +109,12 @@ class Landmarks:
         lengths = np.asarray(pc.utf8_length(words), dtype=np.int64)
         usable = np.flatnonzero((lengths >= 3) & (lengths <= WORD))
         sets = letter_sets(words.take(pa.array(usable)))
-        close = np.bitwise_count(sets[:, None] & self.sets[None, :]) >= self.need
-        close &= lengths[usable][:, None] <= self.longest[None, :]
-        which, mark = np.nonzero(close)
+        found = [np.zeros((2, 0), np.int64)]
+        for k in range(0, len(usable), 16384):
+            close = np.bitwise_count(sets[k:k + 16384, None] & self.sets[None, :]) >= self.need
+            close &= lengths[usable[k:k + 16384]][:, None] <= self.longest[None, :]
+            found.append(np.stack(np.nonzero(close)) + [[k], [0]])
+        which, mark = np.concatenate(found, axis=1)
         near, row = np.unique(which, return_inverse=True)
         texts = words.take(pa.array(usable[near])).to_pylist()
         points, size = letters_of(texts, WORD, 0), lengths[usable][near]
