@@ -14,7 +14,7 @@ DELIVERED = "Delivered"
 
 
 def validate_orders(orders: DataFrame) -> DataFrame:
-    """Keep rows with all required fields, ``grand_total >= 0`` and ``quantity > 0``.
+    """Keep rows with all required fields, ``grand_total >= 0`` (not NaN) and ``quantity > 0``.
 
     A plain conjunctive filter: Catalyst pushes the null checks and comparisons
     into the scan (``PushedFilters``) when the input is a file source.
@@ -22,7 +22,7 @@ def validate_orders(orders: DataFrame) -> DataFrame:
     cond = F.lit(True)
     for c in REQUIRED_NOT_NULL:
         cond = cond & F.col(c).isNotNull()
-    return orders.filter(cond & (F.col("grand_total") >= 0) & (F.col("quantity") > 0))
+    return orders.filter(cond & (F.col("grand_total") >= 0) & ~F.isnan(F.col("grand_total").cast("double")) & (F.col("quantity") > 0))
 
 
 def sanitize_rating(orders: DataFrame) -> DataFrame:
@@ -32,8 +32,13 @@ def sanitize_rating(orders: DataFrame) -> DataFrame:
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
-    """Validated and sanitised fact with money as exact ``decimal(18,2)``."""
-    return sanitize_rating(validate_orders(with_money_as_decimal(orders)))
+    """Validated and sanitised fact with money as exact ``decimal(18,2)``.
+
+    The input values are validated, then converted: a small negative amount is not
+    rounded into a valid one, and a valid amount that the money type cannot hold
+    fails the job instead of dropping its row.
+    """
+    return sanitize_rating(with_money_as_decimal(validate_orders(orders)))
 
 
 def delivered(orders: DataFrame) -> DataFrame:

@@ -294,7 +294,10 @@ def replicate_rows(df: DataFrame, copies: str, chunk: int = DEFAULT_CHUNK) -> Da
     chunks = big.select(*[_q(c) for c in data], n.alias("__n"),
                         F.explode(F.sequence(F.lit(0), ((n - 1) / chunk).cast("int"))).alias("__chunk"))
     sizes = F.least(F.lit(chunk), F.col("__n") - F.col("__chunk") * chunk).cast("int")
-    spread = (chunks.repartition(F.xxhash64(*[_q(c) for c in data], F.col("__chunk")))
+    # an explicit number keeps AQE from merging the chunk rows, which are small until expanded;
+    # the data columns are no keys, as maps cannot be hashed
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = (chunks.repartition(parts, F.col("__chunk"), F.col("__n"))
               .select(*[_q(c) for c in data], F.explode(F.sequence(F.lit(1), sizes)).alias("__i"))
               .drop("__i"))
     return small.unionByName(spread)

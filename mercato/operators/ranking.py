@@ -291,7 +291,7 @@ def add_ranks(df: DataFrame, specs: list[RankSpec], n_rows: int | None = None,
         w = Window.partitionBy(*part, b).orderBy(*_window_order(spec))
         out = out.withColumn(f"__rn{i}", F.row_number().over(w)).join(counts, on=[*part, b])
         rn = F.col(f"__rn{i}") + F.col(f"__off{i}")
-        value = _tile(rn, F.col(f"__n{i}"), spec.ntile) if spec.ntile else rn.cast("int")
+        value = _tile(rn, F.col(f"__n{i}"), spec.ntile) if spec.ntile else rn.cast("long")
         out = out.withColumn(spec.out, value).drop(f"__rn{i}", f"__off{i}", f"__n{i}")
     helper = [c for c in out.columns if c[:3] in ("__b", "__p", "__k")]
     return out.drop(*helper)
@@ -328,7 +328,7 @@ def _rank_by_range_partitioning(df: DataFrame, spec: RankSpec, parts: int, n: in
     keyed = placed.select("*", *part)
     rn = F.col("__pos") - F.col("__first") + 1 + F.col("__off")
     joined = keyed.join(counts, on=[*pk, "__t"])
-    value = _tile(rn, F.col("__n"), spec.ntile) if spec.ntile else rn.cast("int")
+    value = _tile(rn, F.col("__n"), spec.ntile) if spec.ntile else rn.cast("long")
     return joined.withColumn(spec.out, value).drop("__t", "__pos", "__first", "__off", "__n", *pk)
 
 

@@ -28,7 +28,7 @@ from mercato.session import cut_lineage, cut_lineage_counted
 
 MONEY_SCALE = 2
 QUANTILES = (0.25, 0.5, 0.75)
-DEFAULT_QUANTILE_ACCURACY = 10_000
+DEFAULT_QUANTILE_ACCURACY = 1_000_000
 
 # Segment rule, first match wins (fixed values of the report contract):
 #   r >= 4 and f >= 4 and m >= 4 -> Champions

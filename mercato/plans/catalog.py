@@ -231,7 +231,7 @@ _LI_ORDER = ", ".join(f"{k} ASC NULLS FIRST" for k in _LI_KEYS)
 QUERIES.update({"global_rank": global_rank, "global_ntile": global_ntile})
 ORACLE_SQL.update({
     "global_rank": f"""SELECT {', '.join(_LI_KEYS)}, l_extendedprice,
-       CAST(row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, {_LI_ORDER}) AS INTEGER) AS price_rank
+       CAST(row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, {_LI_ORDER}) AS BIGINT) AS price_rank
 FROM lineitem""",
     "global_ntile": f"""SELECT {', '.join(_LI_KEYS)}, l_quantity,
        CAST(ntile(5) OVER (ORDER BY l_quantity ASC NULLS FIRST, {_LI_ORDER}) AS INTEGER) AS quantity_quintile

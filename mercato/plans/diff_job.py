@@ -19,12 +19,14 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators.diff import Comparison, compare_tables, sample_rows
+from mercato.schemas import DIFF_RESULT_SCHEMA
 from mercato.sources.files import read_catalog_table, read_table_pair
 from mercato.sources.snapshots import VersionedTable, compare_snapshots, parse_qualified
 
@@ -33,27 +35,60 @@ def _now() -> str:
     return dt.datetime.now().isoformat()
 
 
+@dataclass
+class FailedComparison:
+    """A table that could not be compared: its record carries the error."""
+
+    spark: SparkSession
+    table_name: str
+    error: str
+    tolerance: float
+    run_timestamp: str
+
+    @property
+    def result(self) -> DataFrame:
+        row = (self.table_name, 0, 0, 0, 0, 0, float(self.tolerance), 0.0, False, self.run_timestamp, None, None, self.error)
+        return self.spark.createDataFrame([row], DIFF_RESULT_SCHEMA)
+
+
+def _guarded(spark: SparkSession, name: str, keep_going: bool, ts: str, tolerance: float, build):
+    """The comparison that ``build`` makes, or with ``keep_going`` a failed record."""
+    try:
+        return build()
+    except Exception as e:  # noqa: BLE001 - one bad table must not lose the others' results
+        if not keep_going:
+            raise
+        return FailedComparison(spark, name, f"{type(e).__name__}: {e}", tolerance, ts)
+
+
 def compare_directories(spark: SparkSession, tables: list[str], control_root: str, target_root: str,
                         fmt: str = "parquet", csv_options: dict | None = None,
-                        run_timestamp: str | None = None, **compare_kw) -> list[Comparison]:
-    """Directory mode (D3): ``{control_root}/{t}`` vs ``{target_root}/{t}`` for each table."""
+                        run_timestamp: str | None = None, keep_going: bool = False,
+                        **compare_kw) -> list[Comparison | FailedComparison]:
+    """Directory mode (D3): ``{control_root}/{t}`` vs ``{target_root}/{t}`` for each table.
+
+    With ``keep_going`` a table that cannot be compared becomes a failed record.
+    """
     ts = run_timestamp or _now()
-    out = []
-    for t in tables:
+
+    def one(t: str) -> Comparison:
         control, target = read_table_pair(spark, t, control_root, target_root, fmt, **(csv_options or {}))
-        out.append(compare_tables(control, target, t, run_timestamp=ts, **compare_kw))
-    return out
+        return compare_tables(control, target, t, run_timestamp=ts, **compare_kw)
+
+    tolerance = compare_kw.get("tolerance", 0.0)
+    return [_guarded(spark, t, keep_going, ts, tolerance, lambda t=t: one(t)) for t in tables]
 
 
 def compare_catalog_pairs(spark: SparkSession, pairs: list[tuple[str, str]],
                           versioned: dict[str, VersionedTable] | None = None,
                           run_timestamp: str | None = None, which_ancestor: str = "nearest",
-                          **compare_kw) -> list[Comparison]:
+                          keep_going: bool = False, **compare_kw) -> list[Comparison | FailedComparison]:
     """Catalog mode (D2): each (control, target) name pair; ``table@snapshot`` names
-    are looked up in ``versioned`` and compared through their changelogs."""
+    are looked up in ``versioned`` and compared through their changelogs, or else read by
+    the catalog's ``snapshot-id`` option and compared in full."""
     ts = run_timestamp or _now()
-    out = []
-    for ctrl_name, target_name in pairs:
+
+    def one(ctrl_name: str, target_name: str) -> Comparison:
         c_table, c_snap = parse_qualified(ctrl_name)
         t_table, t_snap = parse_qualified(target_name)
         if c_snap is not None or t_snap is not None:
@@ -61,14 +96,16 @@ def compare_catalog_pairs(spark: SparkSession, pairs: list[tuple[str, str]],
                 raise ValueError(f"both names need a snapshot: {ctrl_name}, {target_name}")
             if c_table != t_table:
                 raise ValueError(f"{c_table} and {t_table} are not the same table")
-            if not versioned or c_table not in versioned:
-                raise KeyError(f"no versioned table registered as {c_table!r}")
-            out.append(compare_snapshots(versioned[c_table], c_snap, t_snap, which=which_ancestor,
-                                         run_timestamp=ts, **compare_kw))
-        else:
-            out.append(compare_tables(read_catalog_table(spark, ctrl_name), read_catalog_table(spark, target_name),
-                                      ctrl_name, run_timestamp=ts, **compare_kw))
-    return out
+            if versioned and c_table in versioned:
+                return compare_snapshots(versioned[c_table], c_snap, t_snap, which=which_ancestor,
+                                         run_timestamp=ts, **compare_kw)
+            control, target = (spark.read.option("snapshot-id", s).table(c_table) for s in (c_snap, t_snap))
+            return compare_tables(control, target, c_table, run_timestamp=ts, **compare_kw)
+        return compare_tables(read_catalog_table(spark, ctrl_name), read_catalog_table(spark, target_name),
+                              ctrl_name, run_timestamp=ts, **compare_kw)
+
+    tolerance = compare_kw.get("tolerance", 0.0)
+    return [_guarded(spark, c, keep_going, ts, tolerance, lambda c=c, t=t: one(c, t)) for c, t in pairs]
 
 
 def results_frame(comparisons: list[Comparison]) -> DataFrame:
@@ -186,20 +223,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None,
         csv = dict(csv_header=args.csv_header == "true", csv_infer_schema=args.csv_infer_schema == "true",
                    csv_delimiter=args.csv_delimiter)
         comps = compare_directories(spark, args.tables, args.control_root, args.target_root, args.format,
-                                    csv, run_timestamp=ts, **kw)
+                                    csv, run_timestamp=ts, keep_going=True, **kw)
     else:
         comps = compare_catalog_pairs(spark, list(zip(args.control_tables, args.target_tables)),
-                                      versioned, run_timestamp=ts, **kw)
+                                      versioned, run_timestamp=ts, keep_going=True, **kw)
     # One aggregation per table: the differing rows are written once (with the
     # record's counts observed in the same job); record, samples and output
     # files then read that small copy.
-    comps = [c.differences_only() for c in comps]
+    comps = [c if isinstance(c, FailedComparison) else
+             _guarded(spark, c.table_name, True, ts, args.row_diff_tolerance, c.differences_only) for c in comps]
     results = results_frame(comps).cache()  # a handful of rows, read by summary and writes
     for row in results.collect():
         print(f"{row.table_name}: control={row.control_count} target={row.target_count} "
-              f"missing={row.missing_rows_count} new={row.new_rows_count} passed={row.passed}",
+              f"missing={row.missing_rows_count} new={row.new_rows_count} passed={row.passed}"
+              + (f" error={row.grouped_comparison_error}" if row.grouped_comparison_error else ""),
               file=sys.stderr)
-    for c in comps:                      # K5: a few differing rows, untruncated
+    compared = [c for c in comps if not isinstance(c, FailedComparison)]
+    unwritten = 0
+    for c in compared:                      # K5: a few differing rows, untruncated
         for label, df in (("new", c.new), ("missing", c.missing)):
             rows = sample_rows(df).collect()
             if rows:
@@ -208,12 +249,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None,
                     print(f"  {tuple(r)}", file=sys.stderr)
     failed = results.filter(~F.col("passed")).count()
     if args.output_path:
-        for c in comps:
-            write_differences(c, args.output_path)
+        for c in compared:
+            for kind, path in write_differences(c, args.output_path).items():
+                unwritten += path.startswith("error: ")
+                print(f"{c.table_name} {kind}: {path}", file=sys.stderr)
         doc = summary_document(results, tolerance=args.row_diff_tolerance, control_root=args.control_root,
                                target_root=args.target_root, run_timestamp=ts)
         print(f"summary: {write_summary(doc, args.output_path)}", file=sys.stderr)
-    return 1 if failed else 0
+    return 1 if failed or unwritten else 0
 
 
 if __name__ == "__main__":

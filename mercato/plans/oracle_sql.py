@@ -128,9 +128,9 @@ perf AS (
 ),
 ranked AS (
   SELECT *,
-    CAST(row_number() OVER (PARTITION BY category ORDER BY rev DESC NULLS LAST, {_GRAIN}) AS INTEGER) AS rank_in_category,
-    CAST(row_number() OVER (PARTITION BY region ORDER BY rev DESC NULLS LAST, {_GRAIN}) AS INTEGER) AS rank_in_region,
-    CAST(row_number() OVER (ORDER BY rev DESC NULLS LAST, {_GRAIN}) AS INTEGER) AS overall_rank,
+    CAST(row_number() OVER (PARTITION BY category ORDER BY rev DESC NULLS LAST, {_GRAIN}) AS BIGINT) AS rank_in_category,
+    CAST(row_number() OVER (PARTITION BY region ORDER BY rev DESC NULLS LAST, {_GRAIN}) AS BIGINT) AS rank_in_region,
+    CAST(row_number() OVER (ORDER BY rev DESC NULLS LAST, {_GRAIN}) AS BIGINT) AS overall_rank,
     SUM(rev) OVER (PARTITION BY category) AS cat_rev
   FROM perf
 )""")

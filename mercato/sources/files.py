@@ -67,7 +67,15 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def with_money_as_decimal(df: DataFrame, columns=("total_amount", "discount_amount", "grand_total")) -> DataFrame:
-    """Cast money columns to ``decimal(18,2)`` so sums are exact."""
+    """Cast money columns to ``decimal(18,2)`` so sums are exact.
+
+    ``grand_total`` is a validated amount: one that the type cannot hold raises.
+    The optional amounts become NULL then.
+    """
+    money = "decimal(18,2)"
+    amount = F.col("grand_total")
+    fits = F.when(amount.isNotNull() & amount.try_cast(money).isNull(),
+                  F.raise_error(F.concat(F.lit("grand_total does not fit decimal(18,2): "), amount.cast("string"))))
+    strict = fits.otherwise(amount.try_cast(money)).cast(money)
     present = [c for c in columns if c in df.columns]
-    # try_cast: a value too large for the money type becomes NULL and fails validation
-    return df.withColumns({c: F.col(c).try_cast("decimal(18,2)") for c in present})
+    return df.withColumns({c: strict if c == "grand_total" else F.col(c).try_cast(money) for c in present})

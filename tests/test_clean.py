@@ -1,6 +1,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from mercato.operators import clean
@@ -51,3 +53,15 @@ def test_validation_pushes_filters_into_scan(spark, scratch):
                            ).write.parquet(path)
     plan = plan_text(clean.delivered(spark.read.parquet(path)))
     assert "PushedFilters" in plan and "IsNotNull(order_id)" in plan and "EqualTo(order_status,Delivered)" in plan
+    assert "GreaterThanOrEqual(grand_total,0.0)" in plan
+
+
+def test_money_is_validated_before_it_is_converted(spark):
+    schema = "order_id string, customer_id string, product_id string, order_date date, grand_total double, quantity int, rating double, order_status string"
+    day = dt.date(2022, 1, 5)
+    orders = spark.createDataFrame([(f"O{k}", "c", "p", day, v, 1, 3.0, "Delivered") for k, v in enumerate(
+        [-0.004, 0.004, float("nan"), 12.5])], schema)
+    assert sorted((r.order_id, float(r.grand_total)) for r in clean.clean_orders(orders).collect()) == [("O1", 0.0), ("O3", 12.5)]
+    big = spark.createDataFrame([("O1", "c", "p", day, 1e17, 1, 3.0, "Delivered")], schema)
+    with pytest.raises(Exception, match="does not fit"):
+        clean.clean_orders(big).collect()

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from mercato.plans import diff_job, report_job
 from mercato.sources import generate as G
-from mercato.streaming.orders_stream import start_delivered_sink
 
 
 def _write_inputs(spark, root, n=4000):
@@ -57,16 +56,6 @@ def test_diff_job_catalog_mode(spark):
     assert diff_job.main(["--control-tables", "cat_a", "--target-tables", "cat_b"], spark=spark) == 0
 
 
-def test_orders_stream_validates_incrementally(spark, scratch):
-    _write_inputs(spark, f"{scratch}/in", n=600)
-    q = start_delivered_sink(spark, f"{scratch}/in/orders.csv", f"{scratch}/stream_out", "orders_stream_test",
-                             checkpoint_location=f"{scratch}/stream_ckpt")
-    q.awaitTermination(120)
-    out = spark.read.parquet(f"{scratch}/stream_out")
-    exp = spark.read.option("header", "true").csv(f"{scratch}/in/orders.csv").filter("order_status = 'Delivered'")
-    assert out.count() == exp.count() > 0
-
-
 def test_diff_job_csv_directories_with_options(spark, scratch):
     a, b = f"{scratch}/ca", f"{scratch}/cb"
     rows = spark.range(300).select("id", (F.col("id") % 7).alias("g"), (F.col("id") / 4).alias("x"))
@@ -80,9 +69,9 @@ def test_diff_job_csv_directories_with_options(spark, scratch):
 
 
 def test_no_python_udf_in_any_registered_plan(spark):
-    import __spark_entry__ as E
+    from mercato.plans import catalog
     from mercato.plans.inspect import has_python_udf
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         assert not has_python_udf(fn(spark, "/root/testdata/sf0.001")), name
 
 
@@ -95,3 +84,17 @@ def test_report_job_custom_file_names(spark, scratch):
                           "--customers-file", "my_customers.csv", "--products-file", "my_products.csv"],
                          spark=spark)
     assert rc == 0 and spark.read.option("header", "true").csv(f"{scratch}/out/customer_360").count() > 0
+
+
+def test_diff_job_goes_on_after_a_bad_table(spark, scratch, capsys):
+    for side in ("a", "b"):
+        for t in ("t1", "t3"):
+            spark.range(5).write.parquet(f"{scratch}/{side}/{t}")
+    spark.range(3).write.parquet(f"{scratch}/a/t2")
+    spark.range(3).selectExpr("id AS other").write.parquet(f"{scratch}/b/t2")
+    code = diff_job.main(["--tables", "t1", "t2", "t3", "t4", "--control-root", f"{scratch}/a", "--target-root", f"{scratch}/b",
+                          "--output-path", f"{scratch}/out"], spark=spark)
+    summary = spark.read.json(f"{scratch}/out/comparison_summary_*.json").first()
+    assert code == 1 and (summary.passed_tables, summary.failed_tables) == (2, 2)
+    errors = {r.table_name: r.asDict().get("grouped_comparison_error") for r in summary.results}
+    assert "SchemaMismatch" in errors["t2"] and errors["t4"] and not errors["t1"] and not errors["t3"]
