@@ -2,47 +2,35 @@
 pulling every row into one task.
 
 A plain ``row_number().over(Window.orderBy(...))`` plans an
-``Exchange SinglePartition``: one task sorts the whole input. Here the sort key
-is cut into B contiguous ranges ("buckets") by boundary keys taken from a
-bounded sample of the input:
-
-1. every row gets its bucket by comparing its key with the boundaries, which
-   are *literals* in the plan (a balanced tree of comparisons, log2(B) deep),
-   so recomputing a lost partition gives the same bucket;
-2. ``row_number`` runs per (partition, bucket) -- B tasks instead of one;
-3. a small count table per (partition, bucket) gives each bucket's offset
-   (running sum of the earlier buckets) and the partition size for ntile.
-
-Result = local row number + offset, exactly what the single-task window gives
-for the same total order. The boundaries only balance load: any boundaries
-give the right answer. The key includes the tie-break columns, so even a
-single value that holds a third of all rows is split across buckets.
-
-B = ceil(N / rows_per_bucket); with B = 1 the operator is the plain window,
-whose single task is then bounded by ``rows_per_bucket`` rows. Eager work: one
-``count`` (skipped when the caller passes ``n_rows``), one sample of about
-``B * oversample`` keys collected to pick the boundaries, and -- for several
-ranks at once -- one grouping-sets pass that writes all count tables.
-
-Beyond ``max_buckets`` ranges a literal tree would be too large; each rank
-then uses Spark's range partitioner (``_rank_by_range_partitioning``).
+``Exchange SinglePartition``: one task sorts the whole input. Two ways avoid it:
+
+* ``add_ranks`` gives every row its rank. Spark's range partitioner places the
+  rows by the full sort key, each range is sorted in its task, and a small
+  table of counts per range gives the offsets. One plan for every size.
+* ``add_tiles`` and ``ranks_of`` need no sort or shuffle of the table. They find
+  the few keys that matter (the last key of each tile, the rows whose rank is
+  wanted) and compare every row with those by binary search.
+
+The key includes the tie-break columns, so even a value that holds a third of
+all rows is split. Any type that Spark can order is accepted, in both
+directions.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mercato.session import cut_lineage
 
-DEFAULT_ROWS_PER_BUCKET = 250_000
-DEFAULT_MAX_BUCKETS = 1024
-DEFAULT_OVERSAMPLE = 64
-MAX_RANGE_PARTITIONS = 100_000   # beyond this a task takes more than rows_per_bucket rows
+DEFAULT_ROWS_PER_BUCKET = 250_000   # rows a task sorts
+MAX_RANGES = 100_000                # tasks of one shuffle; beyond it tasks take more rows and their sorts spill
+CUT_RANGES = 64                     # ranges among which add_tiles looks for its cuts
+CUT_SAMPLE = 256                    # sampled keys per range
+_POSITION_BITS = 33                 # monotonically_increasing_id: partition index above, row index below
 
 
 @dataclass(frozen=True)
@@ -65,123 +53,11 @@ class RankSpec:
         return list(self.order) + [(c, True) for c in self.tiebreak]
 
 
-@dataclass
-class _Prepared:
-    spec: RankSpec
-    key: Column
-    key_type: T.StructType
-    bounds: list = field(default_factory=list)
-
-
-def _key_fields(df: DataFrame, spec: RankSpec) -> list[Column]:
-    """Normalise the full sort order into struct fields that sort ascending.
-
-    Partition columns come first (so buckets never mix partitions out of
-    order), then the order keys, then the tie-breaks. A descending key is
-    negated, so it must be numeric. Each key carries a null flag (and a NaN flag
-    for floating types) so that the struct order equals Spark's
-    NULLS FIRST / NULLS LAST and NaN-is-largest rules, and no NaN reaches the
-    sampled boundary values.
-    """
-    fields: list[Column] = []
-    keys = [(c, True) for c in spec.partition_by] + spec.sort_keys()
-    for i, (name, asc) in enumerate(keys):
-        c = F.col(name)
-        dtype = df.schema[name].dataType
-        floating = isinstance(dtype, (T.DoubleType, T.FloatType))
-        v = F.when(F.isnan(c), F.lit(0.0)).otherwise(c) if floating else c
-        if asc:
-            fields.append(c.isNotNull().alias(f"n{i}"))
-            if floating:
-                fields.append(F.coalesce(F.isnan(c), F.lit(False)).alias(f"f{i}"))
-            fields.append(v.alias(f"v{i}"))
-        else:
-            if not isinstance(dtype, T.NumericType):
-                raise TypeError(f"descending rank key {name!r} must be numeric, got {dtype}")
-            fields.append(c.isNull().alias(f"n{i}"))
-            if floating:
-                fields.append((~F.coalesce(F.isnan(c), F.lit(False))).alias(f"f{i}"))
-            fields.append((-v).alias(f"v{i}"))
-    return fields
-
-
 def _window_order(spec: RankSpec) -> list[Column]:
     return [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last()
             for c, asc in spec.sort_keys()]
 
 
-def _literal_struct(values, key_type: T.StructType) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, key_type.fields)])
-
-
-def _bucket_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Bucket id in [lo, hi]: the largest i with bounds[i-1] <= key (binary search)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(key < bounds[mid - 1], _bucket_expr(key, bounds, lo, mid - 1)) \
-        .otherwise(_bucket_expr(key, bounds, mid, hi))
-
-
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-
-
-def _sql_literal(v, dtype: T.DataType) -> str | None:
-    """A typed SQL literal for ``v``, or None when the type has no safe text form."""
-    t = dtype.simpleString()
-    if v is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(dtype, T.BooleanType):
-        return "true" if v else "false"
-    if isinstance(dtype, _INTEGRAL):
-        return f"CAST({int(v)} AS {t})"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return f"CAST('{float(v)!r}' AS {t})"        # NaN / inf spelled as Java parses them
-    if isinstance(dtype, T.DecimalType):
-        return f"CAST('{format(v, 'f')}' AS {t})"
-    if isinstance(dtype, T.StringType):
-        return f"CAST(X'{v.encode('utf-8').hex()}' AS STRING)"
-    if isinstance(dtype, T.DateType):
-        return f"DATE '{v.isoformat()}'"
-    if isinstance(dtype, T.TimestampNTZType):
-        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
-    return None
-
-
-def _sql_struct(values, key_type: T.StructType) -> str | None:
-    parts = []
-    for v, f in zip(values, key_type.fields):
-        lit = _sql_literal(v, f.dataType)
-        if lit is None:
-            return None
-        parts.append(f"'{f.name}', {lit}")
-    return "named_struct(" + ", ".join(parts) + ")"
-
-
-def _bucket_sql(key_col: str, bounds: list[str], lo: int, hi: int) -> str:
-    if lo == hi:
-        return str(lo)
-    mid = (lo + hi + 1) // 2
-    return (f"CASE WHEN {key_col} < {bounds[mid - 1]} THEN {_bucket_sql(key_col, bounds, lo, mid - 1)} "
-            f"ELSE {_bucket_sql(key_col, bounds, mid, hi)} END")
-
-
-def _pick_bounds(sorted_keys: list, buckets: int) -> list:
-    m = len(sorted_keys)
-    picked = []
-    for i in range(1, buckets):
-        k = sorted_keys[min(m - 1, (i * m) // buckets)]
-        if not picked or k != picked[-1]:
-            picked.append(k)
-    return picked
-
-
-def _sortable(row) -> tuple:
-    # Every NULL field is preceded by an equal null flag, so tuple comparison
-    # never has to order None against a value.
-    return tuple(row)
-
-
 def _tile(rn: Column, n: Column, k: int) -> Column:
     """ntile(k) of row ``rn`` (1-based) among ``n`` rows: the first n mod k tiles get one extra row."""
     q = F.floor(n / k).cast("bigint")
@@ -192,144 +68,51 @@ def _tile(rn: Column, n: Column, k: int) -> Column:
     return F.when(rn <= big, first).otherwise(rest).cast("int")
 
 
+# ---------------------------------------------------------- a rank per row
 def add_ranks(df: DataFrame, specs: list[RankSpec], n_rows: int | None = None,
-              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, max_buckets: int = DEFAULT_MAX_BUCKETS,
-              oversample: int = DEFAULT_OVERSAMPLE, seed: int = 17, method: str = "auto") -> DataFrame:
+              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Add one ``row_number`` / ``ntile`` column per spec, exact and distributed.
 
-    ``df`` should be cheap to re-read (a checkpoint or a file scan): it is
-    scanned once for the count, once for the sample and once for the count
-    tables. When more than ``max_buckets`` ranges are needed (or
-    ``method="range"``), each spec goes through Spark's range partitioning
-    instead (``_rank_by_range_partitioning``).
+    ``df`` is read once for its sample of keys and once for its rows; it is
+    counted first unless ``n_rows`` is given.
     """
     if not specs:
         return df
     n = df.count() if n_rows is None else n_rows
-    wanted = max(1, math.ceil(n / max(1, rows_per_bucket)))
-    if wanted > max_buckets or method == "range":
-        # More ranges than a literal comparison tree should hold: let Spark's
-        # range partitioner place the rows (binary search over its own sample).
-        out = df
-        for spec in specs:
-            out = _rank_by_range_partitioning(out, spec, min(wanted, MAX_RANGE_PARTITIONS), n)
-        return out
-    buckets = max(1, min(max_buckets, wanted))
-
-    if buckets == 1:
-        # Bounded: at most rows_per_bucket rows in the whole input.
-        out = df
-        for spec in specs:
-            w = Window.partitionBy(*spec.partition_by).orderBy(*_window_order(spec))
-            fn = F.ntile(spec.ntile) if spec.ntile else F.row_number()
-            out = out.withColumn(spec.out, fn.over(w))
-        return out
-
-    prepared = []
+    ranges = min(MAX_RANGES, max(1, math.ceil(n / max(1, rows_per_bucket))))
     for spec in specs:
-        key = F.struct(*_key_fields(df, spec))
-        prepared.append(_Prepared(spec, key, df.select(key.alias("k")).schema["k"].dataType))
-
-    # One bounded sample for every spec: at most buckets * oversample rows (in expectation).
-    fraction = min(1.0, buckets * oversample / max(1, n))
-    sample_rows = (df.sample(withReplacement=False, fraction=fraction, seed=seed)
-                   .select(*[p.key.alias(f"k{i}") for i, p in enumerate(prepared)])
-                   .collect())
-    for i, p in enumerate(prepared):
-        keys = sorted((r[i] for r in sample_rows), key=_sortable)
-        p.bounds = _pick_bounds(keys, buckets) if keys else []
-
-    with_buckets = df
-    for i, p in enumerate(prepared):
-        # The boundary tree is one SQL expression (parsed once) when every key
-        # type has a text literal; otherwise it is built from Column literals.
-        sql_bounds = [_sql_struct(list(b), p.key_type) for b in p.bounds]
-        if not p.bounds:
-            bucket = F.lit(0)
-        elif all(b is not None for b in sql_bounds):
-            with_buckets = with_buckets.withColumn(f"__k{i}", p.key)
-            bucket = F.expr(_bucket_sql(f"__k{i}", sql_bounds, 0, len(sql_bounds)))
-        else:
-            lits = [_literal_struct(list(b), p.key_type) for b in p.bounds]
-            bucket = _bucket_expr(p.key, lits, 0, len(lits))
-        with_buckets = with_buckets.withColumn(f"__b{i}", bucket)
-        if p.spec.partition_by:
-            with_buckets = with_buckets.withColumn(f"__p{i}", F.struct(*p.spec.partition_by))
-
-    # Count tables: one row per (partition, bucket) -> offset of the bucket and
-    # size of the partition; at most (#buckets + #partitions) rows per spec.
-    # Several specs share one pass over the input (grouping sets), written once.
-    keys_of = [([f"__p{i}"] if p.spec.partition_by else []) + [f"__b{i}"] for i, p in enumerate(prepared)]
-    if len(prepared) > 1:
-        all_keys = [k for ks in keys_of for k in ks]
-        gid = F.grouping_id(*all_keys).alias("__g")
-        shared = with_buckets.groupingSets(keys_of, *all_keys).agg(F.count(F.lit(1)).alias("__c"), gid)
-        shared = cut_lineage(shared)
-
-    def counts_for(i: int) -> DataFrame:
-        if len(prepared) == 1:
-            return with_buckets.groupBy(*keys_of[0]).agg(F.count(F.lit(1)).alias("__c"))
-        n_keys = len(all_keys)
-        g = sum(1 << (n_keys - 1 - j) for j, k in enumerate(all_keys) if k not in keys_of[i])
-        return shared.filter(F.col("__g") == g).select(*keys_of[i], "__c")
-
-    out = with_buckets
-    for i, p in enumerate(prepared):
-        spec = p.spec
-        b, pk = f"__b{i}", f"__p{i}"
-        part = [pk] if spec.partition_by else []
-        counts = counts_for(i)
-        w_run = Window.partitionBy(*part).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.select(
-            *part, b,
-            F.coalesce(F.sum("__c").over(w_run), F.lit(0)).alias(f"__off{i}"),
-            F.sum("__c").over(Window.partitionBy(*part)).alias(f"__n{i}"))
-        if not spec.partition_by:
-            counts = F.broadcast(counts)  # <= max_buckets rows
-        # else: joined on the window's own clustering (struct key = null-safe);
-        # AQE turns it into a broadcast when the runtime size is small.
-        w = Window.partitionBy(*part, b).orderBy(*_window_order(spec))
-        out = out.withColumn(f"__rn{i}", F.row_number().over(w)).join(counts, on=[*part, b])
-        rn = F.col(f"__rn{i}") + F.col(f"__off{i}")
-        value = _tile(rn, F.col(f"__n{i}"), spec.ntile) if spec.ntile else rn.cast("long")
-        out = out.withColumn(spec.out, value).drop(f"__rn{i}", f"__off{i}", f"__n{i}")
-    helper = [c for c in out.columns if c[:3] in ("__b", "__p", "__k")]
-    return out.drop(*helper)
-
-
-_POSITION_BITS = 33   # monotonically_increasing_id: partition index above, row index below
-
-
-def _rank_by_range_partitioning(df: DataFrame, spec: RankSpec, parts: int, n: int) -> DataFrame:
-    """One ranking column through ``repartitionByRange`` (no cap on the number of ranges).
-
-    The full sort key (partition columns, order keys, tie-breaks) is range
-    partitioned by Spark's sampler, so a hot value is split by its tie-breaks;
-    each range is sorted in its task and every row's position in its task is
-    the low bits of ``monotonically_increasing_id``. The result is written to
-    the shared checkpoint folder, so positions and the count table below are
-    read from the same placement. A count table per (task, partition value),
-    at most (#ranges + #partition values) rows, gives each row's offset.
-    """
-    from mercato.session import cut_lineage
+        df = _rank_by_ranges(df, spec, ranges)
+    return df
+
 
+def _rank_by_ranges(df: DataFrame, spec: RankSpec, ranges: int) -> DataFrame:
+    """One ranking column through ``repartitionByRange``.
+
+    Every row's position in its task is the low bits of
+    ``monotonically_increasing_id``. The placed rows are written to the shared
+    checkpoint folder, so positions and counts are read from the same
+    placement. The counts per (partition value, task) have at most
+    (#ranges + #partition values) rows.
+    """
     order = [F.col(c).asc_nulls_first() for c in spec.partition_by] + _window_order(spec)
-    placed = (df.repartitionByRange(max(1, parts), *order).sortWithinPartitions(*order)
+    placed = (df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
               .withColumn("__t", F.spark_partition_id())
               .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND((1 << _POSITION_BITS) - 1)))
     placed = cut_lineage(placed)
-    part = [F.struct(*spec.partition_by).alias("__pk")] if spec.partition_by else []
     pk = ["__pk"] if spec.partition_by else []
-    counts = placed.groupBy(*part, "__t").agg(F.count(F.lit(1)).alias("__c"), F.min("__pos").alias("__first"))
-    w_run = Window.partitionBy(*pk).orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
+    if pk:
+        placed = placed.withColumn("__pk", F.struct(*spec.partition_by))
+    counts = placed.groupBy(*pk, "__t").agg(F.count(F.lit(1)).alias("__c"), F.min("__pos").alias("__first"))
+    before = Window.partitionBy(*pk).orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(*pk, "__t", "__first",
-                           F.coalesce(F.sum("__c").over(w_run), F.lit(0)).alias("__off"),
+                           F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"),
                            F.sum("__c").over(Window.partitionBy(*pk)).alias("__n"))
-    keyed = placed.select("*", *part)
+    if not pk:
+        counts = F.broadcast(counts)  # at most MAX_RANGES rows of four numbers
     rn = F.col("__pos") - F.col("__first") + 1 + F.col("__off")
-    joined = keyed.join(counts, on=[*pk, "__t"])
     value = _tile(rn, F.col("__n"), spec.ntile) if spec.ntile else rn.cast("long")
-    return joined.withColumn(spec.out, value).drop("__t", "__pos", "__first", "__off", "__n", *pk)
+    return (placed.join(counts, on=[*pk, "__t"]).withColumn(spec.out, value)
+            .drop("__t", "__pos", "__first", "__off", "__n", *pk))
 
 
 def row_number_over(df: DataFrame, out: str, order: list[tuple[str, bool]], partition_by=(),
@@ -343,6 +126,134 @@ def ntile_over(df: DataFrame, out: str, k: int, order: list[tuple[str, bool]], p
 
 
 def top_k_per_group(df: DataFrame, k: int, group_by: list[str], order: list[tuple[str, bool]],
-                    tiebreak=(), rank_col: str = "rank_in_group", **kw) -> DataFrame:
-    """Rows ranked 1..k inside each group (row_number + filter)."""
-    return row_number_over(df, rank_col, order, group_by, tiebreak, **kw).filter(F.col(rank_col) <= k)
+                    tiebreak=(), rank_col: str = "rank_in_group") -> DataFrame:
+    """Rows ranked 1..k inside each group.
+
+    Spark keeps only each task's first k rows of a group before the shuffle
+    (WindowGroupLimit), so a group's window sees at most k rows per task.
+    """
+    w = Window.partitionBy(*group_by).orderBy(*_window_order(RankSpec(rank_col, tuple(order), (), tuple(tiebreak))))
+    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k) \
+        .withColumn(rank_col, F.col(rank_col).cast("long"))
+
+
+# ------------------------------------------------- ranks by comparing keys
+def _key(spec: RankSpec) -> Column:
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, (c, _) in enumerate(spec.sort_keys())])
+
+
+def _before(a: Column, b: Column, spec: RankSpec) -> Column:
+    """Whether key ``a`` sorts before key ``b``.
+
+    Fields are compared as one-field structs, which Spark orders with NULL
+    lowest and NaN highest; a descending field is that order reversed.
+    """
+    out = F.lit(False)
+    for i, (_, asc) in reversed(list(enumerate(spec.sort_keys()))):
+        x, y = F.struct(a[f"k{i}"].alias("k")), F.struct(b[f"k{i}"].alias("k"))
+        out = ((x < y) if asc else (x > y)) | ((x == y) & out)
+    return out
+
+
+def _sorted_keys(keys: Column, spec: RankSpec) -> Column:
+    return F.array_sort(keys, lambda a, b: F.when(_before(a, b, spec), -1).when(_before(b, a, spec), 1).otherwise(0))
+
+
+def _with_position(df: DataFrame, out: str, bounds: Column, key: Column, spec: RankSpec,
+                   strictly: bool = False) -> DataFrame:
+    """Add how many of the sorted bounds sort before the key, or equal it unless ``strictly``: a binary search.
+
+    The bounds are a scalar subquery, which Spark allows as a column but not inside a lambda function.
+    """
+    bounds_of, size = F.col("__bounds"), F.size("__bounds")
+
+    def halve(span: Column, _: Column) -> Column:
+        mid = F.shiftright(span["lo"] + span["hi"], 1)
+        bound = F.get(bounds_of, mid)
+        passed = _before(bound, key, spec) if strictly else ~_before(key, bound, spec)
+        return (F.when(span["lo"] >= span["hi"], span)
+                .when(passed, F.struct((mid + 1).alias("lo"), span["hi"].alias("hi")))
+                .otherwise(F.struct(span["lo"].alias("lo"), mid.alias("hi"))))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), size.alias("hi")), halve)["lo"]
+    return df.withColumn("__bounds", bounds).withColumn(out, found).drop("__bounds")
+
+
+def _cut_ranks(n: int, k: int) -> list[int]:
+    """Rank of the last row of each of the first k - 1 of k tiles over n rows."""
+    q, extra = divmod(n, k)
+    return [t * q + min(t, extra) for t in range(1, k)]
+
+
+def _cut_keys(df: DataFrame, spec: RankSpec, n: int, seed: int) -> Column:
+    """The keys at the cut ranks, as a scalar subquery.
+
+    A bounded sample cuts the table into ranges, one pass counts the rows of
+    each, and only the ranges that hold a cut (at most one per cut) are sorted.
+    """
+    keyed = df.select(_key(spec).alias("key"))
+    sample = keyed.sample(False, min(1.0, CUT_RANGES * CUT_SAMPLE / max(1, n)), seed)
+    drawn = sample.agg(_sorted_keys(F.collect_list("key"), spec).alias("keys"))
+    every = F.greatest(F.lit(1), F.ceil(F.size("keys") / CUT_RANGES).cast("int"))
+    bounds = drawn.select(F.filter("keys", lambda _, i: i % every == every - 1)).scalar()
+    placed = _with_position(keyed, "at", bounds, F.col("key"), spec)
+    counts = placed.groupBy("at").agg(F.count(F.lit(1)).alias("c"))  # at most CUT_RANGES + 1 rows
+    end = F.sum("c").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    cuts = F.array(*[F.lit(r).cast("long") for r in _cut_ranks(n, spec.ntile)])
+    held = (counts.select("at", (end - F.col("c")).alias("start"), end.alias("end"))
+            .withColumn("cuts", F.filter(cuts, lambda r: (r > F.col("start")) & (r <= F.col("end"))))
+            .filter(F.size("cuts") > 0))
+    inside = placed.join(F.broadcast(held), "at")  # at most one row per cut
+    order = [F.col(f"key.k{i}").asc_nulls_first() if asc else F.col(f"key.k{i}").desc_nulls_last()
+             for i, (_, asc) in enumerate(spec.sort_keys())]
+    ranked = inside.withColumn("rank", F.row_number().over(Window.partitionBy("at").orderBy(*order)) + F.col("start"))
+    found = ranked.filter(F.array_contains("cuts", F.col("rank"))).agg(
+        F.sort_array(F.collect_list(F.struct("rank", "key"))).alias("found"))
+    return found.select(F.transform("found", lambda x: x["key"])).scalar()
+
+
+def add_tiles(df: DataFrame, specs: list[RankSpec], n_rows: int, seed: int = 17) -> DataFrame:
+    """Add ``ntile(spec.ntile)`` over the whole table per spec, without sorting or shuffling it.
+
+    ``df`` must be materialised (a checkpoint or a written table) with
+    ``n_rows`` rows, and each spec's keys must be unique. Partitioned ntiles
+    go through ``add_ranks``.
+    """
+    out = df
+    for spec in specs:
+        if spec.partition_by or not spec.ntile:
+            raise ValueError(f"{spec.out}: add_tiles is for ntiles over the whole table")
+        if spec.ntile == 1 or n_rows == 0:
+            out = out.withColumn(spec.out, F.lit(1))
+            continue
+        cuts = _cut_keys(df, spec, n_rows, seed)
+        out = _with_position(out, spec.out, cuts, _key(spec), spec, strictly=True)
+        out = out.withColumn(spec.out, F.col(spec.out) + 1)
+    return out
+
+
+def ranks_of(rows: DataFrame, df: DataFrame, spec: RankSpec, within: str,
+             within_out: str) -> DataFrame:
+    """Add to ``rows``, some rows of ``df``, their row_number in ``df`` (``spec.out``) and among
+    the rows of ``df`` with the same ``within`` (``within_out``).
+
+    One pass counts the rows of ``df`` between the keys of ``rows``, so nothing but counts is
+    shuffled: at most (#rows + 1) * #values of ``within``. Both inputs must be materialised and
+    keys unique; ``rows`` must be few enough for every task to hold their keys.
+    """
+    bounds = rows.agg(_sorted_keys(F.collect_list(_key(spec)), spec)).scalar()
+
+    def placed(table: DataFrame) -> DataFrame:
+        table = table.withColumn("__w", F.struct(within))
+        return _with_position(table, "__at", bounds, _key(spec), spec)
+
+    def start(window) -> Column:
+        earlier = window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__c").over(earlier), F.lit(0)) + 1
+
+    counts = placed(df).groupBy("__w", "__at").agg(F.count(F.lit(1)).alias("__c"))
+    local = counts.select("__w", "__at", start(Window.partitionBy("__w")).alias(within_out))
+    total = counts.groupBy("__at").agg(F.sum("__c").alias("__c"))  # at most one row more than ``rows``
+    total = total.select("__at", start(Window.partitionBy()).alias(spec.out))
+    return placed(rows).join(local, ["__w", "__at"]).join(total, "__at").drop("__w", "__at")

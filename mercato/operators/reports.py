@@ -7,12 +7,13 @@ partitioning or task order.
 
 Scale notes (one line each, details in README):
 * aggregations run partial + final, so a hot key is combined map-side;
-* global ranks and ntiles go through ``ranking.add_ranks`` (no single task);
+* global ranks and ntiles compare rows with a few exact keys (``operators.ranking``):
+  no single task, no sort of the whole table;
 * ``daily_sales_moving_avg`` uses one global window over one row per *day*:
   its size is bounded by the calendar, not by the data;
-* ``cohort_retention`` and ``customer_360`` pre-aggregate per customer (and
-  day / product) before any join, so a customer or product with a third of
-  all orders never reaches a join or a window as a third of all rows.
+* ``cohort_retention`` pre-aggregates per customer and day; ``customer_360``
+  fetches the brand by a join whose order side AQE broadcasts against or splits
+  when a product is hot, and combines per (customer, brand) before the shuffle.
 """
 
 from __future__ import annotations
@@ -22,8 +23,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import (count_when, mean_of, month_label, months_since,
                                ratio_or_zero, round_ratio, stddev_exact)
-from mercato.operators.ranking import (DEFAULT_MAX_BUCKETS, DEFAULT_ROWS_PER_BUCKET,
-                                       RankSpec, add_ranks)
+from mercato.operators.ranking import RankSpec, add_tiles, ranks_of, top_k_per_group
 from mercato.session import cut_lineage, cut_lineage_counted
 
 MONEY_SCALE = 2
@@ -65,13 +65,11 @@ def revenue_analysis(delivered: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- T2
-def product_performance(delivered: DataFrame, top_k: int = 5,
-                        rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                        max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
+def product_performance(delivered: DataFrame, top_k: int = 5) -> DataFrame:
     """Products ranked by revenue in their category, region and overall; top k per category.
 
-    All ranks and the category share are over the *whole* set; only then are
-    rows outside the category top k dropped.
+    All ranks and the category share are over the *whole* set. The top k are
+    taken first; their other ranks are counts of the rows before them.
     """
     grain = ["product_id", "product_type", "category", "region"]
     perf = delivered.groupBy(*grain).agg(
@@ -79,18 +77,13 @@ def product_performance(delivered: DataFrame, top_k: int = 5,
         F.sum("quantity").cast("bigint").alias("total_sold"),
         F.countDistinct("customer_id").alias("unique_buyers"),
     )
-    # Written once to the shared checkpoint folder: the ranks read it several
-    # times. The row count is observed during that write (no extra job).
-    perf, n = cut_lineage_counted(perf)
+    # Written once to the shared checkpoint folder: read for the top k, the counts and the shares.
+    perf = cut_lineage(perf)
     order = (("_rev", False),)
-    ranked = add_ranks(perf, [
-        RankSpec("rank_in_category", order, ("category",), tuple(grain)),
-        RankSpec("rank_in_region", order, ("region",), tuple(grain)),
-        RankSpec("overall_rank", order, (), tuple(grain)),
-    ], n_rows=n, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets)
+    top = cut_lineage(top_k_per_group(perf, top_k, ["category"], list(order), grain, "rank_in_category"))
+    ranked = ranks_of(top, perf, RankSpec("overall_rank", order, (), tuple(grain)), "region", "rank_in_region")
     totals = perf.groupBy(F.col("category").alias("_cat")).agg(F.sum("_rev").alias("_cat_rev"))
-    top = ranked.filter(F.col("rank_in_category") <= top_k)
-    joined = top.join(totals, top["category"].eqNullSafe(totals["_cat"]))
+    joined = ranked.join(totals, ranked["category"].eqNullSafe(totals["_cat"]))
     return joined.select(
         *grain,
         _money("_rev").alias("product_revenue"), "total_sold", "unique_buyers",
@@ -110,9 +103,7 @@ def _segment(r, f, m):
             .otherwise(SEGMENTS[5]))
 
 
-def rfm_analysis(delivered: DataFrame, best_is_high: bool = False,
-                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                 max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
+def rfm_analysis(delivered: DataFrame, best_is_high: bool = False) -> DataFrame:
     """Recency / frequency / monetary quintiles and a segment per customer.
 
     Default scoring is the contract's: ntile(5) by recency ascending and by
@@ -125,29 +116,26 @@ def rfm_analysis(delivered: DataFrame, best_is_high: bool = False,
         F.count("order_id").alias("frequency"),
         F.sum("grand_total").alias("_monetary"),
     )
-    return rfm_scores(per_customer, best_is_high, rows_per_bucket, max_buckets)
+    return rfm_scores(*cut_lineage_counted(per_customer), best_is_high)
 
 
-def rfm_scores(per_customer: DataFrame, best_is_high: bool = False,
-               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-               max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
-    """RFM from one row per customer: ``customer_id, _last, frequency, _monetary``.
+def rfm_scores(per_customer: DataFrame, n_rows: int, best_is_high: bool = False) -> DataFrame:
+    """RFM from a materialised table of ``n_rows`` customers: ``customer_id, _last, frequency, _monetary``.
 
     Recency is measured from the latest order date of the whole set = the
     latest of the customers' last dates: a scalar subquery over this small
     table (no driver round trip, no join, no second pass over the orders).
     """
-    per_customer, n = cut_lineage_counted(per_customer)
     ref_date = per_customer.select(F.max("_last")).scalar()
     base = per_customer.select("customer_id", F.datediff(ref_date, F.col("_last")).alias("recency"),
                                "frequency", "_monetary")
     asc_r, asc_fm = (False, True) if best_is_high else (True, False)
     tie = ("customer_id",)
-    scored = add_ranks(base, [
+    scored = add_tiles(base, [
         RankSpec("r_score", (("recency", asc_r),), (), tie, 5),
         RankSpec("f_score", (("frequency", asc_fm),), (), tie, 5),
         RankSpec("m_score", (("_monetary", asc_fm),), (), tie, 5),
-    ], n_rows=n, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets)
+    ], n_rows)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select(
         "customer_id", "recency", "frequency", _money("_monetary").alias("monetary"),
@@ -163,7 +151,7 @@ CUSTOMER_KEYS = ["customer_id", "age", "gender", "customer_value", "account_age_
 
 
 def customer_360(delivered: DataFrame, customers: DataFrame, products: DataFrame,
-                 rfm: DataFrame | None = None, **rank_kw) -> DataFrame:
+                 rfm: DataFrame | None = None) -> DataFrame:
     """One row per customer (and attribute set): orders, value, brands, rating, discounts.
 
     Orders without a customer or product row drop out (inner joins); customers
@@ -171,36 +159,34 @@ def customer_360(delivered: DataFrame, customers: DataFrame, products: DataFrame
     rows fan out exactly as a row-level join would: a customer listed twice with
     the same attributes has every additive measure doubled.
 
-    Plan: partial sums per (customer, product), written once to the shared
-    checkpoint folder -> (a) the RFM table per customer, (b) join products for
-    the brand -> sums per customer -> join customers and the RFM segment.
-    One pass over the orders; joins see one row per (customer, product) or
-    per customer, never one per order.
+    Plan: one pass over the orders. Each fetches its product's brands (listed
+    with their number of rows), then one aggregation per customer gives the
+    sums of the report, over orders with a product, and those of the RFM
+    table, over all orders. The per-customer rows are written once and joined
+    to the customers and the RFM segments.
     """
-    per_cp = delivered.groupBy("customer_id", "product_id").agg(
-        F.count("order_id").alias("_n"),
-        F.sum("grand_total").alias("_value"),
+    listed = products.groupBy("product_id", F.col("brand").alias("_brand")).agg(
+        F.count(F.lit(1)).cast("int").alias("_times"))
+    listed = listed.withColumn("_nth", F.row_number().over(Window.partitionBy("product_id").orderBy("_brand")))
+    rows = delivered.join(listed, "product_id", "left")
+    once = F.coalesce(F.col("_nth"), F.lit(1)) == 1  # an order counts once for RFM, with a product or without
+    times = F.col("_times")                          # NULL without a product row
+    per_c, n = cut_lineage_counted(rows.groupBy("customer_id").agg(
         F.max("order_date").alias("_last"),
-        F.sum("rating").alias("_rating_sum"),
-        F.count("rating").alias("_rating_n"),
-        count_when(F.col("discount_percent") > 0).alias("_disc_n"),
-        F.sum("discount_amount").alias("_disc_amt"),
-    )
-    per_cp = cut_lineage(per_cp)
-    if rfm is None:
-        rfm = rfm_scores(per_cp.groupBy("customer_id").agg(
-            F.max("_last").alias("_last"), F.sum("_n").alias("frequency"),
-            F.sum("_value").alias("_monetary")), **rank_kw)
-    brands = products.select("product_id", F.col("brand").alias("_brand"))
-    per_c = per_cp.join(brands, "product_id").groupBy("customer_id").agg(
-        F.sum("_n").alias("_n"),
-        F.sum("_value").alias("_value"),
+        count_when(once & F.col("order_id").isNotNull()).alias("frequency"),
+        F.sum(F.when(once, F.col("grand_total"))).alias("_monetary"),
+        F.count(times).alias("_matched"),
+        F.sum(F.when(F.col("order_id").isNotNull(), times).otherwise(0)).alias("_n"),
+        F.sum(F.col("grand_total") * times).alias("_value"),
         F.countDistinct("_brand").alias("brands_purchased"),
-        F.sum("_rating_sum").alias("_rating_sum"),
-        F.sum("_rating_n").alias("_rating_n"),
-        F.sum("_disc_n").alias("_disc_n"),
-        F.sum("_disc_amt").alias("_disc_amt"),
-    )
+        F.sum(F.col("rating") * times).alias("_rating_sum"),
+        F.sum(F.when(F.col("rating").isNotNull(), times).otherwise(0)).alias("_rating_n"),
+        F.sum(F.when(F.col("discount_percent") > 0, times).otherwise(0)).alias("_disc_n"),
+        F.sum(F.col("discount_amount") * times).alias("_disc_amt"),
+    ))
+    if rfm is None:
+        rfm = rfm_scores(per_c, n)
+    per_c = per_c.filter(F.col("_matched") > 0).drop("_last", "frequency", "_monetary", "_matched")
     segs = rfm.select("customer_id", "customer_value")
     # Joined on customer_id (one row per customer on the left), then grouped by
     # the customer attributes: a customer listed twice with equal attributes

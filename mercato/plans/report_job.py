@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators import clean, reports
-from mercato.session import drop_table_files, write_table
+from mercato.session import cut_lineage, drop_table_files, write_table
 from mercato.sources.files import read_report_inputs
 
 # Columns of the fact that any report reads.
@@ -41,13 +41,12 @@ def working_set(orders: DataFrame) -> tuple[DataFrame, str]:
     return write_table(clean.delivered(orders).select(*WORKING_SET_COLUMNS), "working_set")
 
 
-def build_reports(delivered: DataFrame, customers: DataFrame, products: DataFrame,
-                  **rank_kw) -> dict[str, DataFrame]:
-    """The seven result sets, lazily (ranking reports sample their input once)."""
-    rfm = reports.rfm_analysis(delivered, **rank_kw)
+def build_reports(delivered: DataFrame, customers: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    """The seven result sets; the RFM table, which two of them read, is written once."""
+    rfm = cut_lineage(reports.rfm_analysis(delivered))
     return {
         "revenue_analysis": reports.revenue_analysis(delivered),
-        "product_performance": reports.product_performance(delivered, **rank_kw),
+        "product_performance": reports.product_performance(delivered),
         "rfm_analysis": rfm,
         "customer_360": reports.customer_360(delivered, customers, products, rfm=rfm),
         "time_series": reports.daily_sales_moving_avg(delivered),

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from mercato.operators.ranking import RankSpec, add_ranks, ntile_over, row_number_over, top_k_per_group
+from mercato.operators.ranking import (RankSpec, add_ranks, add_tiles, ntile_over, ranks_of,
+                                       row_number_over, top_k_per_group)
 
 
 def _plain(spec):
@@ -30,27 +31,73 @@ SPECS = [
 ]
 
 
-@pytest.mark.parametrize("rows_per_bucket,method", [(100, "auto"), (700, "auto"), (10_000, "auto"),
-                                                    (100, "range"), (400, "range")])
-def test_bucketed_ranks_equal_plain_windows(spark, skewed, rows_per_bucket, method):
-    got = add_ranks(skewed, SPECS, rows_per_bucket=rows_per_bucket, method=method)
-    exp = skewed.select("id", *[_plain(s) for s in SPECS])
-    j = got.join(exp, "id")
-    assert j.count() == 3000
-    for s in SPECS:
-        assert j.filter(F.col(s.out) != F.col("e_" + s.out)).count() == 0, s.out
+def _check(got, rows, specs, key="id"):
+    exp = rows.select(key, *[_plain(s) for s in specs])
+    j = got.join(exp, key)
+    assert j.count() == got.count() == rows.count()
+    for s in specs:
+        assert j.filter(~F.col(s.out).eqNullSafe(F.col("e_" + s.out))).count() == 0, s.out
 
 
-def test_hot_value_is_split_across_buckets(spark, skewed):
-    # every bucket stays near N / B even though one value holds a third of the rows
+@pytest.mark.parametrize("rows_per_bucket", [50, 3000])  # 60 ranges and 1
+def test_ranks_equal_plain_windows(spark, skewed, rows_per_bucket):
+    _check(add_ranks(skewed, SPECS, rows_per_bucket=rows_per_bucket), skewed, SPECS)
+
+
+@pytest.fixture(scope="module")
+def typed(spark, skewed):
+    # text and dates with ties and NULLs, doubles with NaN and NULL
+    return skewed.select("id", F.concat(F.lit("s"), F.col("v").cast("string")).alias("s"),
+                         F.date_add(F.lit("2024-01-01").cast("date"), F.col("v").cast("int")).alias("d"),
+                         F.when(F.col("v") == 5, float("nan")).otherwise(F.col("v") / 7).alias("x"))
+
+
+@pytest.mark.parametrize("rows_per_bucket,column", [(50, "s"), (3000, "s"), (50, "d"), (50, "x"), (3, "s")])
+def test_descending_text_dates_and_nan(spark, typed, rows_per_bucket, column):  # up to 1000 ranges
+    spec = RankSpec("r", ((column, False),), (), ("id",))
+    _check(add_ranks(typed, [spec], rows_per_bucket=rows_per_bucket), typed, [spec])
+
+
+def test_tiles_by_cut_keys_equal_plain_windows(spark, typed, monkeypatch):
     from mercato.operators import ranking
+    monkeypatch.setattr(ranking, "CUT_RANGES", 16)  # so that the sample is a part of the rows
+    specs = [RankSpec(f"{c}{k}{asc}", ((c, asc),), (), ("id",), k)
+             for c, k in (("s", 5), ("d", 4), ("x", 7)) for asc in (True, False)]
+    _check(add_tiles(typed, specs, 3000), typed, specs)
+
+
+def test_tiles_of_few_rows(spark):
+    for n in (0, 1, 3, 5, 6):
+        df = spark.range(n).withColumn("v", F.lit(1))
+        spec = RankSpec("t", (("v", False),), (), ("id",), 5)
+        _check(add_tiles(df, [spec], n), df, [spec])
+
+
+def test_tiles_do_not_shuffle_the_table(spark, typed):
+    plan = add_tiles(typed, [RankSpec("t", (("x", False),), (), ("id",), 5)], 3000)
+    lines = plan._jdf.queryExecution().sparkPlan().toString().splitlines()
+    main = "".join(x for x in lines if not x.lstrip().startswith(":"))  # without the subqueries
+    assert "Sort" not in main and "Window" not in main and "Exchange" not in main
+
+
+@pytest.mark.parametrize("column,asc", [("s", False), ("d", True), ("x", False)])
+def test_ranks_of_some_rows(spark, typed, column, asc):
+    rows = typed.withColumn("g", F.when(F.col("id") % 5 > 0, F.col("id") % 4))  # a fifth without a group
+    spec = RankSpec("r", ((column, asc),), (), ("id",))
+    local = RankSpec("l", ((column, asc),), ("g",), ("id",))
+    got = ranks_of(rows.filter("id % 271 = 3"), rows, spec, "g", "l")
+    exp = rows.select("id", _plain(spec), _plain(local))
+    j = got.join(exp, "id").filter("r = e_r and l = e_l")
+    assert j.count() == got.count() == 12
+
+
+def test_hot_value_is_split_across_ranges(spark, skewed):
+    # no range holds a third of the rows although one value does
+    order = [F.asc("v"), F.asc("id")]
+    placed = skewed.repartitionByRange(10, *order).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(placed) == 10 and max(r["count"] for r in placed) < 600
     spec = RankSpec("r", (("v", True),), (), ("id",))
-    key = F.struct(*ranking._key_fields(skewed, spec))
-    sample = sorted((r[0] for r in skewed.select(key).collect()), key=ranking._sortable)
-    bounds = ranking._pick_bounds(sample, 10)
-    lits = [ranking._literal_struct(list(b), skewed.select(key.alias("k")).schema["k"].dataType) for b in bounds]
-    sizes = skewed.groupBy(ranking._bucket_expr(key, lits, 0, len(lits)).alias("b")).count().collect()
-    assert len(sizes) == 10 and max(r["count"] for r in sizes) <= 301
+    _check(add_ranks(skewed, [spec], rows_per_bucket=300), skewed, [spec])
 
 
 def test_ntile_sizes_differ_by_at_most_one(spark):
@@ -61,21 +108,6 @@ def test_ntile_sizes_differ_by_at_most_one(spark):
         assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
 
 
-def test_distributed_plan_has_no_single_partition_main_window(spark, skewed):
-    out = row_number_over(skewed, "r", [("v", False)], tiebreak=["id"], rows_per_bucket=300)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(__b0" in plan
-    # the plain formulation would sort everything in one task
-    naive = skewed.select("id", F.row_number().over(Window.orderBy(F.desc("v"), "id")).alias("r"))
-    assert "SinglePartition" in naive._jdf.queryExecution().executedPlan().toString()
-
-
-def test_descending_string_key_rejected(spark):
-    df = spark.createDataFrame([("a", 1)], "s string, i int")
-    with pytest.raises(TypeError):
-        add_ranks(df, [RankSpec("r", (("s", False),))], rows_per_bucket=1, n_rows=10)
-
-
 def test_top_k_per_group(spark):
     df = spark.createDataFrame([(g, i, float(i % 5)) for g in "ab" for i in range(10)], "g string, i int, x double")
     top = top_k_per_group(df, 2, ["g"], [("x", False)], tiebreak=["i"], rank_col="rk").collect()

@@ -36,7 +36,7 @@ def orders(spark):
 
 
 def test_rfm_matches_plain_windows_with_tiebreak(spark, orders):
-    got = {r.customer_id: r for r in reports.rfm_analysis(orders, rows_per_bucket=4).collect()}
+    got = {r.customer_id: r for r in reports.rfm_analysis(orders).collect()}
     base = orders.groupBy("customer_id").agg(F.max("order_date").alias("last"), F.count("*").alias("f"),
                                              F.sum("grand_total").alias("m"))
     ref = base.agg(F.max("last")).first()[0]
@@ -129,7 +129,7 @@ def test_cohort_offset_zero_is_cohort_size(spark, orders):
 
 
 def test_product_performance_ranks_over_whole_set(spark, orders):
-    pp = reports.product_performance(orders, top_k=2, rows_per_bucket=3).collect()
+    pp = reports.product_performance(orders, top_k=2).collect()
     assert all(r.rank_in_category <= 2 for r in pp)
     overall = sorted(r.overall_rank for r in pp)
     assert overall[0] == 1 and len(set(overall)) == len(overall)
