@@ -29,7 +29,7 @@ from mercato.session import cut_lineage
 DEFAULT_ROWS_PER_BUCKET = 250_000   # rows a task sorts
 MAX_RANGES = 100_000                # tasks of one shuffle; beyond it tasks take more rows and their sorts spill
 CUT_RANGES = 64                     # ranges among which add_tiles looks for its cuts
-CUT_SAMPLE = 256                    # sampled keys per range
+CUT_SAMPLE = 16                     # sampled keys per range
 _POSITION_BITS = 33                 # monotonically_increasing_id: partition index above, row index below
 
 
