@@ -26,6 +26,8 @@ NEAR = 0.6  # from here on a word is a variant of another
 THRESHOLD = 0.3
 WORD, MARK = 32, 16  # longest unit and landmark, in letters
 RUN = 4  # single letters in a row that are read as one word
+GAPS = (1, 2)  # steps between two letters of a longer unit that count as neighbours in a landmark
+BLOCK = 1 << 16  # letters of longer units that are searched at once
 
 # ------------------------------------------------------------------ kernel
 
@@ -54,15 +56,15 @@ def subsequence_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ends.sum(axis=(1, 2))
 
 
-def kernels(words: np.ndarray, marks: np.ndarray, lengths: np.ndarray, chunk: int = 4096) -> np.ndarray:
-    """subsequence_kernel of row pairs, chunk by chunk, with the words cut to their length class."""
+def kernels(words: np.ndarray, marks: np.ndarray, lengths: np.ndarray, chunk: int = 4096, cut: bool = False) -> np.ndarray:
+    """subsequence_kernel of row pairs, chunk by chunk, with the words cut to their length class (marks too with cut)."""
     out = np.zeros(len(words), np.float32)
     class_of = np.searchsorted(SIZES, lengths)
     for k, size in enumerate(SIZES):
         rows = np.flatnonzero(class_of == k)
         for i in range(0, len(rows), chunk):
             part = rows[i:i + chunk]
-            out[part] = subsequence_kernel(words[part, :size], marks[part])
+            out[part] = subsequence_kernel(words[part, :size], marks[part, :size] if cut else marks[part])
     return out
 
 
@@ -95,6 +97,15 @@ class Landmarks:
         self.need = np.ceil(0.75 * np.bitwise_count(self.sets))
         self.longest = np.array([min(WORD, 2 * len(w) + 4) for w in words])
         self.norm = self._own(words, self.points)
+        pairs = sorted({(self._pair(*map(ord, w[i:i + 2])), k) for k, w in enumerate(words) for i in range(len(w) - 1)})
+        self.pairs, first = np.unique(np.array([p for p, _ in pairs], np.uint64), return_index=True)
+        self.pair_ends = np.append(first, len(pairs)).astype(np.int64)
+        self.pair_marks = np.array([k for _, k in pairs], np.int64)
+        self.least_pairs = np.array([max(2, len(w) // 2) for w in words], np.int64)
+
+    @staticmethod
+    def _pair(a, b):
+        return a << 21 | b
 
     def _own(self, words, points) -> np.ndarray:
         other = np.where(points == 1, 0, points)  # padding must not match itself
@@ -104,7 +115,8 @@ class Landmarks:
         """(words near some landmark, their kernel values with all landmarks).
 
         A value needs three quarters of the landmark's letters and a length that gaps could
-        explain; it is zero otherwise, and where it is below LEAST.
+        explain; it is zero otherwise, and where it is below LEAST. A word too long for a landmark
+        has the largest value of its windows (see _windows).
         """
         lengths = np.asarray(pc.utf8_length(words), dtype=np.int64)
         usable = np.flatnonzero((lengths >= 3) & (lengths <= WORD))
@@ -128,8 +140,74 @@ class Landmarks:
             r, m = row[k:k + 65536], mark[k:k + 65536]
             got = kernels(points[r], self.points[m], size[r]) / (own[r] * self.norm[m])
             values[r, m] = np.where(got >= LEAST, got, 0)
+        near = usable[near]
+        long = np.flatnonzero(lengths > self.longest.min(initial=WORD))
+        if len(long):
+            word, mark, got = self._windows(words.take(pa.array(long)).to_pylist())
+            every = np.union1d(near, long[word])
+            both = np.zeros((len(every), len(self.words)), np.float32)
+            both[np.searchsorted(every, near)] = values
+            np.maximum.at(both, (np.searchsorted(every, long[word]), mark), got)
+            near, values = every, both
         hot = values.any(axis=1)
-        return usable[near[hot]], values[hot]
+        return near[hot], values[hot]
+
+    def _windows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, landmark, kernel value) of the windows of words that are too long for the landmark.
+
+        Windows start and end at letter pairs that are neighbours in the landmark, with at most one
+        letter put in, and are no longer than the landmark's limit. All that hold enough pairs and
+        three quarters of the landmark's letters are compared, at every place of the word.
+        """
+        sizes = np.array([len(w) for w in words], np.int64)
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        owner = np.repeat(np.arange(len(words)), sizes)
+        limit, out = self.longest, [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
+        for base in range(0, len(flat), BLOCK) if len(self.pairs) else ():
+            own, of = flat[base:base + BLOCK + WORD].astype(np.uint64), owner[base:base + BLOCK + WORD]
+            hits = []
+            for gap in GAPS:
+                pair = self._pair(own[:-gap], own[gap:])
+                at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+                begin = np.flatnonzero((self.pairs[at] == pair) & (of[:-gap] == of[gap:]))
+                at = at[begin]
+                many = self.pair_ends[at + 1] - self.pair_ends[at]
+                nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                begin = np.repeat(begin, many)
+                hits.append(np.stack((self.pair_marks[np.repeat(self.pair_ends[at], many) + nth], begin, begin + gap)))
+            mark, begin, end = np.concatenate(hits, axis=1)
+            keep = sizes[of[begin]] > limit[mark]
+            order = np.lexsort((end[keep], begin[keep], mark[keep]))
+            mark, begin, end = mark[keep][order], begin[keep][order], end[keep][order]
+            first, step = np.arange(len(mark)), 0
+            while len(first):  # windows from each pair to the pairs after it
+                step += 1
+                first = first[first + step < len(mark)]
+                last = first + step
+                first = first[(mark[last] == mark[first]) & (begin[last] - begin[first] < limit[mark[first]])
+                              & (of[begin[last]] == of[begin[first]])]
+                last = first + step
+                fits = (step + 1 >= self.least_pairs[mark[first]]) & (end[last] - begin[first] < limit[mark[first]])
+                out += self._compared(own, of, mark[first[fits]], begin[first[fits]], end[last[fits]])
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def _compared(self, flat, of, mark, begin, end):
+        """Kernel values of the windows flat[begin:end + 1] with a landmark each, where at least LEAST."""
+        for k in range(0, len(mark), 65536):
+            m, a, n = mark[k:k + 65536], begin[k:k + 65536], (end - begin)[k:k + 65536] + 1
+            place = np.arange(WORD)[None, :]
+            points = np.where(place < n[:, None], flat[np.minimum(a[:, None] + place, len(flat) - 1)], 0).astype(np.uint32)
+            bits = np.where(points > 0, np.uint64(1) << (points % 61).astype(np.uint64), np.uint64(0))
+            close = (n >= 3) & (np.bitwise_count(np.bitwise_or.reduce(bits, axis=1) & self.sets[m]) >= self.need[m])
+            m, a, n, points = m[close], a[close], n[close], points[close]
+            # a word's own letter pairs give many equal windows: each is compared once
+            distinct, back = np.unique(np.column_stack((m.astype(np.uint32), points)), axis=0, return_inverse=True)
+            m0, own = distinct[:, 0].astype(np.int64), distinct[:, 1:]
+            size = (own > 0).sum(axis=1)
+            norm = np.sqrt(np.maximum(kernels(own, np.where(own == 0, 1, own)[:, :WORD], size, cut=True), 1e-12))
+            got = (kernels(own, self.points[m0], size) / (norm * self.norm[m0]))[back.ravel()]
+            hot = got >= LEAST
+            yield of[a[hot]], m[hot], got[hot].astype(np.float32)
 
 
 # --------------------------------------------------------------- sentences
@@ -150,10 +228,9 @@ class Sentences:
         sentence = np.cumsum(stop) - stop
         single = size[codes] == 1 if len(codes) else np.zeros(0, bool)
         extra, at = self._runs(single, text, codes, units)
-        long, where = self._windows(size, codes, units)
-        code = np.concatenate((codes, np.arange(len(extra) + len(long)) + len(units)))
-        place = np.concatenate((np.arange(len(codes)), at, where)).astype(np.int64)
-        units = pa.concat_arrays([units.cast(pa.large_string()), pa.array(extra + long, pa.large_string())])
+        code = np.concatenate((codes, np.arange(len(extra)) + len(units)))
+        place = np.concatenate((np.arange(len(codes)), at)).astype(np.int64)
+        units = pa.concat_arrays([units.cast(pa.large_string()), pa.array(extra, pa.large_string())])
         distinct = pc.dictionary_encode(units)
         self.units, unit_of = distinct.dictionary, np.asarray(distinct.indices, dtype=np.int64)
         self.code = unit_of[code] if len(code) else code
@@ -163,27 +240,18 @@ class Sentences:
 
     @staticmethod
     def _runs(single, text, codes, units):
-        """Runs of single letters ("i d i o t") as further units."""
+        """Runs of single letters ("i d i o t") as further units, each whole."""
         out, at = [], []
         if single.any():
-            edge = np.flatnonzero(np.diff(np.concatenate(([0], single.astype(np.int8), [0]))))
-            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                for k in range(a, b, MARK) if b - a >= RUN else ():
-                    own = [c for c, t in zip(codes[k:min(b, k + WORD)], text[k:min(b, k + WORD)]) if t == text[k]]
-                    if len(own) >= RUN:
-                        out.append("".join(units[int(c)].as_py() for c in own))
-                        at.append(k)
-        return out, at
-
-    @staticmethod
-    def _windows(size, codes, units):
-        """Units longer than WORD letters, as overlapping windows."""
-        out, at = [], []
-        for place in np.flatnonzero((size > WORD)[codes]).tolist() if len(codes) and (size > WORD).any() else ():
-            word = units[int(codes[place])].as_py()
-            for k in range(0, len(word) - MARK, MARK):
-                out.append(word[k:k + WORD])
-                at.append(place)
+            run = np.cumsum(np.concatenate(([True], (np.diff(single) != 0) | (np.diff(text) != 0))))
+            starts = np.flatnonzero(np.concatenate(([True], np.diff(run) > 0)))
+            ends = np.append(starts[1:], len(run))
+            wanted = np.flatnonzero(single[starts] & (ends - starts >= RUN))
+            letters = dict(zip(np.flatnonzero(pc.equal(pc.utf8_length(units), 1)).tolist(),
+                               units.filter(pc.equal(pc.utf8_length(units), 1)).to_pylist())) if len(wanted) else {}
+            for a, b in zip(starts[wanted].tolist(), ends[wanted].tolist()):
+                out.append("".join(letters[c] for c in codes[a:b].tolist()))
+                at.append(a)
         return out, at
 
     def features(self, marks: Landmarks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -390,9 +458,9 @@ def _score(batches, model: dict):
 def score_toxicity(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, score), one row per row of docs (doc_id, text): the probability that the text is toxic.
 
-    Units are words reduced to their letters, runs of single letters, and windows of very long
-    words, so dots, stars or blanks between the letters of an insult vanish and other letters put
-    in only cost kernel value. A sentence's features are the largest values of the gapped
+    Units are words reduced to their letters and runs of single letters, whole, so dots, stars or
+    blanks between the letters of an insult vanish and other letters put in only cost kernel value.
+    A unit that is too long for a landmark is read by windows around the landmark's letter pairs. A sentence's features are the largest values of the gapped
     three-letter subsequence kernel between its units and each landmark; a text's score is its
     worst sentence's, over the whole text.
 

@@ -111,6 +111,30 @@ def test_kernel_tolerates_inserted_letters():
     assert units.count("idiot") == 1
 
 
+@pytest.mark.parametrize("text", [
+    "y o u a r e s u c h a n i d i o t", "https://example.org/forum/what-an-idiot-you-are/page/of/many/words",
+    "whatanidiotyouare", "you.are.all.the.same.and.he.is.such.an.i.d.i.o.t.as.nobody.saw", "q" * 70000 + "idiot" + "w" * 70000,
+    "never.seen.such.an.idxiot.in.all.these.years.that.we.met"])
+def test_insults_in_long_units_are_scored(text):
+    marks = toxicity.Landmarks(["stupid", "idiot"])
+    model = {"words": marks.words, "weights": [2.0, 2.0], "bias": -1.0}
+    plain = "the-table-and-the-chairs-are-made-of-wood t h e t a b l e a n d t h e c h a i r s"
+    got = toxicity.document_scores(toxicity.Sentences(pa.array([text, plain, "an idiot", "an idxiot", ""], pa.large_string())), marks, model)
+    assert got[0] >= got[3 if "idxiot" in text else 2] - 1e-4 and got[1] < -0.2 and got[4] == -1
+
+
+def test_windows_find_what_single_words_do():
+    rng = random.Random(9)
+    marks = toxicity.Landmarks(["disgusting", "idiot", "stupid", "moron"])
+    for _ in range(40):
+        word = rng.choice(marks.words)
+        k = rng.randrange(1, len(word))
+        word = word[:k] + rng.choice(["", "x", "e"]) + word[k:]
+        alone = marks.values(pa.array([word], pa.large_string()))[1][0]
+        inside = "".join(rng.choices("bcfhjkqvwz", k=40)) + word + "".join(rng.choices("bcfhjkqvwz", k=40))
+        assert (marks.values(pa.array(["table", inside], pa.large_string()))[1][0].max() >= alone.max() - 1e-5)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact.exact_duplicates(empty).count() == 0 and mixing.mix_sources(empty).count() == 0
