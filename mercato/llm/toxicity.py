@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,9 @@ from mercato.llm.labelled import sample_texts
 from mercato.llm.words import batches_of, texts_of, word_codes
 
 TRAIN_DOCS = 1200  # per class
-CANDIDATES = 120
-LANDMARKS = 32
-AGAINST = 12  # landmarks from clean texts
+SURE = 0.05  # chance that any word of the training texts is taken for an insult by accident
+AT_ONCE = 120  # candidate words that are compared at once, which bounds memory
+AGAINST = 12  # landmarks from clean texts, at least; half as many as insults if that is more
 INSERTED = "xe"  # letters put into the insults of the training table
 DECAY = np.float32(0.6)  # of the kernel, for each letter that a match spans
 LEAST = 0.4  # smaller kernel values count as zero
@@ -298,8 +299,8 @@ def _evidence(bad, good, n_bad: int, n_good: int):
     return np.where(often, 2 * (odds[0] + odds[1]), 0.0)
 
 
-def candidate_words(toxic: Sentences, clean: Sentences, most: int) -> list[str]:
-    """Words that toxic texts may have far more often, by their counts of texts."""
+def candidate_words(toxic: Sentences, clean: Sentences) -> tuple[list[str], float]:
+    """(words that toxic texts may have far more often, by their counts of texts; the evidence that makes one sure)."""
     def counts(part: Sentences) -> Counter:
         pairs = np.unique(np.stack((part.text, part.code)), axis=1)
         n = np.bincount(pairs[1], minlength=len(part.units))
@@ -309,11 +310,29 @@ def candidate_words(toxic: Sentences, clean: Sentences, most: int) -> list[str]:
     words = sorted(w for w, n in bad.items() if n > 1)
     gain = _evidence(np.array([bad[w] for w in words], float), np.array([good[w] for w in words], float),
                      toxic.texts, clean.texts)
-    order = np.lexsort((np.arange(len(words)), -gain))[:most]
-    return [words[k] for k in order if gain[k] > 6]
+    order = np.lexsort((np.arange(len(words)), -gain))
+    return [words[k] for k in order if gain[k] > 6], sure_evidence(bad + good, toxic.texts, clean.texts)
 
 
-def telling(values: tuple, n_bad: int, n_good: int) -> np.ndarray:
+def sure_evidence(counts: Counter, n_bad: int, n_good: int) -> float:
+    """The statistic that all words together reach by accident with probability SURE at most.
+
+    Each word is tested twice (alone, with its variants). Words too rare to reach the statistic even
+    if only toxic texts had them are no tests (Tarone 1990).
+    """
+    most = np.sort(2 * np.array(list(counts.values()), float) * np.log((n_bad + n_good) / max(1, n_bad)))
+    low, high = 0.0, 100.0
+    while high - low > 1e-6:
+        least = (low + high) / 2
+        tests = 2 * max(1, len(most) - int(np.searchsorted(most, least)))
+        if NormalDist().inv_cdf(SURE / tests) ** 2 > least:  # a square of a normal variable, one side
+            low = least
+        else:
+            high = least
+    return high
+
+
+def telling(values: tuple, n_bad: int, n_good: int, least_gain: float) -> np.ndarray:
     """Which candidates tell toxic texts apart, by themselves or together with their near variants.
 
     values: for both classes the text of each sentence and its pooled kernel values.
@@ -326,25 +345,27 @@ def telling(values: tuple, n_bad: int, n_good: int) -> np.ndarray:
             per_text = np.unique(np.stack((text[sentence], word)), axis=1)
             counts.append(np.bincount(per_text[1], minlength=x.shape[1]).astype(float))
         gains.append(_evidence(*counts, n_bad, n_good))
-    return np.flatnonzero(np.maximum(*gains) > 25)
+    return np.flatnonzero(np.maximum(*gains) > least_gain)
 
 
 def _gram(words: list[str], marks: Landmarks) -> np.ndarray:
     """Normalised kernel of the landmark words with each other."""
-    n = len(words)
-    i, j = (x.ravel() for x in np.indices((n, n)))
-    kernel = kernels(letters_of(words, WORD, 0)[i], marks.points[j], np.array([len(words[k]) for k in i]))
-    return kernel.reshape(n, n) / np.outer(marks.norm, marks.norm)
+    n, points = len(words), letters_of(words, WORD, 0)
+    kernel = [kernels(np.repeat(points[k:k + 1], n, axis=0), marks.points, np.full(n, len(words[k]))) for k in range(n)]
+    return np.array(kernel).reshape(n, n) / np.outer(marks.norm, marks.norm)
+
 
+def pick_landmarks(words: list[str], most: int | None = None) -> list[str]:
+    """Pivoted Cholesky on the kernel of the words: each pivot is the word worst explained so far.
 
-def pick_landmarks(words: list[str], most: int) -> list[str]:
-    """Pivoted Cholesky on the kernel of the words: each pivot is the word worst explained so far."""
+    Ends when all words are explained, or at most landmarks.
+    """
     if not words:
         return []
     marks = Landmarks(words)
     n, kernel = len(words), _gram(words, marks)
     left, rows, chosen = np.ones(n), [], []
-    while len(chosen) < min(most, n) and left.max() > 0.2:
+    while len(chosen) < (n if most is None else min(most, n)) and left.max() > 0.2:
         p = int(np.argmax(left))
         row = (kernel[p] - sum(r[p] * r for r in rows)) / np.sqrt(left[p]) if rows else kernel[p].astype(float)
         rows.append(row)
@@ -375,31 +396,39 @@ def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray, squared_hinge: boo
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, landmarks: int = LANDMARKS) -> dict:
+def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     """Model from up to train_docs whole texts of either class (the ones held out are never used).
 
-    Words that tell toxic texts apart, together with their near variants, mark the toxic sentences;
-    all sentences of clean texts are clean. The SVM is linear on the Nystroem map of the pooled kernel values. Its document
+    Words that tell toxic texts apart, together with their near variants, mark the toxic sentences.
+    There are as many as the evidence makes sure, and as many landmarks as their kernel needs. All sentences of clean texts are clean. The SVM is linear on the Nystroem map of the pooled kernel values. Its document
     score, the largest of the sentences, is turned into a probability by a logistic fit.
     """
     texts = sample_texts(docs, labels.select("doc_id", F.col("toxic").cast("int").alias("label")), train_docs)
     texts = {k: without_copies(texts.get(k, [])) for k in (1, 0)}
     toxic, clean = (Sentences(texts_of(pa.array(texts[k], pa.large_string()))) for k in (1, 0))
-    words = candidate_words(toxic, clean, CANDIDATES)
+    return train_on(toxic, clean)
+
+
+def train_on(toxic: Sentences, clean: Sentences) -> dict:
+    """The model of both classes' sentences."""
+    words, least_gain = candidate_words(toxic, clean)
     empty = {"words": [], "weights": [], "bias": 0.0, "fit": (0.0, -4.0)}
-    if not words:
-        return empty
-    marks = Landmarks(words)
-    (_, bad_text, bad), (_, good_text, good) = toxic.features(marks), clean.features(marks)
-    sure = telling(((bad_text, bad), (good_text, good)), toxic.texts, clean.texts)
-    chosen = pick_landmarks([words[k] for k in sure], landmarks)
+    sure, marked = [], [np.zeros(0, np.int64)]
+    for k in range(0, len(words), AT_ONCE):
+        part = words[k:k + AT_ONCE]
+        marks = Landmarks(part)
+        (sentence, bad_text, bad), (_, good_text, good) = toxic.features(marks), clean.features(marks)
+        own = telling(((bad_text, bad), (good_text, good)), toxic.texts, clean.texts, least_gain)
+        sure += [part[i] for i in own]
+        marked.append(sentence[(bad[:, own] >= NEAR).any(axis=1)])
+    chosen = pick_landmarks(sure)
     if not chosen:
         return empty
-    marked = np.unique(toxic.features(marks)[0][(bad[:, sure] >= NEAR).any(axis=1)])
+    marked = np.unique(np.concatenate(marked))
     spoilt = Sentences(pa.array([w[:k] + c + w[k:] for w in chosen for k in range(1, len(w)) for c in INSERTED],
                                 pa.large_string()))
     parts, model = (toxic, clean, spoilt), None
-    for further in (0, AGAINST):
+    for further in (0, max(AGAINST, len(chosen) // 2)):
         if further:  # clean words that come nearest to an insult are landmarks as well
             hot, values = marks.values(clean.units)
             score = values @ np.array(model["weights"])

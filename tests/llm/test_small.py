@@ -135,6 +135,24 @@ def test_windows_find_what_single_words_do():
         assert (marks.values(pa.array(["table", inside], pa.large_string()))[1][0].max() >= alone.max() - 1e-5)
 
 
+def test_every_telling_insult_becomes_a_landmark():
+    rng = random.Random(2)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    common = ["".join(rng.choices(syllables, k=3)) for _ in range(400)]
+    insults = [w for w in dict.fromkeys("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(60)) if w not in common]
+
+    def texts(own):
+        return toxicity.Sentences(pa.array([" ".join(rng.choices(common, k=30) + [w] + rng.choices(common, k=30)) for w in own], pa.large_string()))
+
+    toxic, clean = texts(insults * 15 + rng.choices(common, k=100)), texts(rng.choices(common, k=1000))
+    model = toxicity.train_on(toxic, clean)
+    assert set(insults) <= set(model["words"])
+    marks = toxicity.Landmarks(model["words"])
+    found = toxicity.document_scores(toxic, marks, model) * model["fit"][0] + model["fit"][1] > 0
+    assert found[:len(insults) * 15].mean() > 0.99
+    assert (toxicity.document_scores(clean, marks, model) * model["fit"][0] + model["fit"][1] > 0).mean() < 0.02
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact.exact_duplicates(empty).count() == 0 and mixing.mix_sources(empty).count() == 0
