@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from mercato.functions import count_when
 
 C_N, T_N = "__control_n", "__target_n"
+UNHELD = "__unheld"  # text of the values that the precision cannot hold
 
 
 class SchemaMismatch(ValueError):
@@ -66,19 +67,25 @@ def _q(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def round_fractional(df: DataFrame, precision: int) -> DataFrame:
+def round_fractional(df: DataFrame, precision: int, keep_unheld: bool = False) -> DataFrame:
     """Every top-level float / double / decimal column -> double -> ``decimal(38, precision)``.
 
     Casting is ``try_cast``: NaN, infinities and overflow become NULL instead
-    of failing the job. Nested fields are left as they are.
+    of failing the job. Nested fields are left as they are. With ``keep_unheld``
+    the texts of these values are kept, by column, in one further column
+    (NULL if a row has none), so that different ones do not compare equal.
     """
     target_type = f"decimal(38,{int(precision)})"
-    cols = []
+    cols, unheld = [], []
     for f in df.schema.fields:
         c = _q(f.name)
         if isinstance(f.dataType, T.FractionalType):
-            c = c.try_cast("double").try_cast(target_type)
+            exact = c.try_cast("double")
+            c = exact.try_cast(target_type)
+            unheld.append(F.when(c.isNull(), exact.cast("string")))
         cols.append(c.alias(f.name))
+    if keep_unheld and unheld:
+        cols.append(F.when(F.coalesce(*unheld).isNotNull(), F.to_json(F.array(*unheld))).alias(UNHELD))
     return df.select(*cols)
 
 
@@ -116,17 +123,17 @@ def row_counts(control: DataFrame, target: DataFrame) -> DataFrame:
 
 def missing_rows(counts: DataFrame) -> DataFrame:
     """Distinct rows of control that are not in target (X1)."""
-    return counts.filter((F.col(C_N) > 0) & (F.col(T_N) == 0)).drop(C_N, T_N)
+    return counts.filter((F.col(C_N) > 0) & (F.col(T_N) == 0)).drop(C_N, T_N, UNHELD)
 
 
 def new_rows(counts: DataFrame) -> DataFrame:
     """Distinct rows of target that are not in control (X2)."""
-    return counts.filter((F.col(T_N) > 0) & (F.col(C_N) == 0)).drop(C_N, T_N)
+    return counts.filter((F.col(T_N) > 0) & (F.col(C_N) == 0)).drop(C_N, T_N, UNHELD)
 
 
 def multiplicity_changes(counts: DataFrame) -> DataFrame:
     """Rows present on both sides a different number of times, with both counts."""
-    return (counts.filter((F.col(C_N) > 0) & (F.col(T_N) > 0) & (F.col(C_N) != F.col(T_N)))
+    return (counts.filter((F.col(C_N) > 0) & (F.col(T_N) > 0) & (F.col(C_N) != F.col(T_N))).drop(UNHELD)
             .withColumnRenamed(C_N, "control_n").withColumnRenamed(T_N, "target_n"))
 
 
@@ -260,11 +267,13 @@ def compare_tables(control: DataFrame, target: DataFrame, table_name: str = "unk
 
     Raises ``SchemaMismatch`` when the schemas differ (names, order, types,
     nullability). With ``precision`` every fractional column is rounded
-    first. Columns that cannot be grouped are compared as text.
+    first; values that it cannot hold (NaN, infinities, overflow) are compared
+    by their own text, and are NULL in the row outputs. Columns that cannot be
+    grouped are compared as text.
     """
     check_schemas(control, target)
     if precision is not None:
-        control, target = round_fractional(control, precision), round_fractional(target, precision)
+        control, target = (round_fractional(side, precision, keep_unheld=True) for side in (control, target))
     if not all(_groupable(f.dataType) for f in control.schema.fields):
         control, target = stringify(control), stringify(target)
     if mode not in ("set", "bag"):

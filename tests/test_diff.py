@@ -49,6 +49,17 @@ def test_unequal_duplicates_grouped_rule(spark):
     assert first(rec(spark, a, b, tolerance=1.0)).passed
 
 
+def test_values_the_precision_cannot_hold_stay_apart(spark):
+    nan, inf = float("nan"), float("inf")
+    a = [(1, 1e37, "x"), (2, inf, "x"), (3, nan, "x"), (4, 1e37, "same"), (5, -inf, "same"), (6, nan, "same"), (7, 1.004, "y")]
+    b = [(1, -2e37, "x"), (2, -inf, "x"), (3, None, "x"), (4, 1e37, "same"), (5, -inf, "same"), (6, nan, "same"), (7, 1.001, "y")]
+    c = rec(spark, a, b, precision=2)
+    r = first(c)
+    assert (r.missing_rows_count, r.new_rows_count, r.passed) == (3, 3, False)
+    assert sorted(x.k for x in c.missing.collect()) == [1, 2, 3] and c.new.columns == ["k", "v", "s"]
+    assert first(rec(spark, a, b, precision=2, mode="bag")).total_differences == 6
+
+
 def test_precision_rounding_and_nan(spark):
     a = [(1, 1.004, "x"), (2, float("nan"), "y"), (3, 2.675, "z")]
     b = [(1, 1.001, "x"), (2, float("nan"), "y"), (3, 2.68, "z")]
