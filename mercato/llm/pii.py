@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -324,20 +325,83 @@ PLAUSIBLE = {  # digits that a span of each kind has, at least and at most, and
 WRITTEN_EMAIL = re.compile(r"(?i)@.*(\.|\bdot\b)|\bat\b.*(\.\w|\bdot\b)")
 
 
+EXACT = {  # the usual written forms of one entity
+    "email": re.compile(r"(?i)\S+?\s*(@|\(at\)|\[at\]|\bat\b)\s*[^\s@]+(\s*(\.|\bdot\b|\[dot\]|\(dot\))\s*[^\s@]+)*"),
+    "ip": re.compile(r"[0-9]{1,3}([^0-9]+[0-9]{1,3}){3}"),
+    "card": re.compile(r"[0-9]{4}([^0-9]*[0-9]{4}){3}"),
+    "phone": re.compile(r"((\+|00)[0-9]{1,3}[^0-9]*|1[^0-9]+)?\(?[0-9]{3}\)?[^0-9]*[0-9]{3}[^0-9]*[0-9]{4}|(\+|00)[^\n]+")}
+TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _stripped(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span without outer punctuation."""
+    while start < end and text[start] in ".,;:!?\"'":
+        start += 1
+    while end > start and text[end - 1] in ".,;:!?\"'":
+        end -= 1
+    return start, end
+
+
+def _cut(text: str, tokens: list[tuple[int, int]], kind: str) -> list[tuple[int, int]]:
+    """The plausible spans of a run of tokens of one kind, which may hold several entities.
+
+    Of all ways to cut it, the one that covers the most tokens; then the one with the least line
+    ends, commas and semicolons inside a span; then the most tokens in usual forms, the least spans.
+    """
+    low, high, longest = PLAUSIBLE[kind]
+    digits = [sum(c.isdigit() for c in text[a:b]) for a, b in tokens]
+    best: list[tuple] = [((0, 0, 0, 0), None)]  # (value, where the last span begins) of the first tokens
+    for j in range(1, len(tokens) + 1):
+        value, begin = best[j - 1][0], None
+        total = breaks = 0
+        for i in range(j - 1, -1, -1):
+            total += digits[i]
+            if i < j - 1:
+                between = text[tokens[i][1]:tokens[i + 1][0]]
+                breaks += "\n" in between or text[tokens[i][1] - 1] in ",;"
+            start, end = _stripped(text, tokens[i][0], tokens[j - 1][1])
+            if total > high or end - start > longest:
+                break
+            if end > start and total >= low and (kind != "email" or WRITTEN_EMAIL.search(text[start:end])):
+                n, v = j - i, best[i][0]
+                usual = n if EXACT[kind].fullmatch(text[start:end]) else 0
+                new = (v[0] + n, v[1] - breaks, v[2] + usual, v[3] - 1)
+                if new > value:
+                    value, begin = new, i
+        best.append((value, begin))
+    out, j = [], len(tokens)
+    while j > 0:
+        begin = best[j][1]
+        if begin is not None:
+            out.append(_stripped(text, tokens[begin][0], tokens[j - 1][1]))
+        j = j - 1 if begin is None else begin
+    return out[::-1]
+
+
 def added_spans(text: str, tagged: list, base: list) -> list[tuple[int, int, str]]:
-    """Tagged spans without outer punctuation that are plausible and touch no base span."""
-    out = []
+    """Plausible spans of the tagged runs, without outer punctuation.
+
+    Words that touch a base span are left out, and what lies between them is cut into single
+    entities (see _cut).
+    """
+    out, covered = [], sorted((a, b) for a, b, _ in base)
+    merged: list[list[int]] = []
+    for a, b in covered:
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(b, merged[-1][1])
+        else:
+            merged.append([a, b])
+    starts = [a for a, _ in merged]
     for start, end, kind in tagged:
-        while start < end and text[start] in ".,;:!?\"'":
-            start += 1
-        while end > start and text[end - 1] in ".,;:!?\"'":
-            end -= 1
-        digits = sum(c.isdigit() for c in text[start:end])
-        low, high, longest = PLAUSIBLE[kind]
-        fits = low <= digits <= high and end - start <= longest
-        fits = fits and (kind != "email" or WRITTEN_EMAIL.search(text[start:end]))
-        if fits and end > start and not any(a < end and start < b for a, b, _ in base):
-            out.append((start, end, kind))
+        part: list[tuple[int, int]] = []
+        for m in TOKEN.finditer(text, start, end):
+            k = bisect_left(starts, m.end()) - 1  # the last base span that begins before the word's end
+            if k >= 0 and merged[k][1] > m.start():
+                out += [(a, b, kind) for a, b in _cut(text, part, kind)]
+                part = []
+            else:
+                part.append(m.span())
+        out += [(a, b, kind) for a, b in _cut(text, part, kind)]
     return out
 
 

@@ -95,6 +95,38 @@ def test_base_spans():
     assert pii.base_spans("") == [] and pii.emails("@" * 5000 + "a" * 5000) == []
 
 
+@pytest.fixture(scope="module")
+def tagger():
+    return pii.Tagger(pii.train())
+
+
+def added(tagger, text):
+    tagged = tagger.tag(pa.array([text], pa.large_string()))[0]
+    return [(kind, text[a:b]) for a, b, kind in pii.added_spans(text, tagged, pii.base_spans(text))]
+
+
+@pytest.mark.parametrize("kind, entries", [
+    ("phone", ["(555) 123-4567", "(555) 987-6543", "(212) 555-0199", "(646) 555-0142"]),
+    ("phone", ["555-123-4567", "555-987-6543", "212-555-0199"]),
+    ("card", ["4111.2222.3333.4444", "4555.6666.7777.8888", "4999.1234.5678.9012"])])
+def test_lists_of_neighbours_are_single_spans(tagger, kind, entries):
+    for glue in ("\n", " ", ", "):
+        assert added(tagger, "la que " + glue.join(entries) + " und der") == [(kind, e) for e in entries]
+
+
+def test_runs_are_cut_into_entities():
+    def cut(text, kind):
+        return [text[a:b] for a, b, _ in pii.added_spans(text, [(0, len(text), kind)], pii.base_spans(text))]
+
+    assert cut("555 123 4567 " * 7, "phone") == ["555 123 4567"] * 7
+    assert cut("4111 1111 1111 1112 4222 2222 2222 2222 4333 3333 3333 3333", "card") == [
+        "4111 1111 1111 1112", "4222 2222 2222 2222", "4333 3333 3333 3333"]
+    assert cut("10 . 0 . 0 . 1 10 . 0 . 0 . 2", "ip") == ["10 . 0 . 0 . 1", "10 . 0 . 0 . 2"]
+    assert cut("bob at mail dot com ann at host dot org", "email") == ["bob at mail dot com", "ann at host dot org"]
+    assert cut("+1 (555) 123-4567, (555) 987-6543", "phone") == ["(555) 987-6543"]  # the first is a base span
+    assert cut("12 34", "phone") == []
+
+
 def test_language_und_and_learning(spark):
     rows = [(k, ("the cat and the dog " if k % 2 else "der hund und die katze ") * 5, "en" if k % 2 else "de") for k in range(40)]
     frame = spark.createDataFrame(rows + [(100, None, "en"), (101, "12 !", "en"), (None, "the dog", None)], "doc_id long, text string, lang string")
