@@ -16,7 +16,7 @@ from mercato.llm.words import batches_of, texts_of
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O",) + KINDS
 WINDOW = 1  # neighbours whose shapes are features
-MAX_RUN = 512  # tokens of one sequence; longer runs of doubtful tokens are decoded in pieces
+CELLS = 1 << 20  # runs times tokens that are decoded in step
 
 # Fixed patterns of the contract
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -260,7 +260,7 @@ class Tagger:
         if len(doubt) == 0:
             return out
         cut = np.flatnonzero((np.diff(doubt) > 1) | (text[doubt[1:]] != text[doubt[:-1]])) + 1
-        runs = [r[k:k + MAX_RUN] for r in np.split(doubt, cut) for k in range(0, len(r), MAX_RUN)]
+        runs = np.split(doubt, cut)
         labels = np.zeros(len(codes), np.int64)
         for group in self._grouped(runs):
             for run, path in zip(group, self._viterbi(group, e, text)):
@@ -271,10 +271,15 @@ class Tagger:
 
     @staticmethod
     def _grouped(runs):
-        """Runs of about one length together, so that padding stays small."""
-        runs = sorted(runs, key=len)
-        for k in range(0, len(runs), 2048):
-            yield runs[k:k + 2048]
+        """Runs of about one length together, so that padding stays small; a long one alone."""
+        group = []
+        for run in sorted(runs, key=len):
+            if group and (len(group) == 2048 or (len(group) + 1) * len(run) > CELLS):
+                yield group
+                group = []
+            group.append(run)
+        if group:
+            yield group
 
     def _viterbi(self, runs, e, text):
         """Best label paths of the runs, all in step; neighbours inside the text are O."""

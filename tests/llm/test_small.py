@@ -127,6 +127,13 @@ def test_runs_are_cut_into_entities():
     assert cut("12 34", "phone") == []
 
 
+def test_long_doubtful_runs_are_decoded_whole(tagger, monkeypatch):
+    sizes, decode = [], tagger._viterbi
+    monkeypatch.setattr(tagger, "_viterbi", lambda runs, e, text: sizes.extend(map(len, runs)) or decode(runs, e, text))
+    assert added(tagger, "(555) 123-4567 " * 400) == [("phone", "(555) 123-4567")] * 400
+    assert max(sizes) >= 798
+
+
 def test_language_und_and_learning(spark):
     rows = [(k, ("the cat and the dog " if k % 2 else "der hund und die katze ") * 5, "en" if k % 2 else "de") for k in range(40)]
     frame = spark.createDataFrame(rows + [(100, None, "en"), (101, "12 !", "en"), (None, "the dog", None)], "doc_id long, text string, lang string")
