@@ -13,7 +13,6 @@ from mercato.llm.labelled import sample_texts
 from mercato.llm.words import batches_of, texts_of, worker_cache
 
 TRAIN_DOCS = 40
-TRAIN_CHARS = 20_000
 CLASSES = 64  # symbols of an automaton: 0 for what is no letter, the last for unknown letters
 CHUNK = 512
 NONE = "und"
@@ -135,10 +134,10 @@ class CrossParser:
         return total, has_letter
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS) -> dict:
-    """Per language the symbols of up to train_chars characters of up to train_docs labelled texts."""
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
+    """Per language the symbols of up to train_docs whole labelled texts."""
     texts = sample_texts(docs, docs.select("doc_id", F.col("lang").alias("label")), train_docs)
-    texts = {lang: " ".join(t)[:train_chars] for lang, t in texts.items()}
+    texts = {lang: " ".join(t) for lang, t in texts.items()}
     seen: Counter = Counter()
     for text in texts.values():
         for letter, n in Counter(c for c in text.lower() if c.isalpha()).items():

@@ -142,6 +142,16 @@ def test_language_und_and_learning(spark):
     assert got[100].lang_pred == got[101].lang_pred == "und" and got[None].lang_pred == "en"
 
 
+def test_language_learns_from_all_sampled_texts(spark):
+    long = [(k, "123 lorem " * 5000, "en" if k % 2 else "de") for k in range(2)]
+    rows = [(k, ("the cat and the dog " if k % 2 else "der hund und die katze ") * 5, "en" if k % 2 else "de") for k in range(2, 30)]
+    frame = spark.createDataFrame(long + rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify_languages(frame, language.train(frame)).collect()}
+    assert all(got[k].lang_pred == ("en" if k % 2 else "de") for k in range(2, 30))
+    model = language.train(frame)
+    assert all(len(s) > 30_000 for s in model["symbols"].values())
+
+
 def test_kernel_tolerates_inserted_letters():
     marks = toxicity.Landmarks(["idiot"])
     near, values = marks.values(pa.array(["idiot", "idxiot", "table"], pa.large_string()))
