@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,7 +11,6 @@ from mercato.llm.labelled import sample_texts
 from mercato.llm.words import batches_of, texts_of, worker_cache
 
 TRAIN_DOCS = 40
-CLASSES = 64  # symbols of an automaton: 0 for what is no letter, the last for unknown letters
 CHUNK = 512
 NONE = "und"
 
@@ -26,25 +23,29 @@ def letter_table() -> np.ndarray:
     return cache["letters"]
 
 
+def code_points_as_they_are(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    return code_points_as_they_are(text.lower())
 
 
 class Alphabet:
-    """Letters by frequency in the training texts -> symbols; runs of other characters -> one 0."""
+    """Every letter of the training texts -> its symbol; other letters -> the last; runs of other characters -> one 0."""
 
     def __init__(self, letters: str):
-        self.table = np.where(letter_table(), CLASSES - 1, 0).astype(np.uint8)
-        for k, letter in enumerate(letters[: CLASSES - 2]):
-            self.table[ord(letter)] = k + 1
+        self.size = len(letters) + 2
+        self.table = np.where(letter_table(), self.size - 1, 0).astype(np.int32)
+        self.table[code_points_as_they_are(letters)] = np.arange(1, self.size - 1)
 
     def symbols(self, text: str) -> np.ndarray:
         out = self.table[code_points(text)]
         return out[np.concatenate(([True], (out[1:] != 0) | (out[:-1] != 0)))] if len(out) else out
 
 
-def suffix_automaton(symbols: np.ndarray) -> np.ndarray:
-    """(states, CLASSES) transitions of the suffix automaton (Blumer et al. 1985); -1 where none, root 0."""
+def suffix_automaton(symbols: np.ndarray) -> tuple[int, np.ndarray]:
+    """(states, (edges, 3) from, symbol, to) of the suffix automaton (Blumer et al. 1985); the root is 0."""
     go: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols.tolist():
@@ -70,36 +71,69 @@ def suffix_automaton(symbols: np.ndarray) -> np.ndarray:
                     go[p][c] = clone
                     p = link[p]
         last = new
-    table = np.full((len(go), CLASSES), -1, np.int64)
-    for state, edges in enumerate(go):
-        table[state, list(edges)] = list(edges.values())
-    return table
+    sizes = np.fromiter(map(len, go), np.int64, len(go))
+    edges = np.empty((sizes.sum(), 3), np.int64)
+    edges[:, 0] = np.repeat(np.arange(len(go)), sizes)
+    edges[:, 1] = np.fromiter((c for e in go for c in e), np.int64, len(edges))
+    edges[:, 2] = np.fromiter((s for e in go for s in e.values()), np.int64, len(edges))
+    return len(go), edges
+
+
+class Transitions:
+    """Hash table (open addressing) from state and symbol to the next state, for arrays of them."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        slot, rest = self._slots(keys), np.arange(len(keys))
+        while len(rest):  # the first key that comes to a free slot has it, the others go on
+            free = rest[self.keys[slot[rest]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            placed = free[first]
+            self.keys[slot[placed]], self.values[slot[placed]] = keys[placed], values[placed]
+            rest = rest[self.keys[slot[rest]] != keys[rest]]
+            slot[rest] = (slot[rest] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def next(self, keys: np.ndarray) -> np.ndarray:
+        """The next states; -1 where there is no transition."""
+        slot = self._slots(keys)
+        found, out = self.keys[slot], self.values[slot]  # the value of a free slot is -1
+        rest = np.flatnonzero((found != keys) & (found >= 0))
+        while len(rest):
+            slot[rest] = (slot[rest] + 1) & self.mask
+            found, out[rest] = self.keys[slot[rest]], self.values[slot[rest]]
+            rest = rest[(found != keys[rest]) & (found >= 0)]
+        return out
 
 
 class CrossParser:
     """Phrases of a text over each language's automaton: every phrase is a longest match.
 
-    All automata lie in one table. An entry holds the next state (times CLASSES) and, in its two
-    low bits, how many phrases end at the step: one if the match stops, two if the symbol does not
-    occur in the language at all.
+    The transitions of all automata lie in one hash table, those of the roots in a dense one. At a
+    step without a transition one phrase ends, two if the symbol does not occur in the language.
     """
 
     def __init__(self, model: dict):
         self.languages = list(model["symbols"])
         self.alphabet = Alphabet(model["letters"])
-        tables, roots, base = [], [], 0
-        for symbols in model["symbols"].values():
-            table = suffix_automaton(np.frombuffer(symbols, np.uint8))
-            roots.append(base * CLASSES)
-            restart = np.where(table[0] >= 0, table[0], 0)
-            ended = np.where(table[0] >= 0, 1, 2)
-            table = np.where(table >= 0, (table + base) * CLASSES << 2, ((restart + base) * CLASSES << 2) | ended)
-            tables.append(table.astype(np.int32))
-            base += len(table)
-        self.table = np.concatenate(tables).ravel()
-        self.roots = np.array(roots, np.int32)[:, None]
+        keys, values, roots, base = [], [], [], 0
+        self.starts = np.full((len(self.languages), self.alphabet.size), -1, np.int64)
+        for k, symbols in enumerate(model["symbols"].values()):
+            states, edges = suffix_automaton(np.frombuffer(symbols, np.int32))
+            roots.append(base)
+            keys.append((edges[:, 0] + base) * self.alphabet.size + edges[:, 1])
+            values.append(edges[:, 2] + base)
+            root = edges[edges[:, 0] == 0]
+            self.starts[k, root[:, 1]] = root[:, 2] + base
+            base += states
+        self.transitions = Transitions(np.concatenate(keys), np.concatenate(values))
+        self.roots = np.array(roots, np.int64)[:, None]
         # a phrase is a pointer into the training text
-        self.bits = np.log2([max(2, len(s)) for s in model["symbols"].values()])[:, None]
+        self.bits = np.log2([max(2, len(s) // 4) for s in model["symbols"].values()])[:, None]
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """((languages, texts) phrase counts, whether each text has a letter).
@@ -117,17 +151,24 @@ class CrossParser:
         length = np.minimum(CHUNK, first[owner] + sizes[owner] - begin)
         order = np.argsort(-length, kind="stable")
         begin, length, owner = begin[order], length[order], owner[order]
-        flat = np.concatenate(symbols) if symbols else np.zeros(0, np.uint8)
+        flat = np.concatenate(symbols) if symbols else np.zeros(0, np.int32)
         alive = np.searchsorted(-length, -np.arange(CHUNK), side="left")  # chunks longer than each step
         state = np.repeat(self.roots, len(owner), axis=1)
         count = np.ones((len(self.languages), len(owner)), np.int32)  # the phrase that ends with the chunk
+        language = np.repeat(np.arange(len(self.languages)), len(owner)).reshape(state.shape)
         for step in range(CHUNK):
             n = int(alive[step])
             if n == 0:
                 break
-            entry = self.table[state[:, :n] + flat[begin[:n] + step]]
-            count[:, :n] += entry & 3
-            state[:, :n] = entry >> 2
+            symbol = np.broadcast_to(flat[begin[:n] + step], (len(self.languages), n)).ravel()
+            new = self.transitions.next(state[:, :n].ravel() * self.alphabet.size + symbol)
+            ended = np.flatnonzero(new < 0)
+            of = language[:, :n].ravel()[ended]
+            start = self.starts[of, symbol[ended]]
+            new = new.astype(np.int64)
+            new[ended] = np.where(start >= 0, start, self.roots[of, 0])
+            count[:, :n] += np.bincount(ended, weights=1 + (start < 0), minlength=len(new)).astype(np.int32).reshape(-1, n)
+            state[:, :n] = new.reshape(-1, n)
         total = np.zeros((len(self.languages), len(texts)), np.int64)
         for k in range(len(self.languages)):
             total[k] = np.bincount(owner, weights=count[k], minlength=len(texts))
@@ -137,15 +178,15 @@ class CrossParser:
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     """Per language the symbols of up to train_docs whole labelled texts."""
     texts = sample_texts(docs, docs.select("doc_id", F.col("lang").alias("label")), train_docs)
-    texts = {lang: " ".join(t) for lang, t in texts.items()}
-    seen: Counter = Counter()
-    for text in texts.values():
-        for letter, n in Counter(c for c in text.lower() if c.isalpha()).items():
-            seen[letter] += n / max(1, len(text))
-    letters = "".join(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])))
+    return model_of({lang: " ".join(t) for lang, t in texts.items()})
+
+
+def model_of(texts: dict[str, str]) -> dict:
+    """The model of one training text per language: all letters seen, and each text's symbols."""
+    letters = "".join(sorted({c for text in texts.values() for c in text.lower() if c.isalpha()}))
     alphabet = Alphabet(letters)
-    symbols = {lang: alphabet.symbols(text).tobytes() for lang, text in sorted(texts.items())}
-    return {"letters": letters, "symbols": {lang: s for lang, s in symbols.items() if any(s)}}
+    symbols = {lang: alphabet.symbols(text) for lang, text in sorted(texts.items())}
+    return {"letters": letters, "symbols": {lang: s.tobytes() for lang, s in symbols.items() if s.any()}}
 
 
 def _predict(batches, model: dict):

@@ -152,6 +152,17 @@ def test_language_learns_from_all_sampled_texts(spark):
     assert all(len(s) > 30_000 for s in model["symbols"].values())
 
 
+def test_rare_letters_are_told_apart():
+    rng = random.Random(7)
+    scripts = {lang: "".join(rng.sample([chr(c) for c in range(a, a + 3000)], 2500)) for lang, a in (("ja", 0x4E00), ("zh", 0x6000))}
+    texts = {"en": "the cat and the dog " * 50, "el": "η γάτα και ο σκύλος " * 50, "ru": "кошка и собака жили были " * 50, **scripts}
+    parser = language.CrossParser(language.model_of(texts))
+    parts = {lang: [text[k:k + 40] for k in range(0, 600, 60)] for lang, text in texts.items()}
+    for lang, own in parts.items():
+        total, _ = parser.phrases(own)
+        assert [parser.languages[k] for k in (total * parser.bits).argmin(axis=0)] == [lang] * len(own)
+
+
 def test_kernel_tolerates_inserted_letters():
     marks = toxicity.Landmarks(["idiot"])
     near, values = marks.values(pa.array(["idiot", "idxiot", "table"], pa.large_string()))
