@@ -244,14 +244,13 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
     The join on prefix shingles runs in two rounds. The first pairs each document with the
     smallest one that has the shingle, which is linear in a group of copies. The second pairs only
-    documents that the first left in different components, each pair at the first prefix shingle
-    that both have. So a large group of copies isn't expanded, and no link between components is
-    lost. Length and positional filters cut pairs in the join, a suffix filter (counts between
+    documents that the first left in different components, and verifies each pair once. So a large
+    group of copies isn't expanded, and no link between components is lost. Length and positional filters cut pairs in the join, a suffix filter (counts between
     fixed pivots of the hash order) before the exact intersection.
 
     Null and empty texts have no shingles and link with nothing, nor do rows with a null doc_id
-    (component null). Rows that repeat a doc_id are one document with several texts. Other columns
-    are ignored. An empty table gives no rows. docs should be read from files: a lost task must
+    (component null). Texts of any length are read whole; a longer one makes a batch of its own.
+    Rows that repeat a doc_id are one document with several texts. Other columns are ignored. An empty table gives no rows. docs should be read from files: a lost task must
     read the same rows in the same order again.
     """
     profiles, _ = write_table(shingle_profiles(docs, width, percent), "shingle-profiles")
@@ -277,16 +276,16 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     label = found.select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
     labelled = entries.join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     labelled, _ = write_table(labelled, "shingle-labelled")
-    active = labelled.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    active, _ = write_table(active, "shingle-active")
-    prefixes = sets.select("doc_id", F.slice("shared", 1, length).alias("prefix"))
-    open_entries, _ = write_table(labelled.join(active, "h").join(prefixes, "doc_id"), "shingle-open")
-    x, y = open_entries.alias("x"), open_entries.alias("y")
+    # of the shingles found under several labels, each document meets the other labels first and only
+    # then their documents, so that a group of copies is never compared with itself
+    labels = labelled.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
+    open_entries, _ = write_table(labelled.join(labels, "h"), "shingle-open")
+    others = open_entries.select("h", F.col("label").alias("other")).distinct()
     rest = 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
-    pairs = (x.join(y, "h").where(
-        (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.label") != F.col("y.label")) & near & (rest >= need)
-        & (F.element_at(F.array_intersect("x.prefix", "y.prefix"), 1) == F.col("h")))
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
+    pairs = (open_entries.join(others, "h").where("label < other").alias("x")
+             .join(open_entries.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.other") == F.col("y.label")))
+             .where(near & (rest >= need))  # right at the first shingle of a pair, stricter than need be after it
+             .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
     more, _ = write_table(_verified(pairs, profiles, percent), "shingle-more")
     if not more.isEmpty():
         found = connected_components(found.where("node <> component").select(

@@ -11,12 +11,17 @@ import pyarrow.compute as pc
 
 
 def texts_of(column) -> pa.Array:
-    """A text column as one Arrow array of large strings, null as empty."""
+    """A text column as one Arrow array of large strings that owns its bytes, null as empty.
+
+    A slice of a batch keeps offsets that do not begin at 0, and some Arrow kernels then return
+    garbage, so the texts are copied to an array of their own.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if isinstance(column, pa.ChunkedArray):  # combine_chunks of an empty column
         column = pa.array([], pa.string())
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    return texts.take(pa.array(np.arange(len(texts))))
 
 
 def word_codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:

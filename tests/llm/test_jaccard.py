@@ -1,9 +1,11 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from mercato.llm import jaccard
+from mercato.llm import jaccard, words
 from mercato.llm.graph import connected_components
 
 SCHEMA = "doc_id long, text string, n int, label string"
@@ -67,3 +69,21 @@ def test_components_of_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(1, k) for k in range(2, 40)] + [(39, 130), (500, 500), (600, 601)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[k] == 1 for k in [*range(1, 40), *range(100, 161)]) and got[601] == 600 and 500 not in got
+
+
+def test_sets_of_a_cut_batch():
+    texts = [r[1] for r in corpus(3)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    whole = jaccard.shingle_sets(words.texts_of(batch.column(0)), 5)
+    for start in (1, 7, 50):
+        cut = jaccard.shingle_sets(words.texts_of(batch.slice(start, 20).column(0)), 5)
+        assert all(np.array_equal(a, b) for a, b in zip(whole[start:start + 20], cut)) and len(cut) == 20
+
+
+def test_cut_batches_and_files(spark, scratch, monkeypatch):
+    rows = corpus(4)
+    monkeypatch.setattr(jaccard, "MAX_ROWS", 7)  # many batches, most of them cut
+    for files in (1, 32):
+        spark.createDataFrame(rows, SCHEMA).repartition(files).write.parquet(f"{scratch}/docs{files}")
+        got = jaccard.jaccard_components(spark.read.parquet(f"{scratch}/docs{files}")).collect()
+        assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == brute(rows)
