@@ -276,15 +276,15 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     label = found.select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
     labelled = entries.join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     labelled, _ = write_table(labelled, "shingle-labelled")
-    # of the shingles found under several labels, each document meets the other labels first and only
-    # then their documents, so that a group of copies is never compared with itself
-    labels = labelled.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    open_entries, _ = write_table(labelled.join(labels, "h"), "shingle-open")
-    others = open_entries.select("h", F.col("label").alias("other")).distinct()
+    # Of the shingles found under several labels, one side of a pair at least is not of the most frequent
+    # label, so that a group of copies is not compared with itself. The positional filter is right at
+    # the first shingle of a pair and stricter after it; it is part of the join, whose output stays small.
+    share = labelled.groupBy("h", "label").agg(F.count(F.lit(1)).alias("m"))
+    several = share.groupBy("h").agg(F.max_by("label", "m").alias("most"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    open_entries, _ = write_table(labelled.join(several.select("h", "most"), "h"), "shingle-open")
     rest = 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
-    pairs = (open_entries.join(others, "h").where("label < other").alias("x")
-             .join(open_entries.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.other") == F.col("y.label")))
-             .where(near & (rest >= need))  # right at the first shingle of a pair, stricter than need be after it
+    pairs = (open_entries.where("label <> most").alias("x")
+             .join(open_entries.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.label") != F.col("y.label")) & near & (rest >= need))
              .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
     more, _ = write_table(_verified(pairs, profiles, percent), "shingle-more")
     if not more.isEmpty():

@@ -73,4 +73,20 @@ c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
 SELECT e.vec_id, (SELECT count(*) FROM u WHERE u.a = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN c ON c.node = e.vec_id"""
 
-ORACLE_SQL = {"op2_embedding_neardup": VECTORS, "op1_mix_sources": MIX, "op5_exact_dedup": EXACT, "op6_ngram_jaccard": JACCARD, "op9_line_dedup": LINES, "op10_warc": WARC}
+NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+u AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, x) = 1),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+      FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+ORACLE_SQL = {"op13_hard_negatives": NEGATIVES, "op2_embedding_neardup": VECTORS, "op1_mix_sources": MIX, "op5_exact_dedup": EXACT, "op6_ngram_jaccard": JACCARD, "op9_line_dedup": LINES, "op10_warc": WARC}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import embeddings, exact, jaccard, language, line_dedup, mixing, packing, pii, toxicity, warc
+from mercato.llm import (embeddings, exact, jaccard, language, line_dedup, mixing, negatives, packing, pii, repeats, toxicity,
+                         warc, whitening)
 from mercato.llm.labelled import held_out
 
 
@@ -68,6 +69,26 @@ def op10_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten_embeddings(read(spark, sf_dir, "embeddings")).select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained",
+        "identity_error")
+
+
+def op12_repeated_strings(spark, sf_dir):
+    return repeats.without_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", F.expr("aggregate(zip_with(starts, ends, (s, e) -> e - s), 0L, (a, b) -> a + b)").alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    vectors = read(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        "embedding")
+    return negatives.mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_embedding_neardup, op3_personal_data, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard,
-    op7_pack_documents, op8_language, op9_line_dedup, op10_warc)}
+    op7_pack_documents, op8_language, op9_line_dedup, op10_warc,
+    op11_whitening, op12_repeated_strings, op13_hard_negatives)}
