@@ -19,7 +19,8 @@ from mercato.session import write_table
 LENGTH = 100
 GRAM = 32
 BATCH_BYTES = 4 << 20
-PIECE = 4 << 20           # bytes hashed at a time
+PIECE = 1 << 20           # bytes hashed at a time
+COUNTED = np.uint64(16)   # low bits of a gram's hash that are left out where grams are only counted
 CHUNK = 1 << 14           # contexts compared at a time
 RANGES_PER_PARTITION = 4
 HOT = 20_000              # occurrences of a gram beyond which its windows are dealt out one by one
@@ -77,15 +78,19 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
     return p[keep], first[keep], last, doc[keep], h[keep]
 
 
-def contexts(data: np.ndarray, offsets: np.ndarray, p: np.ndarray, doc: np.ndarray, length: int):
-    """(bytes around each anchor as far as its windows reach and one more to the left, bytes to the left, to the right)."""
+def contexts(data: np.ndarray, offsets: np.ndarray, p: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray,
+             length: int):
+    """(bytes around each anchor as far as its windows reach and one more to the left, bytes to the left, to the right).
+
+    Beyond these and beyond the text the row is 0.
+    """
     reach = length - GRAM + 1
-    left, right = np.minimum(reach, p - offsets[doc]), np.minimum(length, offsets[doc + 1] - p)
+    left, right = np.minimum(p - first + 1, p - offsets[doc]), last + length - p
     padded = np.concatenate((np.zeros(reach, np.uint8), data, np.zeros(length, np.uint8)))
     rows = np.lib.stride_tricks.sliding_window_view(padded, reach + length)[p]
-    cut = np.flatnonzero((left < reach) | (right < length))
     column = np.arange(-reach, length)
-    rows[cut] *= (column >= -left[cut, None]) & (column < right[cut, None])
+    for s in range(0, len(p), CHUNK):
+        rows[s:s + CHUNK] *= (column >= -left[s:s + CHUNK, None]) & (column < right[s:s + CHUNK, None])
     return rows, left, right
 
 
@@ -223,7 +228,7 @@ GRAMS, TEXTS, CONTEXTS, WINDOWS, SPAN = 0, 1, 2, 3, 4
 
 def _dumped(*values) -> bytes:
     plain = pickle.dumps(values)
-    return pa.compress(plain, codec="zstd", asbytes=True) + len(plain).to_bytes(8, "little")
+    return pa.Codec("zstd", compression_level=3).compress(plain, asbytes=True) + len(plain).to_bytes(8, "little")
 
 
 def _loaded(payload: bytes):
@@ -236,10 +241,10 @@ def _table(schema: str, rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array([r[i] for r in rows], kinds[t]) for i, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
 
 
-def _by_range(hashes: np.ndarray, ranges: int):
-    """(range, rows) of the hashes' ranges."""
-    where = ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(where, kind="stable")
+def _by_range(hashes: np.ndarray, ranges: int, bits: int = 64):
+    """(range, rows in the order of their hashes) of the hashes' ranges."""
+    where = ((hashes >> np.uint64(bits - 32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(hashes, kind="stable")
     cuts = np.searchsorted(where[order], np.arange(ranges + 1))
     for r in np.flatnonzero(np.diff(cuts)).tolist():
         yield r, order[cuts[r]:cuts[r + 1]]
@@ -256,8 +261,8 @@ def _read(batches, length: int, ranges: int):
         data = np.frombuffer(data, np.uint8)[:offsets[-1]].copy() if data is not None else np.zeros(0, np.uint8)
         ids = batch.column(0).to_pylist()
         rows = [(None, name, None, _dumped(ids, offsets, data))]
-        grams, counts = np.unique(anchors(data, offsets, length)[4], return_counts=True)
-        for r, at in _by_range(grams, ranges):
+        grams, counts = np.unique(anchors(data, offsets, length)[4] >> COUNTED, return_counts=True)
+        for r, at in _by_range(grams, ranges, 64 - int(COUNTED)):
             rows.append((r, name, _dumped(_packed(grams[at]), counts[at].astype(np.uint32)), None))
         yield from _table(READ, rows).to_batches()
 
@@ -306,13 +311,14 @@ def _deal(length: int, ranges: int, hot: int, collapse: bool):
         order = np.argsort(grams)
         grams, counts = grams[order], counts[order]
         p, first, last, doc, h = anchors(data, offsets, length)
-        at = np.minimum(np.searchsorted(grams, h), len(grams) - 1)
-        keep = grams[at] == h
+        counted = h >> COUNTED
+        at = np.minimum(np.searchsorted(grams, counted), len(grams) - 1)
+        keep = grams[at] == counted
         p, first, last, doc, h, n = p[keep], first[keep], last[keep], doc[keep], h[keep], counts[at[keep]]
         own = np.array([NO_ID if d is None else d for d in ids], np.int64)[doc]
         order = np.lexsort((p, own))
         p, first, last, doc, h, n, own = (x[order] for x in (p, first, last, doc, h, n, own))
-        rows, left, right = contexts(data, offsets, p, doc, length)
+        rows, left, right = contexts(data, offsets, p, first, last, doc, length)
         starts, ends = [], []
         if collapse:
             whole = np.concatenate((rows, np.column_stack((left, right)).astype(np.uint8), h[:, None].view(np.uint8)), axis=1)
@@ -539,8 +545,8 @@ def maximal_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     """(repeat, length, doc_id, start): every maximal repeat of at least `length` bytes with all its occurrences.
 
     A repeat is an interval of the common-prefix interval tree whose occurrences differ in the byte
-    before them and in the byte after, as far as an anchor's reach (up to 2 * length - GRAM bytes): a longer one is
-    reported in overlapping parts, each with all its occurrences. Windows of grams with more than
+    before them and in the byte after, as far as the windows of one anchor reach (`length` to 2 * length - GRAM
+    bytes): a longer one is reported in overlapping parts, each with all its occurrences. Windows of grams with more than
     `hot` occurrences are reported as repeats of `length` bytes. One row per occurrence; start counts
     the bytes of its text. Nulls, empty and long texts, repeated rows and empty tables as in without_repeats.
     """
