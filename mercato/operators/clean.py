@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mercato.sources.files import with_money_as_decimal
+from mercato.sources.files import CORRUPT, with_money_as_decimal
 
 # Fixed values of the input contract.
 REQUIRED_NOT_NULL = ("order_id", "customer_id", "product_id", "order_date", "grand_total", "quantity")
@@ -25,6 +26,43 @@ def validate_orders(orders: DataFrame) -> DataFrame:
     return orders.filter(cond & (F.col("grand_total") >= 0) & ~F.isnan(F.col("grand_total").cast("double")) & (F.col("quantity") > 0))
 
 
+def rejections(orders: DataFrame) -> Column:
+    """Why a row is no valid order: an array of reason codes, empty for a valid one.
+
+    ``missing <column>``, ``unreadable <column>`` (the field has text that is not of its type; known of a
+    source that keeps the date's text and the malformed lines), ``negative grand_total``, ``not a number grand_total``,
+    ``not positive quantity``. The array is empty exactly for the rows that ``validate_orders`` keeps.
+    """
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in orders.columns else F.lit(False)
+    reasons = []
+    for c in REQUIRED_NOT_NULL:
+        text = f"{c}_text"
+        unreadable = F.col(text).isNotNull() if text in orders.columns else (
+            corrupt if not isinstance(orders.schema[c].dataType, T.StringType) else F.lit(False))
+        reasons.append(F.when(F.col(c).isNull(), F.concat(F.when(unreadable, F.lit("unreadable ")).otherwise("missing "), F.lit(c))))
+    total = F.col("grand_total")
+    not_a_number = F.isnan(total.cast("double"))
+    reasons += [F.when(not_a_number, F.lit("not a number grand_total")),
+                F.when(~not_a_number & (total < 0), F.lit("negative grand_total")),
+                F.when(F.col("quantity") <= 0, F.lit("not positive quantity"))]
+    return F.array_compact(F.array(*reasons))
+
+
+def sorted_out(orders: DataFrame) -> DataFrame:
+    """Every order with its ``_reasons`` and what becomes of it, ``_kind``: delivered, other (valid, of
+    another status) or rejected. Valid orders are cleaned as by ``clean_orders``; of a rejected order the
+    money that the type cannot hold is NULL."""
+    reasons = orders.withColumn("_reasons", rejections(orders))
+    valid = F.size("_reasons") == 0
+    kind = F.when(~valid, "rejected").when(F.col("order_status") == DELIVERED, "delivered").otherwise("other")
+    return sanitize_rating(with_money_as_decimal(reasons.withColumn("_kind", kind), only=valid))
+
+
+def rejected_orders(orders: DataFrame) -> DataFrame:
+    """The orders that ``validate_orders`` drops, with their ``_reasons``, as they came."""
+    return orders.withColumn("_reasons", rejections(orders)).filter(F.size("_reasons") > 0)
+
+
 def sanitize_rating(orders: DataFrame) -> DataFrame:
     """A rating outside [1, 5] becomes NULL; the row is kept."""
     r = F.col("rating")

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from mercato.functions import count_when
 
 C_N, T_N = "__control_n", "__target_n"
+B_N = "__base_n"  # count in the version that both sides come from
 UNHELD = "__unheld"  # text of the values that the precision cannot hold
 
 
@@ -121,6 +122,28 @@ def row_counts(control: DataFrame, target: DataFrame) -> DataFrame:
     return tagged.groupBy(*cols).agg(F.sum(C_N).alias(C_N), F.sum(T_N).alias(T_N))
 
 
+def three_way_counts(base: DataFrame, control: DataFrame, target: DataFrame) -> DataFrame:
+    """Each distinct row of three versions of a table with its count in each (one shuffle)."""
+    cols = [_q(c) for c in control.columns]
+    marks = (B_N, C_N, T_N)
+    tagged = [df.select(*cols, *[F.lit(int(m == own)).alias(m) for m in marks])
+              for df, own in zip((base, control, target), marks)]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2]).groupBy(*cols).agg(*[F.sum(m).alias(m) for m in marks])
+
+
+def changelog_counts(counts: DataFrame) -> DataFrame:
+    """From ``three_way_counts``: each row of the control and target changelogs since the base, with
+    its ``_change_type`` and its count in either changelog. Rows that neither side changed drop out."""
+    data = [_q(c) for c in counts.columns if c not in (B_N, C_N, T_N)]
+    none = F.lit(0).cast("bigint")
+    kinds = F.array(*[F.struct(F.lit(kind).alias("kind"), F.greatest(sign * (F.col(C_N) - F.col(B_N)), none).alias("c"),
+                               F.greatest(sign * (F.col(T_N) - F.col(B_N)), none).alias("t"))
+                      for kind, sign in (("INSERT", F.lit(1)), ("DELETE", F.lit(-1)))])
+    changed = counts.filter((F.col(C_N) != F.col(B_N)) | (F.col(T_N) != F.col(B_N)))
+    rows = changed.select(*data, F.explode(kinds).alias("__x")).filter((F.col("__x.c") > 0) | (F.col("__x.t") > 0))
+    return rows.select(*data, F.col("__x.kind").alias("_change_type"), F.col("__x.c").alias(C_N), F.col("__x.t").alias(T_N))
+
+
 def missing_rows(counts: DataFrame) -> DataFrame:
     """Distinct rows of control that are not in target (X1)."""
     return counts.filter((F.col(C_N) > 0) & (F.col(T_N) == 0)).drop(C_N, T_N, UNHELD)
@@ -225,15 +248,7 @@ class Comparison:
         spark = self.counts.sparkSession
         row = spark.createDataFrame([tuple(int(stats[c]) for c in stats_cols)],
                                     ", ".join(f"{c} bigint" for c in stats_cols))
-        return _Observed(self.table_name, table, self.tolerance, self.mode, self.run_timestamp, row)
-
-    def materialized(self) -> "Comparison":
-        """The same comparison over counts written once to the shared checkpoint
-        folder: the record and the missing / new row outputs then read that copy
-        instead of each re-aggregating both tables."""
-        from mercato.session import cut_lineage
-        return Comparison(self.table_name, cut_lineage(self.counts), self.tolerance, self.mode,
-                          self.run_timestamp)
+        return Observed(self.table_name, table, self.tolerance, self.mode, self.run_timestamp, row)
 
     @property
     def missing(self) -> DataFrame:
@@ -249,12 +264,15 @@ class Comparison:
 
 
 @dataclass
-class _Observed(Comparison):
+class Observed(Comparison):
     """A comparison whose ``counts`` hold only the differing rows and whose
     record comes from statistics observed over all rows."""
 
     stats: DataFrame | None = None
 
+    def differences_only(self) -> "Comparison":
+        return self
+
     @property
     def result(self) -> DataFrame:
         return result_record(self.stats, self.table_name, self.tolerance, self.mode, self.run_timestamp)
@@ -274,7 +292,7 @@ def compare_tables(control: DataFrame, target: DataFrame, table_name: str = "unk
     check_schemas(control, target)
     if precision is not None:
         control, target = (round_fractional(side, precision, keep_unheld=True) for side in (control, target))
-    if not all(_groupable(f.dataType) for f in control.schema.fields):
+    if not groupable(control):
         control, target = stringify(control), stringify(target)
     if mode not in ("set", "bag"):
         raise ValueError("mode must be 'set' or 'bag'")
@@ -282,6 +300,27 @@ def compare_tables(control: DataFrame, target: DataFrame, table_name: str = "unk
                       run_timestamp or _dt.datetime.now().isoformat())
 
 
+def compare_changelogs(counts: DataFrame, table_name: str = "unknown", precision: int | None = None, tolerance: float = 0.0,
+                       mode: str = "set", run_timestamp: str | None = None) -> Comparison:
+    """Compare the control and target changelogs held by ``three_way_counts``, as ``compare_tables`` would.
+
+    Their rows carry ``_change_type``. Nothing is shuffled again, but with ``precision``: then
+    the changed rows are rounded and counted once more.
+    """
+    if mode not in ("set", "bag"):
+        raise ValueError("mode must be 'set' or 'bag'")
+    rows = changelog_counts(counts)
+    if precision is not None:
+        rows = round_fractional(rows, precision, keep_unheld=True)
+        rows = rows.groupBy(*[_q(c) for c in rows.columns if c not in (C_N, T_N)]).agg(F.sum(C_N).alias(C_N), F.sum(T_N).alias(T_N))
+    return Comparison(table_name, rows, tolerance, mode, run_timestamp or _dt.datetime.now().isoformat())
+
+
+def groupable(df: DataFrame) -> bool:
+    """Whether every column has a type that rows can be grouped by."""
+    return all(_groupable(f.dataType) for f in df.schema.fields)
+
+
 DEFAULT_CHUNK = 10_000
 
 
@@ -315,10 +354,14 @@ def replicate_rows(df: DataFrame, copies: str, chunk: int = DEFAULT_CHUNK) -> Da
 def bag_changes(start: DataFrame, end: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """``end EXCEPT ALL start`` tagged INSERT plus ``start EXCEPT ALL end`` tagged
     DELETE, from one aggregation of both sides."""
-    counts = row_counts(start, end)
-    delta = F.col(T_N) - F.col(C_N)
+    return changes(row_counts(start, end), C_N, T_N, chunk)
+
+
+def changes(counts: DataFrame, start: str, end: str, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """The changelog from one counted version to another: rows with ``_change_type``, each as often as it changed."""
+    delta = F.col(end) - F.col(start)
     tagged = counts.filter(delta != 0).select(
-        *[_q(c) for c in start.columns],
+        *[_q(c) for c in counts.columns if c not in (B_N, C_N, T_N)],
         F.when(delta > 0, F.lit("INSERT")).otherwise(F.lit("DELETE")).alias("_change_type"),
         F.abs(delta).alias("__copies"))
     return replicate_rows(tagged, "__copies", chunk)

@@ -9,7 +9,7 @@ A plain ``row_number().over(Window.orderBy(...))`` plans an
   table of counts per range gives the offsets. One plan for every size.
 * ``add_tiles`` and ``ranks_of`` need no sort or shuffle of the table. They find
   the few keys that matter (the last key of each tile, the rows whose rank is
-  wanted) and compare every row with those by binary search.
+  wanted) and compare every row with those in generated code.
 
 The key includes the tie-break columns, so even a value that holds a third of
 all rows is split. Any type that Spark can order is accepted, in both
@@ -18,18 +18,22 @@ directions.
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.session import cut_lineage
 
 DEFAULT_ROWS_PER_BUCKET = 250_000   # rows a task sorts
 MAX_RANGES = 100_000                # tasks of one shuffle; beyond it tasks take more rows and their sorts spill
-CUT_RANGES = 64                     # ranges among which add_tiles looks for its cuts
-CUT_SAMPLE = 16                     # sampled keys per range
+BOUNDS = 31                         # keys that cut a bracket, or a set of rows, into cells
+BOUND_SAMPLE = 16                   # sampled keys per bound
 _POSITION_BITS = 33                 # monotonically_increasing_id: partition index above, row index below
 
 
@@ -138,99 +142,185 @@ def top_k_per_group(df: DataFrame, k: int, group_by: list[str], order: list[tupl
 
 
 # ------------------------------------------------- ranks by comparing keys
-def _key(spec: RankSpec) -> Column:
-    return F.struct(*[F.col(c).alias(f"k{i}") for i, (c, _) in enumerate(spec.sort_keys())])
+# A key is the tuple of a row's sort values. Keys that cut the table are read to the driver, at most
+# BOUNDS * BOUND_SAMPLE of a bracket at a time, and compared as literals.
+Key = tuple
+Field = Callable[[int], Column]     # the i-th field of a key
 
 
-def _before(a: Column, b: Column, spec: RankSpec) -> Column:
-    """Whether key ``a`` sorts before key ``b``.
+def _less(x: Column, y: Column) -> Column:
+    """x < y with NULL lowest; Spark's own order puts NaN highest."""
+    return F.coalesce(x < y, x.isNull() & y.isNotNull())
 
-    Fields are compared as one-field structs, which Spark orders with NULL
-    lowest and NaN highest; a descending field is that order reversed.
-    """
+
+def _before(a: Field, b: Field, spec: RankSpec) -> Column:
+    """Whether key ``a`` sorts before key ``b``: a descending field is the ascending order reversed."""
     out = F.lit(False)
     for i, (_, asc) in reversed(list(enumerate(spec.sort_keys()))):
-        x, y = F.struct(a[f"k{i}"].alias("k")), F.struct(b[f"k{i}"].alias("k"))
-        out = ((x < y) if asc else (x > y)) | ((x == y) & out)
+        x, y = a(i), b(i)
+        out = (_less(x, y) if asc else _less(y, x)) | (x.eqNullSafe(y) & out)
     return out
 
 
-def _sorted_keys(keys: Column, spec: RankSpec) -> Column:
-    return F.array_sort(keys, lambda a, b: F.when(_before(a, b, spec), -1).when(_before(b, a, spec), 1).otherwise(0))
+def _row_key(spec: RankSpec) -> Field:
+    return lambda i: F.col(spec.sort_keys()[i][0])
 
 
-def _with_position(df: DataFrame, out: str, bounds: Column, key: Column, spec: RankSpec,
-                   strictly: bool = False) -> DataFrame:
-    """Add how many of the sorted bounds sort before the key, or equal it unless ``strictly``: a binary search.
+def _literal(value, dtype: T.DataType) -> Column:
+    if isinstance(value, T.Row):
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, dtype.fields)])
+    if isinstance(value, list):
+        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
+    if isinstance(value, dt.datetime) and isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(" ")).cast(dtype)  # a plain literal would pass through the local time zone
+    return F.lit(bytes(value) if isinstance(value, bytearray) else value).cast(dtype)
+
+
+def _literal_key(key: Key, spec: RankSpec, schema: T.StructType) -> Field:
+    return lambda i: _literal(key[i], schema[spec.sort_keys()[i][0]].dataType)
+
+
+def _compare(a, b) -> int:
+    """Spark's ascending order of two collected values."""
+    if a is None or b is None:
+        return (a is not None) - (b is not None)
+    if isinstance(a, (tuple, list)):
+        return next((c for c in map(_compare, a, b) if c), len(a) - len(b))
+    if a != a or b != b:
+        return (a != a) - (b != b)
+    return (a > b) - (a < b)
+
+
+def _sorted_keys(keys: list[Key], spec: RankSpec) -> list[Key]:
+    def compare(a: Key, b: Key) -> int:
+        return next((c if asc else -c for x, y, (_, asc) in zip(a, b, spec.sort_keys()) if (c := _compare(x, y))), 0)
+    ordered = sorted(keys, key=functools.cmp_to_key(compare))
+    return [k for i, k in enumerate(ordered) if i == 0 or compare(ordered[i - 1], k)]
+
+
+def _spread(keys: list, n: int) -> list:
+    """n of the sorted keys, evenly spread."""
+    return keys if len(keys) <= n else [keys[(i + 1) * len(keys) // (n + 1)] for i in range(n)]
+
+
+def _cell(bounds: list[Key], spec: RankSpec, schema: T.StructType) -> Column:
+    """How many of the sorted bounds sort strictly before the row: a decision tree of plain comparisons."""
+    def tree(i: int, j: int) -> Column:
+        if i == j:
+            return F.lit(i)
+        mid = (i + j) // 2
+        passed = _before(_literal_key(bounds[mid], spec, schema), _row_key(spec), spec)
+        return F.when(passed, tree(mid + 1, j)).otherwise(tree(i, mid))
+    return tree(0, len(bounds))
 
-    The bounds are a scalar subquery, which Spark allows as a column but not inside a lambda function.
-    """
-    bounds_of, size = F.col("__bounds"), F.size("__bounds")
 
-    def halve(span: Column, _: Column) -> Column:
-        mid = F.shiftright(span["lo"] + span["hi"], 1)
-        bound = F.get(bounds_of, mid)
-        passed = _before(bound, key, spec) if strictly else ~_before(key, bound, spec)
-        return (F.when(span["lo"] >= span["hi"], span)
-                .when(passed, F.struct((mid + 1).alias("lo"), span["hi"].alias("hi")))
-                .otherwise(F.struct(span["lo"].alias("lo"), mid.alias("hi"))))
+@dataclass
+class _Bracket:
+    """Rows after the key ``low`` up to the key ``high`` (None: no limit) of one spec, with the cut ranks among them."""
 
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), size.alias("hi")), halve)["lo"]
-    return df.withColumn("__bounds", bounds).withColumn(out, found).drop("__bounds")
+    spec: RankSpec
+    low: Key | None
+    high: Key | None
+    start: int          # rows before the bracket
+    size: int
+    ranks: list[int]
+
+    def inside(self, schema: T.StructType) -> Column:
+        row, out = _row_key(self.spec), F.lit(True)
+        if self.low is not None:
+            out = out & _before(_literal_key(self.low, self.spec, schema), row, self.spec)
+        if self.high is not None:
+            out = out & ~_before(_literal_key(self.high, self.spec, schema), row, self.spec)
+        return out
+
+    def split(self, bounds: list[Key], sizes: dict[int, int]) -> list["_Bracket"]:
+        """The cells that hold a cut rank; cell c ends with bounds[c]."""
+        edges, start, out = [self.low, *bounds, self.high], self.start, []
+        for c in range(len(bounds) + 1):
+            end = start + sizes.get(c, 0)
+            if held := [r for r in self.ranks if start < r <= end]:
+                out.append(_Bracket(self.spec, edges[c], edges[c + 1], start, end - start, held))
+            start = end
+        return out
 
 
 def _cut_ranks(n: int, k: int) -> list[int]:
-    """Rank of the last row of each of the first k - 1 of k tiles over n rows."""
+    """Rank of the last row of each of the first k - 1 of k tiles over n rows (0: the tile is empty)."""
     q, extra = divmod(n, k)
     return [t * q + min(t, extra) for t in range(1, k)]
 
 
-def _cut_keys(df: DataFrame, spec: RankSpec, n: int, seed: int) -> Column:
-    """The keys at the cut ranks, as a scalar subquery.
+def _keys_of(df: DataFrame, at: int, bracket: _Bracket, which: Column) -> DataFrame:
+    names = [c for c, _ in bracket.spec.sort_keys()]
+    return df.select(F.lit(at).alias("__b"), which.alias("__w"), *[F.col(c).alias(f"__k{at}_{i}") for i, c in enumerate(names)])
+
+
+def _read_keys(parts: list[DataFrame], specs: list[RankSpec]) -> list[list[tuple[int, Key]]]:
+    """(which, key) rows of each part, collected in one job."""
+    found: list[list] = [[] for _ in parts]
+    for row in functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).collect():
+        found[row["__b"]].append((row["__w"], tuple(row[f"__k{row['__b']}_{i}"] for i in range(len(specs[row["__b"]].sort_keys())))))
+    return found
+
+
+def _narrowed(df: DataFrame, brackets: list[_Bracket], seed: int) -> list[_Bracket]:
+    """One round: bounded samples of the brackets cut them into cells, one pass counts the rows of all cells."""
+    schema = df.schema
+    drawn = _read_keys([_keys_of(df.filter(b.inside(schema)).sample(False, min(1.0, BOUNDS * BOUND_SAMPLE / b.size), seed),
+                                 at, b, F.lit(0)) for at, b in enumerate(brackets)], [b.spec for b in brackets])
+    bounds = [_spread(_sorted_keys([key for _, key in keys], b.spec), BOUNDS) for keys, b in zip(drawn, brackets)]
+    cells = F.array(*[F.when(b.inside(schema), F.struct(F.lit(at).alias("b"), _cell(own, b.spec, schema).alias("c")))
+                      for at, (b, own) in enumerate(zip(brackets, bounds))])
+    sizes: dict[int, dict[int, int]] = {}
+    for row in (df.select(F.explode(cells).alias("x")).filter("x IS NOT NULL").groupBy("x.b", "x.c").count().collect()):
+        sizes.setdefault(row.b, {})[row.c] = row["count"]
+    return [part for at, (b, own) in enumerate(zip(brackets, bounds)) for part in b.split(own, sizes.get(at, {}))]
 
-    A bounded sample cuts the table into ranges, one pass counts the rows of
-    each, and only the ranges that hold a cut (at most one per cut) are sorted.
+
+def _bounded_brackets(df: DataFrame, specs: list[RankSpec], n: int, rows_per_task: int, seed: int) -> list[_Bracket]:
+    """Brackets of at most ``rows_per_task`` rows that hold the cut ranks of each spec.
+
+    Too large ones are narrowed again and again, those of all specs in the same passes.
     """
-    keyed = df.select(_key(spec).alias("key"))
-    sample = keyed.sample(False, min(1.0, CUT_RANGES * CUT_SAMPLE / max(1, n)), seed)
-    drawn = sample.agg(_sorted_keys(F.collect_list("key"), spec).alias("keys"))
-    every = F.greatest(F.lit(1), F.ceil(F.size("keys") / CUT_RANGES).cast("int"))
-    bounds = drawn.select(F.filter("keys", lambda _, i: i % every == every - 1)).scalar()
-    placed = _with_position(keyed, "at", bounds, F.col("key"), spec)
-    counts = placed.groupBy("at").agg(F.count(F.lit(1)).alias("c"))  # at most CUT_RANGES + 1 rows
-    end = F.sum("c").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
-    cuts = F.array(*[F.lit(r).cast("long") for r in _cut_ranks(n, spec.ntile)])
-    held = (counts.select("at", (end - F.col("c")).alias("start"), end.alias("end"))
-            .withColumn("cuts", F.filter(cuts, lambda r: (r > F.col("start")) & (r <= F.col("end"))))
-            .filter(F.size("cuts") > 0))
-    inside = placed.join(F.broadcast(held), "at")  # at most one row per cut
-    order = [F.col(f"key.k{i}").asc_nulls_first() if asc else F.col(f"key.k{i}").desc_nulls_last()
-             for i, (_, asc) in enumerate(spec.sort_keys())]
-    ranked = inside.withColumn("rank", F.row_number().over(Window.partitionBy("at").orderBy(*order)) + F.col("start"))
-    found = ranked.filter(F.array_contains("cuts", F.col("rank"))).agg(
-        F.sort_array(F.collect_list(F.struct("rank", "key"))).alias("found"))
-    return found.select(F.transform("found", lambda x: x["key"])).scalar()
-
-
-def add_tiles(df: DataFrame, specs: list[RankSpec], n_rows: int, seed: int = 17) -> DataFrame:
+    brackets = [_Bracket(spec, None, None, 0, n, [r for r in _cut_ranks(n, spec.ntile) if r]) for spec in specs]
+    done: list[_Bracket] = []
+    while brackets:
+        done += [b for b in brackets if b.size <= rows_per_task and b.ranks]
+        brackets = [b for b in brackets if b.size > rows_per_task and b.ranks]
+        if brackets:
+            seed += 1
+            brackets = _narrowed(df, brackets, seed)
+    return done
+
+
+def _cut_keys(df: DataFrame, specs: list[RankSpec], n: int, rows_per_task: int, seed: int) -> list[list[Key]]:
+    """The keys at the cut ranks of each spec: each bracket is sorted in a task of its own."""
+    done = _bounded_brackets(df, specs, n, rows_per_task, seed)
+    if not done:
+        return [[] for _ in specs]
+    parts = []
+    for at, b in enumerate(done):
+        keys = _keys_of(df.filter(b.inside(df.schema)), at, b, F.row_number().over(Window.partitionBy(F.lit(at)).orderBy(*_window_order(b.spec))))
+        parts.append(keys.filter(F.col("__w").isin([r - b.start for r in b.ranks])))
+    found: dict[int, list] = {}
+    for b, keys in zip(done, _read_keys(parts, [b.spec for b in done])):
+        found.setdefault(id(b.spec), []).extend((w + b.start, key) for w, key in keys)
+    return [[key for _, key in sorted(found.get(id(spec), []), key=lambda x: x[0])] for spec in specs]
+
+
+def add_tiles(df: DataFrame, specs: list[RankSpec], n_rows: int, seed: int = 17,
+              rows_per_task: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Add ``ntile(spec.ntile)`` over the whole table per spec, without sorting or shuffling it.
 
     ``df`` must be materialised (a checkpoint or a written table) with
     ``n_rows`` rows, and each spec's keys must be unique. Partitioned ntiles
-    go through ``add_ranks``.
+    go through ``add_ranks``. No task sorts more than ``rows_per_task`` rows.
     """
-    out = df
     for spec in specs:
         if spec.partition_by or not spec.ntile:
             raise ValueError(f"{spec.out}: add_tiles is for ntiles over the whole table")
-        if spec.ntile == 1 or n_rows == 0:
-            out = out.withColumn(spec.out, F.lit(1))
-            continue
-        cuts = _cut_keys(df, spec, n_rows, seed)
-        out = _with_position(out, spec.out, cuts, _key(spec), spec, strictly=True)
-        out = out.withColumn(spec.out, F.col(spec.out) + 1)
-    return out
+    cuts = _cut_keys(df, specs, n_rows, rows_per_task, seed)
+    return df.withColumns({spec.out: (_cell(keys, spec, df.schema) + 1).cast("int") for spec, keys in zip(specs, cuts)})
 
 
 def ranks_of(rows: DataFrame, df: DataFrame, spec: RankSpec, within: str,
@@ -238,22 +328,37 @@ def ranks_of(rows: DataFrame, df: DataFrame, spec: RankSpec, within: str,
     """Add to ``rows``, some rows of ``df``, their row_number in ``df`` (``spec.out``) and among
     the rows of ``df`` with the same ``within`` (``within_out``).
 
-    One pass counts the rows of ``df`` between the keys of ``rows``, so nothing but counts is
-    shuffled: at most (#rows + 1) * #values of ``within``. Both inputs must be materialised and
-    keys unique; ``rows`` must be few enough for every task to hold their keys.
+    Up to BOUNDS keys of ``rows`` cut the table into cells. One pass counts the rows of each cell and
+    ``within``; only inside its own cell is a row of ``rows`` compared with rows of ``df``, by a
+    join on the cell. So nothing but counts and the rows up to the last one wanted is shuffled.
+    Both inputs must be materialised, keys unique.
     """
-    bounds = rows.agg(_sorted_keys(F.collect_list(_key(spec)), spec)).scalar()
-
-    def placed(table: DataFrame) -> DataFrame:
-        table = table.withColumn("__w", F.struct(within))
-        return _with_position(table, "__at", bounds, _key(spec), spec)
-
-    def start(window) -> Column:
-        earlier = window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("__c").over(earlier), F.lit(0)) + 1
-
-    counts = placed(df).groupBy("__w", "__at").agg(F.count(F.lit(1)).alias("__c"))
-    local = counts.select("__w", "__at", start(Window.partitionBy("__w")).alias(within_out))
-    total = counts.groupBy("__at").agg(F.sum("__c").alias("__c"))  # at most one row more than ``rows``
-    total = total.select("__at", start(Window.partitionBy()).alias(spec.out))
-    return placed(rows).join(local, ["__w", "__at"]).join(total, "__at").drop("__w", "__at")
+    fields = [c for c, _ in spec.sort_keys()]
+    some = rows.select(*fields).orderBy(F.xxhash64(*fields)).limit(BOUNDS * BOUND_SAMPLE)
+    last = rows.select(*fields).orderBy(*[o for o in _reversed_order(spec)]).limit(1)
+    keys = _sorted_keys([tuple(r) for r in some.unionByName(last).collect()], spec)
+    if not keys:
+        return rows.withColumns({spec.out: F.lit(None).cast("long"), within_out: F.lit(None).cast("long")})
+    bounds = [*_spread(keys[:-1], BOUNDS - 1), keys[-1]]
+    cell = _cell(bounds, spec, df.schema)
+    early = df.select(*[F.col(c).alias(f"__x{i}") for i, c in enumerate(fields)], F.col(within).alias("__w"), cell.alias("__cell"))
+    early = early.filter(F.col("__cell") < len(bounds))  # nothing after the last key matters
+    counts = early.groupBy("__w", "__cell").agg(F.count(F.lit(1)).alias("__c"))
+
+    def earlier(window) -> Column:
+        return F.coalesce(F.sum("__c").over(window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    local = counts.select(F.struct("__w").alias("__w"), "__cell", earlier(Window.partitionBy("__w")).alias("__local"))
+    total = counts.groupBy("__cell").agg(F.sum("__c").alias("__c"))  # at most BOUNDS rows
+    total = total.select("__cell", earlier(Window.partitionBy()).alias("__total"))
+    placed = rows.withColumn("__cell", cell)
+    after = _before(_row_key(spec), lambda i: F.col(f"__x{i}"), spec)
+    inside = (placed.join(early, "__cell").filter(~after).groupBy(*[F.col(f"`{c}`") for c in rows.columns], "__cell")
+              .agg(F.count(F.lit(1)).alias("__o"), F.count_if(F.col("__w").eqNullSafe(F.col(within))).alias("__in")))
+    return (inside.withColumn("__w", F.struct(F.col(within).alias("__w"))).join(total, "__cell").join(local, ["__w", "__cell"])
+            .withColumns({spec.out: F.col("__total") + F.col("__o"), within_out: F.col("__local") + F.col("__in")})
+            .select(*[F.col(f"`{c}`") for c in rows.columns], within_out, spec.out))
+
+
+def _reversed_order(spec: RankSpec) -> list[Column]:
+    return [F.col(c).desc_nulls_last() if asc else F.col(c).asc_nulls_first() for c, asc in spec.sort_keys()]

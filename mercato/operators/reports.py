@@ -12,23 +12,27 @@ Scale notes (one line each, details in README):
 * ``daily_sales_moving_avg`` uses one global window over one row per *day*:
   its size is bounded by the calendar, not by the data;
 * ``cohort_retention`` pre-aggregates per customer and day; ``customer_360``
-  fetches the brand by a join whose order side AQE broadcasts against or splits
-  when a product is hot, and combines per (customer, brand) before the shuffle.
+  fetches the brand by a join that splits heavy products (``operators.joins``)
+  and counts brands in bit sets, all combined before one shuffle by customer;
+* ``statistical_profile`` selects its quantiles by counting (``operators.selection``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import (count_when, mean_of, month_label, months_since,
                                ratio_or_zero, round_ratio, stddev_exact)
+from mercato.operators.joins import join_dimension
 from mercato.operators.ranking import RankSpec, add_tiles, ranks_of, top_k_per_group
-from mercato.session import cut_lineage, cut_lineage_counted
+from mercato.operators.selection import group_quantiles
+from mercato.session import cut_lineage, cut_lineage_counted, write_table
 
 MONEY_SCALE = 2
 QUANTILES = (0.25, 0.5, 0.75)
-DEFAULT_QUANTILE_ACCURACY = 1_000_000
 
 # Segment rule, first match wins (fixed values of the report contract):
 #   r >= 4 and f >= 4 and m >= 4 -> Champions
@@ -126,20 +130,18 @@ def rfm_scores(per_customer: DataFrame, n_rows: int, best_is_high: bool = False)
     latest of the customers' last dates: a scalar subquery over this small
     table (no driver round trip, no join, no second pass over the orders).
     """
-    ref_date = per_customer.select(F.max("_last")).scalar()
-    base = per_customer.select("customer_id", F.datediff(ref_date, F.col("_last")).alias("recency"),
-                               "frequency", "_monetary")
     asc_r, asc_fm = (False, True) if best_is_high else (True, False)
     tie = ("customer_id",)
-    scored = add_tiles(base, [
-        RankSpec("r_score", (("recency", asc_r),), (), tie, 5),
+    scored = add_tiles(per_customer, [  # a recent last date is a small recency
+        RankSpec("r_score", (("_last", not asc_r),), (), tie, 5),
         RankSpec("f_score", (("frequency", asc_fm),), (), tie, 5),
         RankSpec("m_score", (("_monetary", asc_fm),), (), tie, 5),
     ], n_rows)
+    ref_date = per_customer.select(F.max("_last")).scalar()
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select(
-        "customer_id", "recency", "frequency", _money("_monetary").alias("monetary"),
-        "r_score", "f_score", "m_score",
+        "customer_id", F.datediff(ref_date, F.col("_last")).alias("recency"), "frequency",
+        _money("_monetary").alias("monetary"), "r_score", "f_score", "m_score",
         F.concat(r.cast("string"), f.cast("string"), m.cast("string")).alias("rfm_score"),
         _segment(r, f, m).alias("customer_value"),
     )
@@ -150,8 +152,29 @@ CUSTOMER_KEYS = ["customer_id", "age", "gender", "customer_value", "account_age_
                  "total_lifetime_orders", "preferred_payment"]
 
 
+MAX_BRAND_WORDS = 16  # brands up to 1,024 are counted in bit sets of 64
+
+
+def _numbered_brands(products: DataFrame) -> tuple[DataFrame, int]:
+    """(product_id, _brand, _times, _nth[, _number]) per product and brand, written, and the number of words of the bit sets.
+
+    _times counts the product's rows of the brand, _nth numbers its brands. Up to 64 * MAX_BRAND_WORDS brands
+    have a dense number; with more there are no words.
+    """
+    listed, _ = write_table(products.groupBy("product_id", F.col("brand").alias("_brand")).agg(
+        F.count(F.lit(1)).cast("int").alias("_times")), "product-brands")
+    brands = listed.select("_brand").where("_brand IS NOT NULL").distinct()
+    known = [r[0] for r in brands.limit(64 * MAX_BRAND_WORDS + 1).collect()]
+    listed = listed.withColumn("_nth", F.row_number().over(Window.partitionBy("product_id").orderBy("_brand")))
+    if len(known) > 64 * MAX_BRAND_WORDS:
+        return write_table(listed, "product-brands")[0], 0
+    numbers = listed.sparkSession.createDataFrame(list(zip(sorted(known), range(len(known)))), "_brand string, _number int")
+    return (write_table(listed.join(F.broadcast(numbers), "_brand", "left"), "product-brands")[0],
+            -(-len(known) // 64))
+
+
 def customer_360(delivered: DataFrame, customers: DataFrame, products: DataFrame,
-                 rfm: DataFrame | None = None) -> DataFrame:
+                 rfm: DataFrame | None = None, materialised: bool = False) -> DataFrame:
     """One row per customer (and attribute set): orders, value, brands, rating, discounts.
 
     Orders without a customer or product row drop out (inner joins); customers
@@ -160,30 +183,37 @@ def customer_360(delivered: DataFrame, customers: DataFrame, products: DataFrame
     the same attributes has every additive measure doubled.
 
     Plan: one pass over the orders. Each fetches its product's brands (listed
-    with their number of rows), then one aggregation per customer gives the
-    sums of the report, over orders with a product, and those of the RFM
-    table, over all orders. The per-customer rows are written once and joined
-    to the customers and the RFM segments.
+    with their number of rows) by a join that splits heavy products, then one
+    aggregation per customer gives the sums of the report, over orders with a product,
+    and those of the RFM table, over all orders. The distinct brands are bits of
+    numbered brands, merged by ``bit_or``, so everything is combined before one shuffle by
+    customer (with more than 1,024 brands: Spark's two-stage distinct count). The
+    per-customer rows are written once and joined to the customers and the RFM segments.
     """
-    listed = products.groupBy("product_id", F.col("brand").alias("_brand")).agg(
-        F.count(F.lit(1)).cast("int").alias("_times"))
-    listed = listed.withColumn("_nth", F.row_number().over(Window.partitionBy("product_id").orderBy("_brand")))
-    rows = delivered.join(listed, "product_id", "left")
+    listed, words = _numbered_brands(products)
+    rows = join_dimension(delivered.select("customer_id", "product_id", "order_id", "order_date", "grand_total", "rating",
+                                           "discount_percent", "discount_amount"), listed, "product_id", "left", materialised)
     once = F.coalesce(F.col("_nth"), F.lit(1)) == 1  # an order counts once for RFM, with a product or without
     times = F.col("_times")                          # NULL without a product row
-    per_c, n = cut_lineage_counted(rows.groupBy("customer_id").agg(
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_number") % 64)
+    brands = ([F.bit_or(F.when(F.floor(F.col("_number") / 64) == w, bit)).alias(f"_word{w}") for w in range(words)]
+              or [F.countDistinct("_brand").alias("brands_purchased")])
+    grouped = rows.groupBy("customer_id").agg(
         F.max("order_date").alias("_last"),
         count_when(once & F.col("order_id").isNotNull()).alias("frequency"),
         F.sum(F.when(once, F.col("grand_total"))).alias("_monetary"),
         F.count(times).alias("_matched"),
         F.sum(F.when(F.col("order_id").isNotNull(), times).otherwise(0)).alias("_n"),
         F.sum(F.col("grand_total") * times).alias("_value"),
-        F.countDistinct("_brand").alias("brands_purchased"),
         F.sum(F.col("rating") * times).alias("_rating_sum"),
         F.sum(F.when(F.col("rating").isNotNull(), times).otherwise(0)).alias("_rating_n"),
         F.sum(F.when(F.col("discount_percent") > 0, times).otherwise(0)).alias("_disc_n"),
-        F.sum(F.col("discount_amount") * times).alias("_disc_amt"),
-    ))
+        F.sum(F.col("discount_amount") * times).alias("_disc_amt"), *brands)
+    if words:
+        bits = [F.coalesce(F.bit_count(f"_word{w}"), F.lit(0)) for w in range(words)]
+        grouped = grouped.withColumn("brands_purchased", reduce(lambda a, b: a + b, bits).cast("bigint")).drop(
+            *[f"_word{w}" for w in range(words)])
+    per_c, n = cut_lineage_counted(grouped)
     if rfm is None:
         rfm = rfm_scores(per_c, n)
     per_c = per_c.filter(F.col("_matched") > 0).drop("_last", "frequency", "_monetary", "_matched")
@@ -218,11 +248,13 @@ def customer_360(delivered: DataFrame, customers: DataFrame, products: DataFrame
 
 
 # --------------------------------------------------------------------- T5
-def daily_sales_moving_avg(delivered: DataFrame) -> DataFrame:
+def daily_sales_moving_avg(delivered: DataFrame, calendar: bool = False) -> DataFrame:
     """Daily revenue and orders with 7- and 30-row moving averages.
 
     Frames count rows (days that have sales), not calendar days, and the
-    first rows use the shorter frame they have.
+    first rows use the shorter frame they have. With ``calendar`` every day from the
+    first sale to the last has a row (without sales: 0 orders, no average value)
+    and the frames are the last 7 and 30 calendar days.
     """
     daily = delivered.groupBy("order_date").agg(
         F.sum("grand_total").alias("_rev"),
@@ -231,8 +263,18 @@ def daily_sales_moving_avg(delivered: DataFrame) -> DataFrame:
     )
     # One row per calendar day: a single ordered partition is bounded by the
     # date range (about 366 rows per year of data), whatever the data volume.
-    w7 = Window.orderBy("order_date").rowsBetween(-6, 0)
-    w30 = Window.orderBy("order_date").rowsBetween(-29, 0)
+    if calendar:
+        daily = cut_lineage(daily)  # the spine and the sales read the same few rows
+        spine = daily.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).where("lo IS NOT NULL").select(
+            F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("order_date"))
+        daily = spine.join(daily, "order_date", "left").withColumns({
+            "_rev": F.coalesce("_rev", F.lit(0).cast(daily.schema["_rev"].dataType)),
+            "daily_orders": F.coalesce("daily_orders", F.lit(0).cast("bigint"))})
+        days = Window.orderBy(F.unix_date("order_date"))
+        w7, w30 = days.rangeBetween(-6, 0), days.rangeBetween(-29, 0)
+    else:
+        w7 = Window.orderBy("order_date").rowsBetween(-6, 0)
+        w30 = Window.orderBy("order_date").rowsBetween(-29, 0)
     return daily.select(
         "order_date",
         _money("_rev").alias("daily_revenue"),
@@ -272,35 +314,43 @@ def sorted_cohorts(cohorts: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- T7
-def statistical_profile(delivered: DataFrame,
-                        quantile_accuracy: int = DEFAULT_QUANTILE_ACCURACY) -> DataFrame:
-    """Order-value distribution by category x region.
+def statistical_profile(delivered: DataFrame, materialised: bool = False) -> DataFrame:
+    """Order-value distribution by category x region, with exact quantiles.
 
-    Quantiles use ``percentile_approx`` (bounded memory per group: the sketch
-    size depends on ``quantile_accuracy``, not on the group's row count).
+    The quantiles are selected by counting (``operators.selection``): memory per
+    group depends neither on its rows nor on its distinct values. That reads the
+    few columns of the report several times, so they are written once,
+    unless ``delivered`` is ``materialised`` already.
     """
-    gt = F.col("grand_total")
-    g = delivered.groupBy("category", "region").agg(
-        F.count("order_id").alias("order_count"),
+    keys, gt = ["category", "region"], F.col("grand_total")
+    rows = delivered.select(*keys, F.col("order_id").isNotNull().alias("_ordered"), "grand_total", "rating", "is_prime_member")
+    if not materialised:
+        rows, _ = write_table(rows, "profile-values")
+    g, _ = write_table(rows.groupBy(*keys).agg(
+        count_when(F.col("_ordered")).alias("order_count"),
+        F.count(gt).alias("_n"),
         F.sum(gt).alias("_rev"),
         mean_of(gt).alias("mean_order_value"),
         stddev_exact(gt).alias("stddev_order_value"),
         F.min(gt).alias("_min"),
-        F.percentile_approx(gt, list(QUANTILES), quantile_accuracy).alias("_q"),
         F.max(gt).alias("_max"),
         mean_of("rating").alias("avg_rating"),
         count_when(F.col("is_prime_member") == True).alias("prime_orders"),  # noqa: E712
         count_when(F.col("is_prime_member") == False).alias("non_prime_orders"),  # noqa: E712
-    )
+    ), "profile-groups")
+    q = group_quantiles(rows, g.select(*keys, F.col("_n").alias("n"), F.col("_min").alias("lo"), F.col("_max").alias("hi")),
+                        keys, "grand_total", list(QUANTILES))
+    q = q.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "q0", "q1", "q2")
+    g = g.join(q, F.col("category").eqNullSafe(F.col("_k0")) & F.col("region").eqNullSafe(F.col("_k1")), "left")
     mean, sd = F.col("mean_order_value"), F.col("stddev_order_value")
     return g.select(
         "category", "region", "order_count",
         _money("_rev").alias("total_revenue"),
         "mean_order_value", "stddev_order_value",
         _money("_min").alias("min_order_value"),
-        F.col("_q")[0].cast("double").alias("q1_order_value"),
-        F.col("_q")[1].cast("double").alias("median_order_value"),
-        F.col("_q")[2].cast("double").alias("q3_order_value"),
+        _money("q0").alias("q1_order_value"),
+        _money("q1").alias("median_order_value"),
+        _money("q2").alias("q3_order_value"),
         _money("_max").alias("max_order_value"),
         "avg_rating", "prime_orders", "non_prime_orders",
         ratio_or_zero("prime_orders", "order_count", multiplier=100).alias("prime_order_pct"),

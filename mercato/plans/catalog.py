@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators import clean, diff, reports
-from mercato.plans import diff_job
+from mercato.operators import clean, diff, digests, reports
+from mercato.plans import diff_job, report_job
 from mercato.plans import oracle_sql as osql
 from mercato.sources import snapshots, testdata
 
@@ -50,6 +50,22 @@ def daily_sales_moving_avg(spark, sf_dir):
     return reports.daily_sales_moving_avg(_delivered(spark, sf_dir))
 
 
+def daily_sales_calendar(spark, sf_dir):
+    return reports.daily_sales_moving_avg(_delivered(spark, sf_dir), calendar=True)
+
+
+def rejected_orders(spark, sf_dir):
+    rejected = clean.rejected_orders(testdata.defective_orders(spark, sf_dir))
+    return rejected.select("order_id", F.array_join("_reasons", "; ").alias("reasons"))
+
+
+def input_counts(spark, sf_dir):
+    """The job's counts, from the same single pass that writes its working set."""
+    _, _, seen, _ = report_job.working_set(testdata.defective_orders(spark, sf_dir))
+    counts = report_job.input_counts(seen, testdata.customers(spark, sf_dir), testdata.products(spark, sf_dir))
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
 def cohort_retention(spark, sf_dir):
     return reports.cohort_retention(_delivered(spark, sf_dir))
 
@@ -79,6 +95,11 @@ def diff_result(spark, sf_dir):
     return _orders_comparison(spark, sf_dir).result
 
 
+def diff_by_digests(spark, sf_dir):
+    control, target = testdata.orders_few_changes(spark, sf_dir)
+    return digests.compare_by_digests(control, target, "o_orderkey", "orders", tolerance=TOL, run_timestamp=RUN_TS).result
+
+
 def diff_rounded(spark, sf_dir):
     return _orders_comparison(spark, sf_dir, precision=osql.ROUND_PRECISION).result
 
@@ -106,12 +127,15 @@ def diff_multi_table(spark, sf_dir):
 
 
 def diff_summary(spark, sf_dir):
-    return diff_job.run_summary(diff_multi_table(spark, sf_dir), TOL, run_timestamp=RUN_TS)
+    summary = diff_job.run_summary(diff_multi_table(spark, sf_dir), TOL, run_timestamp=RUN_TS)
+    # the nested records as JSON text, which both engines compare by value
+    return summary.withColumn("results", F.to_json("results", {"ignoreNullFields": "false"}))
 
 
 def diff_directories(spark, sf_dir):
     tables = [f"{t}.parquet" for t in osql.DIRECTORY_TABLES]
-    comps = diff_job.compare_directories(spark, tables, sf_dir, sf_dir, "parquet", tolerance=TOL,
+    target = testdata.directory_target(spark, sf_dir, osql.DIRECTORY_TABLES)
+    comps = diff_job.compare_directories(spark, tables, sf_dir, target, "parquet", tolerance=TOL,
                                          run_timestamp=RUN_TS)
     return diff_job.results_frame(comps)
 
@@ -146,12 +170,16 @@ QUERIES = {
     "rfm_analysis": rfm_analysis,
     "customer_360": customer_360,
     "daily_sales_moving_avg": daily_sales_moving_avg,
+    "daily_sales_calendar": daily_sales_calendar,
+    "rejected_orders": rejected_orders,
+    "input_counts": input_counts,
     "cohort_retention": cohort_retention,
     "statistical_profile": statistical_profile,
     "diff_missing": diff_missing,
     "diff_new": diff_new,
     "diff_multiplicity": diff_multiplicity,
     "diff_result": diff_result,
+    "diff_by_digests": diff_by_digests,
     "diff_rounded": diff_rounded,
     "diff_stringified": diff_stringified,
     "diff_multi_table": diff_multi_table,

@@ -19,6 +19,8 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators.diff import Comparison, compare_tables, sample_rows
 from mercato.schemas import DIFF_RESULT_SCHEMA
+from mercato.session import publish, written_tables
 from mercato.sources.files import read_catalog_table, read_table_pair
 from mercato.sources.snapshots import VersionedTable, compare_snapshots, parse_qualified
 
@@ -61,13 +64,38 @@ def _guarded(spark: SparkSession, name: str, keep_going: bool, ts: str, toleranc
         return FailedComparison(spark, name, f"{type(e).__name__}: {e}", tolerance, ts)
 
 
+def _each(spark: SparkSession, tasks: list, threads: int) -> list:
+    """Results of the tasks, in order; up to ``threads`` run at once, each in a scheduler pool of its own,
+    so that with fair scheduling a small table does not wait for a large one."""
+    if threads <= 1 or len(tasks) <= 1:
+        return [task() for task in tasks]
+
+    def pooled(number: int):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"compare-{number % threads}")
+        try:
+            return tasks[number]()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(min(threads, len(tasks))) as pool:
+        return list(pool.map(pooled, range(len(tasks))))
+
+
+def _compare_all(spark: SparkSession, named: list, run: bool, threads: int, keep_going: bool, ts: str, tolerance: float) -> list:
+    """The comparisons of (name, build) pairs; with ``run`` each one's aggregation runs here too, many at a time."""
+    def task(name, build):
+        return lambda: _guarded(spark, name, keep_going, ts, tolerance, lambda: build().differences_only() if run else build())
+    return _each(spark, [task(name, build) for name, build in named], threads)
+
+
 def compare_directories(spark: SparkSession, tables: list[str], control_root: str, target_root: str,
                         fmt: str = "parquet", csv_options: dict | None = None,
-                        run_timestamp: str | None = None, keep_going: bool = False,
+                        run_timestamp: str | None = None, keep_going: bool = False, run: bool = False, threads: int = 1,
                         **compare_kw) -> list[Comparison | FailedComparison]:
     """Directory mode (D3): ``{control_root}/{t}`` vs ``{target_root}/{t}`` for each table.
 
-    With ``keep_going`` a table that cannot be compared becomes a failed record.
+    With ``run`` the comparisons are carried out here, up to ``threads`` at a time. With
+    ``keep_going`` a table that cannot be compared becomes a failed record.
     """
     ts = run_timestamp or _now()
 
@@ -75,17 +103,19 @@ def compare_directories(spark: SparkSession, tables: list[str], control_root: st
         control, target = read_table_pair(spark, t, control_root, target_root, fmt, **(csv_options or {}))
         return compare_tables(control, target, t, run_timestamp=ts, **compare_kw)
 
-    tolerance = compare_kw.get("tolerance", 0.0)
-    return [_guarded(spark, t, keep_going, ts, tolerance, lambda t=t: one(t)) for t in tables]
+    return _compare_all(spark, [(t, lambda t=t: one(t)) for t in tables], run, threads, keep_going, ts,
+                        compare_kw.get("tolerance", 0.0))
 
 
 def compare_catalog_pairs(spark: SparkSession, pairs: list[tuple[str, str]],
                           versioned: dict[str, VersionedTable] | None = None,
                           run_timestamp: str | None = None, which_ancestor: str = "nearest",
-                          keep_going: bool = False, **compare_kw) -> list[Comparison | FailedComparison]:
+                          keep_going: bool = False, run: bool = False, threads: int = 1,
+                          **compare_kw) -> list[Comparison | FailedComparison]:
     """Catalog mode (D2): each (control, target) name pair; ``table@snapshot`` names
     are looked up in ``versioned`` and compared through their changelogs, or else read by
-    the catalog's ``snapshot-id`` option and compared in full."""
+    the catalog's ``snapshot-id`` option and compared in full. ``run``, ``threads`` and
+    ``keep_going`` as in ``compare_directories``."""
     ts = run_timestamp or _now()
 
     def one(ctrl_name: str, target_name: str) -> Comparison:
@@ -104,8 +134,8 @@ def compare_catalog_pairs(spark: SparkSession, pairs: list[tuple[str, str]],
         return compare_tables(read_catalog_table(spark, ctrl_name), read_catalog_table(spark, target_name),
                               ctrl_name, run_timestamp=ts, **compare_kw)
 
-    tolerance = compare_kw.get("tolerance", 0.0)
-    return [_guarded(spark, c, keep_going, ts, tolerance, lambda c=c, t=t: one(c, t)) for c, t in pairs]
+    return _compare_all(spark, [(c, lambda c=c, t=t: one(c, t)) for c, t in pairs], run, threads, keep_going, ts,
+                        compare_kw.get("tolerance", 0.0))
 
 
 def results_frame(comparisons: list[Comparison]) -> DataFrame:
@@ -113,31 +143,23 @@ def results_frame(comparisons: list[Comparison]) -> DataFrame:
     return reduce(DataFrame.unionByName, [c.result for c in comparisons])
 
 
-def _summary_columns(tolerance: float, control_root: str | None = None,
-                     target_root: str | None = None, run_timestamp: str | None = None) -> list:
+def _summary_columns(tolerance: float, control_root: str | None = None, run_timestamp: str | None = None) -> list:
     return [
         F.lit(run_timestamp or _now()).alias("comparison_timestamp"),
         F.count(F.lit(1)).alias("total_tables"),
         F.count_if(F.col("passed")).cast("bigint").alias("passed_tables"),
         F.count_if(~F.col("passed")).cast("bigint").alias("failed_tables"),
         F.lit(control_root or "N/A").alias("control_root"),
-        F.lit(target_root or "N/A").alias("target_root"),
         F.lit(float(tolerance)).alias("tolerance"),
     ]
 
 
 def run_summary(results: DataFrame, tolerance: float, control_root: str | None = None,
-                target_root: str | None = None, run_timestamp: str | None = None) -> DataFrame:
-    """D4 as one row: totals of passed / failed tables of one run."""
-    return results.agg(*_summary_columns(tolerance, control_root, target_root, run_timestamp))
-
-
-def summary_document(results: DataFrame, tolerance: float, control_root: str | None = None,
-                     target_root: str | None = None, run_timestamp: str | None = None) -> DataFrame:
-    """The summary with the nested ``results`` array (one struct per compared table;
-    the run's table list is user-given, so the array is bounded by it)."""
-    return results.agg(*_summary_columns(tolerance, control_root, target_root, run_timestamp),
-                       F.collect_list(F.struct(*results.columns)).alias("results"))
+                run_timestamp: str | None = None) -> DataFrame:
+    """D4 as one row: totals of passed / failed tables of one run and the nested ``results`` array (one
+    struct per compared table, by name; the run's table list is user-given, so the array is bounded by it)."""
+    return results.agg(*_summary_columns(tolerance, control_root, run_timestamp),
+                       F.sort_array(F.collect_list(F.struct(*results.columns))).alias("results"))
 
 
 def write_differences(comparison: Comparison, output_path: str) -> dict:
@@ -148,7 +170,7 @@ def write_differences(comparison: Comparison, output_path: str) -> dict:
     does not stop the run.
     """
     stamp = dt.datetime.now().strftime("%Y%m%d_%H%M%S")
-    base = f"{output_path.rstrip('/')}/{comparison.table_name}_{stamp}"
+    root, name = output_path.rstrip("/"), comparison.table_name
     rec = comparison.result.first()
     written = {}
     for kind, df, n in (("missing_rows", comparison.missing, rec.missing_rows_count),
@@ -156,10 +178,11 @@ def write_differences(comparison: Comparison, output_path: str) -> dict:
         if not n:
             continue
         atomic = _atomic(df)
-        path = f"{base}_{kind}.{'csv' if atomic else 'parquet'}"
+        path = f"{root}/{name}_{stamp}_{kind}.{'csv' if atomic else 'parquet'}"
+        staged = f"{root}/_staging-{uuid.uuid4().hex}"
         try:
-            writer = df.write.mode("overwrite")
-            (writer.option("header", "true").csv(path) if atomic else writer.parquet(path))
+            (df.write.option("header", "true").csv(staged) if atomic else df.write.parquet(staged))
+            publish(df.sparkSession, {path: staged})
             written[kind] = path
         except Exception as e:  # noqa: BLE001 - reported, the run goes on
             written[kind] = f"error: {e}"
@@ -174,8 +197,10 @@ def _atomic(df: DataFrame) -> bool:
 def write_summary(summary_doc: DataFrame, output_path: str) -> str:
     """K3: the run summary as JSON (one small record -> one file)."""
     stamp = dt.datetime.now().strftime("%Y%m%d_%H%M%S")
-    path = f"{output_path.rstrip('/')}/comparison_summary_{stamp}.json"
-    summary_doc.coalesce(1).write.mode("overwrite").json(path)
+    root = output_path.rstrip("/")
+    path, staged = f"{root}/comparison_summary_{stamp}.json", f"{root}/_staging-{uuid.uuid4().hex}"
+    summary_doc.coalesce(1).write.json(staged)
+    publish(summary_doc.sparkSession, {path: staged})
     return path
 
 
@@ -194,6 +219,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--csv-infer-schema", choices=["true", "false"], default="true")
     p.add_argument("--csv-delimiter", default=",")
     p.add_argument("--output-path")
+    p.add_argument("--parallel-tables", type=int, default=8)
     return p
 
 
@@ -216,22 +242,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None,
     p = _parser()
     args = p.parse_args(argv)
     validate_args(p, args)
-    spark = spark or get_session(app_name="mercato-diff")
+    spark = spark or get_session(app_name="mercato-diff", extra={"spark.scheduler.mode": "FAIR"})
+    with written_tables(spark):
+        return _run(spark, args, versioned)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace, versioned: dict[str, VersionedTable] | None) -> int:
     ts = _now()
-    kw = dict(precision=args.compare_precision, tolerance=args.row_diff_tolerance, mode=args.mode)
+    # One aggregation per table, several tables at once: the differing rows are written (with the
+    # record's counts observed in the same job); record, samples and output files then read that small copy.
+    kw = dict(precision=args.compare_precision, tolerance=args.row_diff_tolerance, mode=args.mode, run_timestamp=ts,
+              keep_going=True, run=True, threads=args.parallel_tables)
     if args.control_root is not None:
         csv = dict(csv_header=args.csv_header == "true", csv_infer_schema=args.csv_infer_schema == "true",
                    csv_delimiter=args.csv_delimiter)
-        comps = compare_directories(spark, args.tables, args.control_root, args.target_root, args.format,
-                                    csv, run_timestamp=ts, keep_going=True, **kw)
+        comps = compare_directories(spark, args.tables, args.control_root, args.target_root, args.format, csv, **kw)
     else:
-        comps = compare_catalog_pairs(spark, list(zip(args.control_tables, args.target_tables)),
-                                      versioned, run_timestamp=ts, keep_going=True, **kw)
-    # One aggregation per table: the differing rows are written once (with the
-    # record's counts observed in the same job); record, samples and output
-    # files then read that small copy.
-    comps = [c if isinstance(c, FailedComparison) else
-             _guarded(spark, c.table_name, True, ts, args.row_diff_tolerance, c.differences_only) for c in comps]
+        comps = compare_catalog_pairs(spark, list(zip(args.control_tables, args.target_tables)), versioned, **kw)
     results = results_frame(comps).cache()  # a handful of rows, read by summary and writes
     for row in results.collect():
         print(f"{row.table_name}: control={row.control_count} target={row.target_count} "
@@ -253,8 +280,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None,
             for kind, path in write_differences(c, args.output_path).items():
                 unwritten += path.startswith("error: ")
                 print(f"{c.table_name} {kind}: {path}", file=sys.stderr)
-        doc = summary_document(results, tolerance=args.row_diff_tolerance, control_root=args.control_root,
-                               target_root=args.target_root, run_timestamp=ts)
+        doc = run_summary(results, tolerance=args.row_diff_tolerance, control_root=args.control_root, run_timestamp=ts)
         print(f"summary: {write_summary(doc, args.output_path)}", file=sys.stderr)
     return 1 if failed or unwritten else 0
 

@@ -205,6 +205,62 @@ daily AS (
   FROM delivered GROUP BY order_date
 )""")
 
+# Every day of the calendar, frames of days: a day without sales counts with 0.
+DAILY_SALES_CALENDAR = with_fact(f"""
+SELECT order_date, CAST(rev AS DOUBLE) AS daily_revenue, daily_orders, avg_order_value,
+       {rr('SUM(rev) OVER w7', 'COUNT(rev) OVER w7', num_scale=2)} AS revenue_7day_ma,
+       {rr('SUM(rev) OVER w30', 'COUNT(rev) OVER w30', num_scale=2)} AS revenue_30day_ma,
+       {rr('SUM(daily_orders) OVER w7', 'COUNT(daily_orders) OVER w7')} AS orders_7day_ma,
+       CAST(month(order_date) AS INTEGER) AS month,
+       CAST(year(order_date) AS INTEGER) AS year,
+       CAST(dayofweek(order_date) + 1 AS INTEGER) AS day_of_week
+FROM daily
+WINDOW w7 AS (ORDER BY order_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW),
+       w30 AS (ORDER BY order_date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)""", """
+sales AS (
+  SELECT order_date, SUM(grand_total) AS rev, COUNT(order_id) AS daily_orders,
+         CAST(SUM(grand_total) AS DOUBLE) / COUNT(grand_total) AS avg_order_value
+  FROM delivered GROUP BY order_date
+),
+days AS (SELECT CAST(unnest(generate_series(MIN(order_date), MAX(order_date), INTERVAL 1 DAY)) AS DATE) AS order_date FROM sales),
+daily AS (
+  SELECT days.order_date, coalesce(rev, 0) AS rev, coalesce(daily_orders, 0) AS daily_orders, avg_order_value
+  FROM days LEFT JOIN sales ON days.order_date = sales.order_date
+)""")
+
+_DEFECTS = """
+broken AS (
+  SELECT order_id, order_status, product_id,
+         CASE WHEN k % 29 <> 1 THEN order_date END AS order_date, CASE WHEN k % 29 = 1 THEN '2024-13-45' END AS bad_date,
+         CASE WHEN k % 31 <> 2 THEN customer_id END AS customer_id,
+         CASE WHEN k % 37 = 3 THEN 0 ELSE quantity END AS quantity,
+         CASE WHEN k % 43 = 5 THEN 'NaN'::DOUBLE WHEN k % 41 = 4 THEN -CAST(grand_total AS DOUBLE) - 1
+              ELSE CAST(grand_total AS DOUBLE) END AS grand_total
+  FROM (SELECT *, CAST(split_part(order_id, '-', 1) AS BIGINT) AS k FROM fact) f
+),
+judged AS (
+  SELECT order_id, order_status, list_filter([
+           CASE WHEN order_id IS NULL THEN 'missing order_id' END,
+           CASE WHEN customer_id IS NULL THEN 'missing customer_id' END,
+           CASE WHEN product_id IS NULL THEN 'missing product_id' END,
+           CASE WHEN order_date IS NULL THEN CASE WHEN bad_date IS NULL THEN 'missing order_date' ELSE 'unreadable order_date' END END,
+           CASE WHEN grand_total IS NULL THEN 'missing grand_total' END,
+           CASE WHEN quantity IS NULL THEN 'missing quantity' END,
+           CASE WHEN isnan(grand_total) THEN 'not a number grand_total' END,
+           CASE WHEN NOT isnan(grand_total) AND grand_total < 0 THEN 'negative grand_total' END,
+           CASE WHEN quantity <= 0 THEN 'not positive quantity' END], lambda r: r IS NOT NULL) AS reasons
+  FROM broken
+)"""
+
+REJECTED_ORDERS = with_fact(
+    "SELECT order_id, array_to_string(reasons, '; ') AS reasons FROM judged WHERE len(reasons) > 0", _DEFECTS)
+
+INPUT_COUNTS = with_fact("""
+SELECT COUNT(*) AS orders, COUNT(*) FILTER (WHERE len(reasons) = 0 AND order_status = 'Delivered') AS delivered,
+       COUNT(*) FILTER (WHERE len(reasons) > 0) AS rejected,
+       (SELECT COUNT(*) FROM customers_dim) AS customers, (SELECT COUNT(*) FROM products_dim) AS products
+FROM judged""", _DEFECTS, dims=True)
+
 _MONTHS_BETWEEN = ("((year(order_date) - year(first_date)) * 12 + (month(order_date) - month(first_date))"
                    " + CASE WHEN day(order_date) = day(first_date)"
                    " OR (order_date = last_day(order_date) AND first_date = last_day(first_date)) THEN 0"
@@ -256,6 +312,9 @@ REPORT_SQL = {
     "rfm_analysis": RFM_ANALYSIS,
     "customer_360": CUSTOMER_360,
     "daily_sales_moving_avg": DAILY_SALES,
+    "daily_sales_calendar": DAILY_SALES_CALENDAR,
+    "rejected_orders": REJECTED_ORDERS,
+    "input_counts": INPUT_COUNTS,
     "cohort_retention": COHORT_RETENTION,
     "statistical_profile": STATISTICAL_PROFILE,
 }
@@ -341,6 +400,16 @@ DIFF_MULTIPLICITY = _with(
 
 DIFF_RESULT = _with(ORDERS_PAIR, diff_record("orders", "", DIFF_TOLERANCE)) + "SELECT * FROM rec"
 
+DIFF_BY_DIGESTS = _with("""
+control AS (SELECT * FROM orders),
+kept AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+         CASE WHEN o_orderkey % 1999 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderkey % 4001 <> 5
+),
+target AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE o_orderkey % 6007 = 11)""",
+                        diff_record("orders", "", DIFF_TOLERANCE)) + "SELECT * FROM rec"
+
 DIFF_ROUNDED = _with(
     ORDERS_PAIR,
     f"rc AS ({_rounded('control', ORDERS_COLS, {'o_totalprice'}, ROUND_PRECISION)})",
@@ -368,13 +437,17 @@ DIFF_MULTI_TABLE = _with(*_MULTI_CTES) + "SELECT * FROM o_rec UNION ALL SELECT *
 DIFF_SUMMARY = _with(*_MULTI_CTES, "res AS (SELECT * FROM o_rec UNION ALL SELECT * FROM c_rec)") + f"""
 SELECT '{RUN_TS}' AS comparison_timestamp, COUNT(*) AS total_tables,
        CAST(count_if(passed) AS BIGINT) AS passed_tables, CAST(count_if(NOT passed) AS BIGINT) AS failed_tables,
-       'N/A' AS control_root, 'N/A' AS target_root, CAST({DIFF_TOLERANCE!r} AS DOUBLE) AS tolerance
+       'N/A' AS control_root, CAST({DIFF_TOLERANCE!r} AS DOUBLE) AS tolerance,
+       CAST(to_json(list(res ORDER BY table_name)) AS VARCHAR) AS results
 FROM res"""
 
-# Directory mode (D3) over the driver's tables, control root = target root.
+# Directory mode (D3) over the driver's tables; the target folder is made from them (sources.testdata.directory_target).
 DIRECTORY_TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem")
+_FIRST_COLUMNS = ("r_regionkey", "n_nationkey", "s_suppkey", "c_custkey", "p_partkey", "o_orderkey", "l_orderkey")
 DIFF_DIRECTORIES = _with(*[
-    diff_record(f"{t}.parquet", "", DIFF_TOLERANCE, t, t, prefix=f"{t}_") for t in DIRECTORY_TABLES
+    f"{t}_target AS (SELECT * FROM {t} WHERE {k} % 89 <> 3 UNION ALL SELECT * FROM {t} WHERE {k} % 89 <> 3 AND {k} % 97 = 1),"
+    + diff_record(f"{t}.parquet", "", DIFF_TOLERANCE, t, f"{t}_target", prefix=f"{t}_")
+    for t, k in zip(DIRECTORY_TABLES, _FIRST_COLUMNS)
 ]) + " UNION ALL ".join(f"SELECT * FROM {t}_rec" for t in DIRECTORY_TABLES)
 
 # ------------------------------------------------------------- snapshots
@@ -431,6 +504,7 @@ DIFF_SQL = {
     "diff_new": DIFF_NEW,
     "diff_multiplicity": DIFF_MULTIPLICITY,
     "diff_result": DIFF_RESULT,
+    "diff_by_digests": DIFF_BY_DIGESTS,
     "diff_rounded": DIFF_ROUNDED,
     "diff_stringified": DIFF_STRINGIFIED,
     "diff_multi_table": DIFF_MULTI_TABLE,

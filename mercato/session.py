@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,6 +90,17 @@ def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return written, int(obs.get["rows"])
 
 
+_open: list[list[str]] = []  # folders written inside the open written_tables() blocks
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new folder for an intermediate table, under ``{spark.checkpoint.dir}/tables/``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    for block in _open:
+        block.append(path)
+    return path
+
+
 def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as parquet under ``{spark.checkpoint.dir}/tables/`` and read it back.
 
@@ -95,15 +108,47 @@ def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     compressed, so each reader scans only its columns (with filter pushdown),
     and the copy survives executor loss. Returns (table, path).
     """
-    import uuid
-
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    path = table_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path), path
 
 
+@contextmanager
+def written_tables(spark: SparkSession):
+    """Remove the intermediate tables written inside the block when it ends; results must be out by then."""
+    _open.append(block := [])
+    try:
+        yield block
+    finally:
+        _open.remove(block)
+        for path in block:
+            drop_table_files(spark, path)
+
+
 def drop_table_files(spark: SparkSession, path: str) -> None:
     """Remove a folder written by ``write_table`` (through the Hadoop file system of the path)."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def publish(spark: SparkSession, staged: dict[str, str]) -> None:
+    """Move each written folder ``staged[final]`` to its ``final`` path, replacing what is there.
+
+    Called when everything is written: a job that stops before leaves the old outputs as they were. The
+    old folder is set aside first and deleted only when the new one is in place.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    for final, path in staged.items():
+        new, target, aside = hadoop(path), hadoop(final), hadoop(f"{path}-replaced")
+        fs = target.getFileSystem(conf)
+        fs.mkdirs(target.getParent())
+        had = fs.exists(target)
+        if had and not fs.rename(target, aside):
+            raise OSError(f"cannot replace {final}")
+        if not fs.rename(new, target):
+            if had:
+                fs.rename(aside, target)
+            raise OSError(f"cannot move {path} to {final}")
+        if had:
+            fs.delete(aside, True)

@@ -3,8 +3,9 @@ format-generic, catalog and directory readers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.functions import parse_date
 from mercato.schemas import CUSTOMERS_SCHEMA, ORDERS_SCHEMA, PRODUCTS_SCHEMA
@@ -12,15 +13,29 @@ from mercato.schemas import CUSTOMERS_SCHEMA, ORDERS_SCHEMA, PRODUCTS_SCHEMA
 DEFAULT_FILE_NAMES = {"orders": "orders.csv", "customers": "customers.csv", "products": "products.csv"}
 
 
-def _typed_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+CORRUPT = "_corrupt_record"  # the text of a line with a field that is not of its type
+
+
+def _typed_csv(spark: SparkSession, path: str, schema, keep_corrupt: bool = False) -> DataFrame:
     # Fixed schema, header row, no inference: one pass over the files.
     # PERMISSIVE mode turns a malformed field into NULL; validation drops it later.
-    return spark.read.option("header", "true").option("mode", "PERMISSIVE").schema(schema).csv(path)
+    reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.schema(schema).csv(path)
 
 
-def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Orders fact with ``order_date`` parsed to a date (bad text -> NULL)."""
-    return _typed_csv(spark, path, ORDERS_SCHEMA).withColumn("order_date", parse_date("order_date"))
+def read_orders_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+    """Orders fact with ``order_date`` parsed to a date (bad text -> NULL).
+
+    With ``keep_corrupt`` the texts of the date and of malformed lines stay in
+    ``order_date_text`` and ``_corrupt_record``, for ``operators.clean.rejections``.
+    """
+    orders = _typed_csv(spark, path, ORDERS_SCHEMA, keep_corrupt)
+    if keep_corrupt:
+        orders = orders.withColumn("order_date_text", F.col("order_date"))
+    return orders.withColumn("order_date", parse_date("order_date"))
 
 
 def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -31,12 +46,12 @@ def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
     return _typed_csv(spark, path, PRODUCTS_SCHEMA)
 
 
-def read_report_inputs(spark: SparkSession, input_path: str,
-                       file_names: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def read_report_inputs(spark: SparkSession, input_path: str, file_names: dict[str, str] | None = None,
+                       keep_corrupt: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three report inputs under one folder: (orders, customers, products)."""
     names = {**DEFAULT_FILE_NAMES, **(file_names or {})}
     root = input_path.rstrip("/")
-    return (read_orders_csv(spark, f"{root}/{names['orders']}"),
+    return (read_orders_csv(spark, f"{root}/{names['orders']}", keep_corrupt),
             read_customers_csv(spark, f"{root}/{names['customers']}"),
             read_products_csv(spark, f"{root}/{names['products']}"))
 
@@ -66,15 +81,17 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def with_money_as_decimal(df: DataFrame, columns=("total_amount", "discount_amount", "grand_total")) -> DataFrame:
+def with_money_as_decimal(df: DataFrame, columns=("total_amount", "discount_amount", "grand_total"),
+                          only: Column | None = None) -> DataFrame:
     """Cast money columns to ``decimal(18,2)`` so sums are exact.
 
-    ``grand_total`` is a validated amount: one that the type cannot hold raises.
-    The optional amounts become NULL then.
+    ``grand_total`` is a validated amount: one that the type cannot hold raises (with ``only``, in
+    the rows where that holds). The optional amounts become NULL then.
     """
     money = "decimal(18,2)"
     amount = F.col("grand_total")
-    fits = F.when(amount.isNotNull() & amount.try_cast(money).isNull(),
+    checked = F.lit(True) if only is None else only
+    fits = F.when(checked & amount.isNotNull() & amount.try_cast(money).isNull(),
                   F.raise_error(F.concat(F.lit("grand_total does not fit decimal(18,2): "), amount.cast("string"))))
     strict = fits.otherwise(amount.try_cast(money)).cast(money)
     present = [c for c in columns if c in df.columns]

@@ -22,7 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators.diff import Comparison, bag_changes, compare_tables
+from mercato.operators.diff import (B_N, C_N, T_N, Comparison, bag_changes, changes, check_schemas, compare_changelogs,
+                                    compare_tables, groupable, stringify, three_way_counts)
 
 # Change-tracking columns dropped before a diff (they differ between two
 # histories even when the end states agree). ``_change_type`` is kept.
@@ -50,12 +51,17 @@ def from_snapshot_paths(spark: SparkSession, name: str, lineage_with_paths: Data
                         fmt: str = "parquet") -> VersionedTable:
     """A versioned table whose snapshots are folders: lineage has a ``path`` column.
 
-    The (small) snapshot -> path map is read once when the table is opened.
+    Opening a snapshot reads the one lineage row that has its path.
     """
-    paths = {int(r.snapshot_id): r.path for r in
-             lineage_with_paths.select("snapshot_id", "path").collect()}
-    lineage = lineage_with_paths.select("table_name", "snapshot_id", "parent_id")
-    return VersionedTable(name, lineage, lambda s: spark.read.format(fmt).load(paths[s]))
+    own = lineage_with_paths.filter(F.col("table_name") == name)
+
+    def reader(snapshot_id: int) -> DataFrame:
+        row = own.filter(F.col("snapshot_id") == snapshot_id).select("path").first()
+        if row is None:
+            raise LookupError(f"{name} has no snapshot {snapshot_id}")
+        return spark.read.format(fmt).load(row.path)
+
+    return VersionedTable(name, lineage_with_paths.select("table_name", "snapshot_id", "parent_id"), reader)
 
 
 def from_catalog_table(spark: SparkSession, name: str, lineage: DataFrame) -> VersionedTable:
@@ -179,20 +185,48 @@ def parse_qualified(name: str) -> tuple[str, int | None]:
     return table, int(snap)
 
 
-def cdc_views(table: VersionedTable, control_snapshot: int, target_snapshot: int,
-              which: str = "nearest") -> tuple[DataFrame, DataFrame, int]:
-    """Both changelogs since the shared ancestor, cleaned: (control, target, ancestor_id).
+@dataclass
+class ThreeWay:
+    """Two snapshots and their shared ancestor, counted row by row in one aggregation."""
+
+    ancestor_id: int
+    counts: DataFrame
+
+    @property
+    def control_changes(self) -> DataFrame:
+        """The changelog from the ancestor to the control snapshot."""
+        return changes(self.counts, B_N, C_N)
 
-    Raises ``NoSharedAncestor`` when the snapshots share no ancestor.
+    @property
+    def target_changes(self) -> DataFrame:
+        """The changelog from the ancestor to the target snapshot."""
+        return changes(self.counts, B_N, T_N)
+
+
+def three_way(table: VersionedTable, control_snapshot: int, target_snapshot: int, which: str = "nearest") -> ThreeWay:
+    """Both snapshots and their shared ancestor in one tagged aggregation, without change-tracking columns.
+
+    It yields both changelogs and, without another shuffle, their diff. Raises
+    ``NoSharedAncestor`` when the snapshots share no ancestor, ``SchemaMismatch`` when
+    their schemas differ. Columns that cannot be grouped are compared as text.
     """
     row = common_ancestor(table.lineage, table.name, control_snapshot, target_snapshot, which).first()
     if row is None:
         raise NoSharedAncestor(
             f"no shared ancestor of {table.name}@{control_snapshot} and {table.name}@{target_snapshot}")
-    base = table.at(row.ancestor_id)
-    c = drop_tracking_columns(changelog(base, table.at(control_snapshot)))
-    t = drop_tracking_columns(changelog(base, table.at(target_snapshot)))
-    return c, t, int(row.ancestor_id)
+    versions = [drop_tracking_columns(table.at(s)) for s in (row.ancestor_id, control_snapshot, target_snapshot)]
+    for other in versions[1:]:
+        check_schemas(versions[0], other)
+    if not groupable(versions[0]):
+        versions = [stringify(v) for v in versions]
+    return ThreeWay(int(row.ancestor_id), three_way_counts(*versions))
+
+
+def cdc_views(table: VersionedTable, control_snapshot: int, target_snapshot: int,
+              which: str = "nearest") -> tuple[DataFrame, DataFrame, int]:
+    """Both changelogs since the shared ancestor, cleaned: (control, target, ancestor_id)."""
+    both = three_way(table, control_snapshot, target_snapshot, which)
+    return both.control_changes, both.target_changes, both.ancestor_id
 
 
 def compare_snapshots(table: VersionedTable, control_snapshot: int, target_snapshot: int,
@@ -200,13 +234,15 @@ def compare_snapshots(table: VersionedTable, control_snapshot: int, target_snaps
     """Compare two snapshots: through their changelogs since the shared ancestor,
     falling back to a full compare of both snapshots when that is not possible.
 
-    With bag counts, the changelog diff is empty exactly when the snapshots
-    are equal, and its total equals the snapshots' bag difference.
+    The changelogs are compared here and now, in one job that writes the rows that differ, so
+    that a read that fails while it runs (an expired file of the ancestor) leads to the full
+    compare too. With bag counts, the changelog diff is empty exactly when the
+    snapshots are equal, and its total equals the snapshots' bag difference.
     """
     if use_changelog:
         try:
-            c, t, _ = cdc_views(table, control_snapshot, target_snapshot, which)
-            return compare_tables(c, t, table.name, **compare_kw)
+            both = three_way(table, control_snapshot, target_snapshot, which)
+            return compare_changelogs(both.counts, table.name, **compare_kw).differences_only()
         except Exception as e:  # noqa: BLE001 - whatever stops the changelogs, the full compare still runs
             print(f"{table.name}: full compare instead of changelogs: {e}", file=sys.stderr)
     return compare_tables(table.at(control_snapshot), table.at(target_snapshot), table.name, **compare_kw)

@@ -178,6 +178,45 @@ def customer_diff_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return control, control.filter(F.col("c_custkey") % 89 != 0)
 
 
+# A target with few changes, for the diff that skips equal parts: price + 1 where o_orderkey is 7 modulo 1999,
+# dropped where it is 5 modulo 4001, twice where it is 11 modulo 6007 (together about 0.1 % of the rows).
+def orders_few_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    control = read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    kept = control.filter(k % 4001 != 5).withColumn(
+        "o_totalprice", F.when(k % 1999 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))).select(*control.columns)
+    return control, kept.unionByName(kept.filter(k % 6007 == 11))
+
+
+# The second folder of the directory diff, written by Spark: of every table, rows whose first column is 3 modulo
+# 89 are dropped and rows whose first column is 1 modulo 97 appear twice.
+def directory_target(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
+    from mercato.session import table_path
+
+    root = table_path(spark, "directory-target")
+    for name in tables:
+        table = read(spark, sf_dir, name)
+        k = F.col(table.columns[0])
+        kept = table.filter(k % 89 != 3)
+        kept.unionByName(kept.filter(k % 97 == 1)).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+# Fixed defects of the order fact for the rejection queries, by the order key: the date is text
+# that is no date (modulo 29 = 1), the customer is missing (31 = 2), the quantity is 0 (37 = 3), the total
+# is negative (41 = 4) or not a number (43 = 5). A row can have several.
+def defective_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.split_part(F.col("order_id"), F.lit("-"), F.lit(1)).cast("bigint")
+    total = F.col("grand_total").cast("double")
+    text = F.when(k % 29 == 1, F.lit("2024-13-45")).otherwise(F.col("order_date").cast("string"))
+    return fact(spark, sf_dir).withColumns({
+        "order_date_text": text,
+        "order_date": F.try_to_date(text),
+        "customer_id": F.when(k % 31 != 2, F.col("customer_id")),
+        "quantity": F.when(k % 37 == 3, F.lit(0)).otherwise(F.col("quantity")),
+        "grand_total": F.when(k % 43 == 5, F.lit(float("nan"))).when(k % 41 == 4, -total - 1).otherwise(total)})
+
+
 # ------------------------------------------------------------ orders history
 # A versioned "orders" table derived from the data: one snapshot per order
 # year y (snapshot id y, parent = previous year) holding the orders up to y,

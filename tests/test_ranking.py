@@ -60,10 +60,54 @@ def test_descending_text_dates_and_nan(spark, typed, rows_per_bucket, column):
 
 def test_tiles_by_cut_keys_equal_plain_windows(spark, typed, monkeypatch):
     from mercato.operators import ranking
-    monkeypatch.setattr(ranking, "CUT_RANGES", 16)  # so that the sample is a part of the rows
+    monkeypatch.setattr(ranking, "BOUNDS", 3)  # several rounds of narrowing
     specs = [RankSpec(f"{c}{k}{asc}", ((c, asc),), (), ("id",), k)
              for c, k in (("s", 5), ("d", 4), ("x", 7)) for asc in (True, False)]
-    _check(add_tiles(typed, specs, 3000), typed, specs)
+    for rows_per_task in (40, 250_000):
+        _check(add_tiles(typed, specs, 3000, rows_per_task=rows_per_task), typed, specs)
+
+
+def test_no_task_sorts_more_than_its_share(spark, monkeypatch):
+    from mercato.operators import ranking
+    from mercato.session import cut_lineage
+
+    df = cut_lineage(spark.range(1_000_000).select("id", (F.col("id") * 7919 % 1009).alias("v")))  # 1,009 values: many ties
+    specs = [RankSpec("up", (("v", True),), (), ("id",), 5), RankSpec("down", (("v", False),), (), ("id",), 4)]
+    brackets = ranking._bounded_brackets(df, specs, 1_000_000, 5_000, 17)
+    assert max(b.size for b in brackets) <= 5_000
+    assert sorted(r for b in brackets for r in b.ranks) == sorted([200_000, 400_000, 600_000, 800_000, 250_000, 500_000, 750_000])
+    key = lambda i: (i * 7919 % 1009, i)
+    ordered = sorted(range(1_000_000), key=key)
+    for b in brackets:  # the limits enclose the rows that they say
+        if b.spec is specs[0]:
+            low = ordered.index(b.low[1]) + 1 if b.low else 0
+            assert low == b.start and (b.high is None or ordered[b.start + b.size - 1] == b.high[1])
+
+
+def test_a_thousand_million_rows_are_narrowed_in_a_few_rounds(monkeypatch):
+    # simulated: the keys are 0 .. 10^9 - 1, their sample and their counts are worked out instead of read
+    import random
+
+    from mercato.operators import ranking
+    n, rounds, rng = 10 ** 9, [], random.Random(3)
+
+    def narrowed(df, brackets, seed):
+        out = []
+        for b in brackets:
+            first, last = (b.low[0] + 1 if b.low else 0), (b.high[0] if b.high else n - 1)
+            keys = sorted({(rng.randint(first, last),) for _ in range(ranking.BOUNDS * ranking.BOUND_SAMPLE)})
+            bounds = ranking._spread(keys, ranking.BOUNDS)
+            edges = [first - 1, *[k[0] for k in bounds], last]
+            out += b.split(bounds, {c: edges[c + 1] - edges[c] for c in range(len(bounds) + 1)})
+        rounds.append(len(out))
+        return out
+
+    monkeypatch.setattr(ranking, "_narrowed", narrowed)
+    spec = RankSpec("t", (("id", True),), (), (), 5)
+    done = ranking._bounded_brackets(None, [spec], n, 250_000, 1)
+    assert len(done) == 4 and max(b.size for b in done) <= 250_000 and len(rounds) <= 4
+    for b, rank in zip(sorted(done, key=lambda b: b.start), [n // 5 * t for t in range(1, 5)]):
+        assert b.ranks == [rank] and b.low[0] < rank - 1 <= b.high[0]
 
 
 def test_tiles_of_few_rows(spark):

@@ -154,3 +154,16 @@ def test_plan_shapes(spark, orders):
     daily = plan_text(reports.daily_sales_moving_avg(orders), "simple")
     # the single ordered window runs after the per-day aggregation
     assert daily.index("Window") < daily.index("HashAggregate")
+
+
+def test_calendar_averages_count_days_without_sales(spark):
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 12)]
+    rows = [(f"O{k}", d, Decimal("7.00") * (k + 1)) for k, d in enumerate(days)]
+    orders = spark.createDataFrame(rows, "order_id string, order_date date, grand_total decimal(18,2)")
+    got = {r.order_date: r for r in reports.daily_sales_moving_avg(orders, calendar=True).collect()}
+    assert len(got) == 12 and got[dt.date(2024, 1, 5)].daily_orders == 0 and got[dt.date(2024, 1, 5)].avg_order_value is None
+    assert got[dt.date(2024, 1, 7)].revenue_7day_ma == 3.0      # 21 over the 7 days of the month
+    assert got[dt.date(2024, 1, 12)].revenue_7day_ma == 3.0     # 21 on one of 7 days
+    assert got[dt.date(2024, 1, 12)].revenue_30day_ma == 3.5    # 42 over the 12 days there are
+    assert got[dt.date(2024, 1, 12)].orders_7day_ma == 0.14
+    assert reports.daily_sales_moving_avg(orders.limit(0), calendar=True).count() == 0

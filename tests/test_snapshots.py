@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from mercato.operators.diff import compare_changelogs, compare_tables
+from mercato.plans.inspect import count_exchanges
 from mercato.sources import snapshots as S
 
 
@@ -113,3 +115,46 @@ def test_catalog_pairs_with_snapshot_names(spark, fork):
     assert r.table_name == "t" and r.total_differences == direct.total_differences > 0
     with pytest.raises(ValueError):
         diff_job.compare_catalog_pairs(spark, [("t@3", "u@8")], versioned={"t": fork})
+
+
+def _both_changelogs(fork, c, t, **kw):
+    base = S.common_ancestor(fork.lineage, "t", c, t).first().ancestor_id
+    return compare_tables(S.changelog(fork.at(base), fork.at(c)), S.changelog(fork.at(base), fork.at(t)), "t", **kw)
+
+
+@pytest.mark.parametrize("kw", [{"mode": "set", "tolerance": 0.1}, {"mode": "bag"}, {"mode": "set", "precision": 0}, {"mode": "bag", "precision": 1}])
+def test_three_way_counts_compare_as_the_two_changelogs(spark, kw):
+    lin = _lineage(spark, [("t", 1, None), ("t", 2, 1), ("t", 3, 1)])
+    rows = spark.range(300).select((F.col("id") % 20).alias("k"), (F.col("id") % 7 / 3).alias("x"))  # many repeated rows
+    contents = {1: rows, 2: rows.filter("k <> 3").unionByName(rows.filter("k = 5")).withColumn("x", F.when(F.col("k") == 7, F.col("x") + 0.2).otherwise(F.col("x"))),
+                3: rows.filter("k <> 4").unionByName(rows.filter("k = 5").limit(3)).withColumn("x", F.when(F.col("k") == 7, F.col("x") + 0.21).otherwise(F.col("x")))}
+    table = S.VersionedTable("t", lin, lambda s: contents[s])
+    got = S.compare_snapshots(table, 2, 3, run_timestamp="now", **kw)
+    exp = _both_changelogs(table, 2, 3, run_timestamp="now", **kw)
+    assert got.result.first().asDict() == exp.result.first().asDict() and got.result.first().total_differences > 0
+    for a, b in ((got.missing, exp.missing), (got.new, exp.new), (got.changed, exp.changed)):
+        assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
+
+
+def test_three_way_is_one_shuffle(spark, fork):
+    both = S.three_way(fork, 3, 4)
+    assert count_exchanges(both.counts) == 1
+    assert count_exchanges(compare_changelogs(both.counts, "t").missing) == 1
+
+
+def test_a_read_that_fails_while_it_runs_leads_to_the_full_compare(spark, fork, capsys):
+    def reader(s):
+        df = fork.at(s)
+        return df.withColumn("v", F.when(F.col("id") < 0, F.col("v")).otherwise(F.raise_error(F.lit("expired file")).cast("long"))) if s == 2 else df
+
+    broken = S.VersionedTable("t", fork.lineage, reader)
+    got = S.compare_snapshots(broken, 3, 4, mode="bag").result.first()
+    full = S.compare_snapshots(fork, 3, 4, use_changelog=False, mode="bag").result.first()
+    assert got.total_differences == full.total_differences > 0 and got.control_count == fork.at(3).count()
+    assert "expired file" in capsys.readouterr().err
+
+
+def test_a_snapshot_without_a_folder_is_named(spark, scratch):
+    lin = spark.createDataFrame([("t", 1, None, scratch)], "table_name string, snapshot_id long, parent_id long, path string")
+    with pytest.raises(LookupError, match="no snapshot 7"):
+        S.from_snapshot_paths(spark, "t", lin).at(7)
