@@ -169,7 +169,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     The first drops items below e, rounds those above capacity - e up to a whole bin and keeps
     the rest (all e at once from running sums); the second rounds to multiples of 1/k.
     """
-    count = np.bincount(lengths, minlength=capacity + 1)[: capacity + 1].astype(np.int64)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1)[: capacity + 1].astype(np.int64), capacity)
+
+
+def bound_of_counts(count: np.ndarray, capacity: int) -> int:
+    """lower_bound from the number of items of each size."""
     size = np.arange(capacity + 1, dtype=np.int64)
     items, volume = np.cumsum(count), np.cumsum(count * size)
     cut = np.arange(0, capacity // 2 + 1)
@@ -239,7 +243,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_part: in
         placed = packed(open_items, salt)
         gap = placed.select("part", "bins", "bound").distinct().agg(
             F.coalesce(F.sum(F.col("bins") - F.col("bound")), F.lit(0))).first()[0]
-        label = placed.withColumn("sequence_id", F.concat_ws("-", F.lit("s"), F.lit(salt), "part", "bin"))
+        label = placed.withColumn("sequence_id", _sequence_id(salt, F.col("part"), F.col("bin")))
         if gap == 0 or salt == rounds or placed.select("part").distinct().count() < 2:
             settled.append(label)
             break
@@ -251,9 +255,25 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_part: in
     for more in settled[1:]:
         chosen = chosen.unionByName(more)
     full = pieces.where(F.col("length") >= capacity).select(
-        "uid", F.concat(F.lit("f-"), "uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    placed = chosen.select("uid", "sequence_id", "offset").unionByName(full)
-    return pieces.join(placed.withColumn("sequence_id", F.xxhash64("sequence_id")), "uid")
+        "uid", (F.col("uid") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return pieces.join(chosen.select("uid", "sequence_id", "offset").unionByName(full), "uid")
+
+
+def _sequence_id(salt: int, part: F.Column, bin_: F.Column) -> F.Column:
+    """An even number composed of the round, the part (34 bits) and the bin in it (24 bits); full pieces have odd ones."""
+    return ((F.lit(salt).cast("long") * (1 << 34) + part) * (1 << 24) + bin_) * 2
+
+
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(sequences, bound): the sequences of a packing, and how many any packing of its pieces needs by
+    the dual feasible functions. Only the number of pieces of each length comes to the driver."""
+    spark = packed.sparkSession
+    sizes = packed.groupBy("length").count().collect()  # at most capacity rows
+    lengths = np.zeros(capacity + 1, np.int64)
+    for row in sizes:
+        lengths[row["length"]] = row["count"]
+    used = packed.agg(F.count_distinct("sequence_id")).first()[0]
+    return spark.createDataFrame([(used, bound_of_counts(lengths, capacity))], "sequences long, bound long")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
@@ -264,12 +284,14 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
     The others are dealt by hash into parts of about pieces_per_part, each packed best-fit
     decreasing. A part whose bin count equals its dual-feasible-function bound is certified. The
     badly filled bins of the other parts are emptied, and their pieces are dealt anew among such
-    parts and packed again, up to rounds times, until no part has a gap. The parts have a fixed
+    parts and packed again, up to rounds times, until no part has a gap; certificate() tells how far the whole
+    packing is from its bound. The parts have a fixed
     size whatever the data; lengths alone decide, so no source or copy group can be hot.
 
     A null text is an empty document (one piece, the end id alone). Null and repeated doc_ids are
-    allowed: every row is packed on its own. Other columns are ignored. An empty table gives no
-    rows. Sequence ids are hashes of (round, part, bin).
+    allowed: every row is packed on its own. Texts of any length are cut into as many pieces as they
+    need. Other columns are ignored. An empty table gives no rows. Sequence ids are composed of
+    (round, part, bin).
     """
     pieces, _ = write_table(token_pieces(docs, path, capacity).withColumn(
         "uid", F.monotonically_increasing_id()), "pieces")  # written once, so the uids stay
