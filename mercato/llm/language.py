@@ -114,7 +114,8 @@ class CrossParser:
     """Phrases of a text over each language's automaton: every phrase is a longest match.
 
     The transitions of all automata lie in one hash table, those of the roots in a dense one. At a
-    step without a transition one phrase ends, two if the symbol does not occur in the language.
+    step without a transition the open phrase ends; a symbol that does not occur in the language is a
+    phrase of its own.
     """
 
     def __init__(self, model: dict):
@@ -135,45 +136,84 @@ class CrossParser:
         # a phrase is a pointer into the training text
         self.bits = np.log2([max(2, len(s) // 4) for s in model["symbols"].values()])[:, None]
 
+    def _step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(new states, phrases that end) for (languages, lanes) states and one symbol per lane."""
+        n = len(symbol)
+        new = self.transitions.next((state * self.alphabet.size + symbol).ravel()).astype(np.int64)
+        ended = np.flatnonzero(new < 0)
+        of, where = ended // n, ended % n
+        start, root = self.starts[of, symbol[where]], self.roots[of, 0]
+        count = np.zeros(len(new), np.int32)
+        count[ended] = (state[of, where] != root).astype(np.int32) + (start < 0)
+        new[ended] = np.where(start >= 0, start, root)
+        return new.reshape(state.shape), count.reshape(state.shape)
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """((languages, texts) phrase counts, whether each text has a letter).
 
-        Texts are parsed whole, in chunks of CHUNK symbols that start anew, all in step.
+        Texts are parsed whole. To go in step they are cut into chunks of CHUNK symbols, each parsed
+        from the root first. Then every chunk is parsed again from the state in which the one before
+        it ends, beside the first parse, until both are in one state: from there on they agree.
         """
         symbols = [self.alphabet.symbols(t) for t in texts]
         sizes = np.array([len(s) for s in symbols], np.int64)
         has_letter = np.array([bool(s.any()) for s in symbols], bool)
         pieces = -(-sizes // CHUNK)
         owner = np.repeat(np.arange(len(texts)), pieces)
-        first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin = first[owner] + nth * CHUNK
-        length = np.minimum(CHUNK, first[owner] + sizes[owner] - begin)
-        order = np.argsort(-length, kind="stable")
-        begin, length, owner = begin[order], length[order], owner[order]
+        begin = np.concatenate(([0], np.cumsum(sizes)))[:-1][owner] + nth * CHUNK
+        length = np.minimum(CHUNK, sizes[owner] - nth * CHUNK)
         flat = np.concatenate(symbols) if symbols else np.zeros(0, np.int32)
-        alive = np.searchsorted(-length, -np.arange(CHUNK), side="left")  # chunks longer than each step
-        state = np.repeat(self.roots, len(owner), axis=1)
-        count = np.ones((len(self.languages), len(owner)), np.int32)  # the phrase that ends with the chunk
-        language = np.repeat(np.arange(len(self.languages)), len(owner)).reshape(state.shape)
-        for step in range(CHUNK):
-            n = int(alive[step])
-            if n == 0:
-                break
-            symbol = np.broadcast_to(flat[begin[:n] + step], (len(self.languages), n)).ravel()
-            new = self.transitions.next(state[:, :n].ravel() * self.alphabet.size + symbol)
-            ended = np.flatnonzero(new < 0)
-            of = language[:, :n].ravel()[ended]
-            start = self.starts[of, symbol[ended]]
-            new = new.astype(np.int64)
-            new[ended] = np.where(start >= 0, start, self.roots[of, 0])
-            count[:, :n] += np.bincount(ended, weights=1 + (start < 0), minlength=len(new)).astype(np.int32).reshape(-1, n)
-            state[:, :n] = new.reshape(-1, n)
+        count, end = self._from_root(flat, begin, length)
+        own_end, todo = end.copy(), np.flatnonzero(nth > 0)
+        correction = np.zeros_like(count)
+        while len(todo):
+            found, state = self._carried(flat, begin[todo], length[todo], end[:, todo - 1], own_end[:, todo])
+            changed = todo[(state != end[:, todo]).any(axis=0)]
+            correction[:, todo], end[:, todo] = found, state
+            todo = changed[(changed + 1 < len(owner))] + 1  # the next chunk starts in another state than thought
+            todo = todo[nth[todo] > 0]
         total = np.zeros((len(self.languages), len(texts)), np.int64)
+        last = np.flatnonzero(np.diff(owner, append=-1) != 0)
         for k in range(len(self.languages)):
-            total[k] = np.bincount(owner, weights=count[k], minlength=len(texts))
+            total[k] = np.bincount(owner, weights=count[k] + correction[k], minlength=len(texts))
+            total[k, owner[last]] += end[k, last] != self.roots[k, 0]  # the phrase that ends with the text
         return total, has_letter
 
+    def _from_root(self, flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrases that end inside, state at the end) of chunks parsed from the root, longest first in step."""
+        order = np.argsort(-length, kind="stable")
+        start, size = begin[order], length[order]
+        alive = np.searchsorted(-size, -np.arange(CHUNK), side="left")  # chunks longer than each step
+        state = np.repeat(self.roots, len(order), axis=1)
+        count = np.zeros(state.shape, np.int32)
+        for step, n in enumerate(alive.tolist()):
+            if n == 0:
+                break
+            state[:, :n], found = self._step(state[:, :n], flat[start[:n] + step])
+            count[:, :n] += found
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return count[:, back], state[:, back]
+
+    def _carried(self, flat, begin, length, state, own_end) -> tuple[np.ndarray, np.ndarray]:
+        """(phrases more than from the root, state at the end) of chunks that start in the given states."""
+        more, end = np.zeros(state.shape, np.int32), own_end.copy()
+        lanes, fresh = np.arange(len(begin)), np.repeat(self.roots, len(begin), axis=1)
+        for step in range(CHUNK):
+            going = (state != fresh).any(axis=0)
+            out = going & (step == length[lanes])
+            end[:, lanes[out]] = state[:, out]
+            going &= ~out
+            lanes, state, fresh = lanes[going], state[:, going], fresh[:, going]
+            if not len(lanes):
+                return more, end
+            symbol = flat[begin[lanes] + step]
+            (state, found), (fresh, other) = self._step(state, symbol), self._step(fresh, symbol)
+            more[:, lanes] += found - other
+        end[:, lanes] = state  # chunks of CHUNK symbols
+        return more, end
+
 
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     """Per language the symbols of up to train_docs whole labelled texts."""
@@ -219,7 +259,8 @@ def identify_languages(docs: DataFrame, model: dict) -> DataFrame:
     exp(-phrases) that the winner has among the languages. Case and non-letters don't matter.
 
     Null texts and texts without a letter are `und` with score 0, as are all texts if nothing was
-    learned. Null and repeated doc_ids pass through. Other columns are ignored.
+    learned. Texts of any length are parsed whole. Null and repeated doc_ids pass through. Other
+    columns are ignored. An empty table gives no rows.
     """
     return docs.select("doc_id", "text").mapInArrow(
         lambda it: _predict(it, model), "doc_id long, lang_pred string, score double")
