@@ -146,9 +146,12 @@ def publish(spark: SparkSession, staged: dict[str, str]) -> None:
         had = fs.exists(target)
         if had and not fs.rename(target, aside):
             raise OSError(f"cannot replace {final}")
-        if not fs.rename(new, target):
+        try:
+            if not fs.rename(new, target):
+                raise OSError(f"cannot move {path} to {final}")
+        except Exception:
             if had:
                 fs.rename(aside, target)
-            raise OSError(f"cannot move {path} to {final}")
+            raise
         if had:
             fs.delete(aside, True)
