@@ -222,9 +222,9 @@ def _close(percent: int):
     return (100 * short >= percent * long), need
 
 
-def _verified(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough; the suffix filter goes before the exact count."""
-    sets = profiles.select("doc_id", "n", "shared", "pivots")
+    sets = sets.select("doc_id", "n", "shared", "pivots")
     x = sets.select(*[F.col(c).alias(f"{c}_a") for c in sets.columns])
     y = sets.select(*[F.col(c).alias(f"{c}_b") for c in sets.columns])
     joined = pairs.join(x, F.col("a") == F.col("doc_id_a")).join(y, F.col("b") == F.col("doc_id_b"))
@@ -234,6 +234,24 @@ def _verified(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     return joined.where((100 + percent) * both >= percent * size).select("a", "b").distinct()
 
 
+def _star_pairs(entries: DataFrame, centre: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each entry with the centre of its shingle, as far as length and position allow."""
+    near, need = _close(percent)
+    # both documents may have common shingles before this one, at most as many as precede it
+    left = (F.least("x.pos", "y.pos") + 1
+            + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1))
+    return (entries.alias("x").join(centre.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.label") != F.col("y.label"))
+                                    & near & (left >= need))
+            .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
+
+
+def _open(labelled: DataFrame) -> DataFrame:
+    """The entries of shingles found under several labels, with the most frequent label of each."""
+    share = labelled.groupBy("h", "label").agg(F.count(F.lit(1)).alias("m"))
+    several = share.groupBy("h").agg(F.max_by("label", "m").alias("most"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    return write_table(labelled.select("h", "doc_id", "n", "pos", "label").join(several.select("h", "most"), "h"), "shingle-open")[0]
+
+
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs.
 
@@ -242,11 +260,13 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     in a document's prefix can give a pair. As shingles of one document alone come first, most
     prefixes hold nothing that another document has.
 
-    The join on prefix shingles runs in two rounds. The first pairs each document with the
-    smallest one that has the shingle, which is linear in a group of copies. The second pairs only
-    documents that the first left in different components, and verifies each pair once. So a large
-    group of copies isn't expanded, and no link between components is lost. Length and positional filters cut pairs in the join, a suffix filter (counts between
-    fixed pivots of the hash order) before the exact intersection.
+    The join on prefix shingles runs in rounds. In the first ones each document is paired with one
+    document, the centre, of each shingle: the smallest one, then others, drawn by hash among the
+    documents left in different components, as long as a round joins many of these. That is linear in a
+    group of copies. The last round pairs all documents that are still in different components, and
+    verifies each pair once. So a large group of copies isn't expanded, and no link between
+    components is lost. Length and positional filters cut pairs in the join, a suffix filter (counts
+    between fixed pivots of the hash order) before the exact intersection.
 
     Null and empty texts have no shingles and link with nothing, nor do rows with a null doc_id
     (component null). Texts of any length are read whole; a longer one makes a batch of its own.
@@ -262,34 +282,41 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     near, need = _close(percent)
     centre = entries.groupBy("h").agg(F.min(F.struct("doc_id", "n", "pos")).alias("c"), F.count(F.lit(1)).alias("m"))
     centre = centre.where("m > 1").select("h", "c.*")
-    # both documents may have common shingles before this one, at most as many as precede it
-    left = (F.least("x.pos", "y.pos") + 1
-            + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1))
-    stars = (entries.alias("x").join(centre.alias("y"), "h")
-             .where((F.col("x.doc_id") != F.col("y.doc_id")) & near & (left >= need))
-             .select(F.col("y.doc_id").alias("a"), F.col("x.doc_id").alias("b")).distinct())
+    stars = _star_pairs(entries.withColumn("label", F.col("doc_id")), centre.withColumn("label", F.col("doc_id")), percent)
     links = (_verified(stars, profiles, percent)
              .unionByName(profiles.where("same_as <> doc_id").select(F.col("same_as").alias("a"), F.col("doc_id").alias("b"))))
     links, _ = write_table(links, "shingle-links")
     found, _ = write_table(connected_components(links), "shingle-components")
 
     label = found.select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
-    labelled = entries.join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    labelled, _ = write_table(labelled, "shingle-labelled")
-    # Of the shingles found under several labels, one side of a pair at least is not of the most frequent
-    # label, so that a group of copies is not compared with itself. The positional filter is right at
-    # the first shingle of a pair and stricter after it; it is part of the join, whose output stays small.
-    share = labelled.groupBy("h", "label").agg(F.count(F.lit(1)).alias("m"))
-    several = share.groupBy("h").agg(F.max_by("label", "m").alias("most"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    open_entries, _ = write_table(labelled.join(several.select("h", "most"), "h"), "shingle-open")
+    open_entries = _open(entries.join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")))
+    in_question, _ = write_table(open_entries.select("doc_id").distinct(), "shingle-question")
+    open_sets, _ = write_table(sets.join(in_question, "doc_id", "left_semi"), "shingle-open-sets")
+    edges, merged, turn = found.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")), 1, 0
+    while merged:
+        turn += 1
+        centre = open_entries.groupBy("h").agg(F.min_by(F.struct("doc_id", "n", "pos", "label"), F.xxhash64("doc_id", F.lit(turn))).alias("c"))
+        stars = _star_pairs(open_entries, centre.select("h", "c.*"), percent)
+        new, _ = write_table(_verified(stars, open_sets, percent), "shingle-links")
+        edges = edges.unionByName(new)
+        of = open_entries.select("doc_id", "label").distinct()
+        labels = new.join(of.select(F.col("doc_id").alias("a"), F.col("label").alias("u")), "a").join(
+            of.select(F.col("doc_id").alias("b"), F.col("label").alias("v")), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
+        joined, _ = write_table(connected_components(labels), "shingle-merged")
+        count = open_entries.agg(F.count_distinct("label")).first()[0]
+        merged = joined.where("node <> component").count() * 10 >= max(1, count)  # a tenth of the components in question
+        renamed = open_entries.join(joined.withColumnRenamed("node", "label"), "label", "left").withColumn(
+            "label", F.coalesce("component", "label"))
+        open_entries = _open(renamed)
+    # Of each shingle, one side of a pair at least is not of the most frequent label, so that a group of copies is
+    # not compared with itself. The positional filter is right at the first shingle of a pair and
+    # stricter after it; it is part of the join, whose output stays small.
     rest = 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
     pairs = (open_entries.where("label <> most").alias("x")
              .join(open_entries.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.label") != F.col("y.label")) & near & (rest >= need))
              .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
-    more, _ = write_table(_verified(pairs, profiles, percent), "shingle-more")
-    if not more.isEmpty():
-        found = connected_components(found.where("node <> component").select(
-            F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
+    more, _ = write_table(_verified(pairs, open_sets, percent), "shingle-more")
+    found = connected_components(edges.unionByName(more))
     return (profiles.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("component", "doc_id").alias("component_id")))
