@@ -68,25 +68,29 @@ def bucket_codes(vectors: np.ndarray, tables: int = TABLES, hashes: int = HASHES
     return out
 
 
-def _hash_vectors(batches, tables: int, hashes: int, probes: int, seed: int):
-    """(uid, vec_id, embedding) -> the usable vectors, in double precision and unit length, with their buckets."""
+def unit_vector(x: np.ndarray) -> np.ndarray:
+    """x in unit length, in double precision, without overflow or underflow in the norm."""
+    x = x.astype(np.float64) / np.abs(x).max()
+    return x / np.sqrt(x @ x)
+
+
+def _hash_vectors(batches, tables: int, hashes: int, probes: int, seed: int, kind: str):
+    """(uid, vec_id, embedding) -> the usable vectors, as bytes of their own type, with their buckets."""
     for batch in batches:
         groups: dict[int, list[tuple]] = {}
         for uid, vec, values in zip(*(batch.column(i).to_pylist() for i in range(3))):
             if values and None not in values:
-                x = np.array(values, dtype=np.float64)
-                peak = np.abs(x).max()
-                if np.isfinite(peak) and peak > 0:
-                    x /= peak  # no overflow or underflow in the norm
-                    groups.setdefault(len(x), []).append((uid, vec, x / np.sqrt(x @ x)))
+                x = np.array(values, dtype=kind)
+                if np.isfinite(x).all() and x.any():
+                    groups.setdefault(len(x), []).append((uid, vec, x))
         for rows in groups.values():
-            codes = bucket_codes(np.array([r[2] for r in rows]), tables, hashes, probes, seed)
+            codes = bucket_codes(np.array([unit_vector(r[2].astype(np.float64)) for r in rows]), tables, hashes, probes, seed)
             codes = codes * np.int64(8191) + np.int64(len(rows[0][2]))  # vectors of other lengths: other buckets
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2] for r in rows], pa.list_(pa.float64())),
+                 pa.array([r[2].tobytes() for r in rows], pa.binary()),
                  pa.array(list(codes.reshape(len(rows), -1)), pa.list_(pa.int64()))],
-                names=["uid", "vec_id", "unit", "codes"])
+                names=["uid", "vec_id", "vector", "codes"])
 
 
 def _first_here(linked: np.ndarray, codes: list, code: int) -> np.ndarray:
@@ -121,7 +125,7 @@ def _bucket_links(code, low, high, uid, vec, unit, codes, block, cosine):
     return uid[some], vec[some], counts[some], roots[some]
 
 
-def _links(batches, cosine: float):
+def _links(batches, cosine: float, kind: str):
     """Sorted rows of blocks -> links of each bucket's block pair; only one group is held."""
     kept: pa.Table | None = None
     def groups():
@@ -143,12 +147,12 @@ def _links(batches, cosine: float):
 
     for table, keys, cuts in groups():
         uid, vec, block = (table.column(c).to_numpy() for c in ("uid", "vec_id", "block"))
-        unit, codes = (table.column(c).combine_chunks() for c in ("unit", "codes"))
+        vectors, codes = (table.column(c).combine_chunks() for c in ("vector", "codes"))
         out = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             if b - a > 1:
                 got = _bucket_links(*keys[a].tolist(), uid[a:b], vec[a:b],
-                                    [x.values.to_numpy() for x in unit[a:b]],
+                                    [unit_vector(np.frombuffer(x.as_buffer(), kind).astype(np.float64)) for x in vectors[a:b]],
                                     [x.values.to_numpy() for x in codes[a:b]], block[a:b], cosine)
                 if got is not None:
                     out.append(got)
@@ -176,22 +180,24 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLE
     """
     rows, _ = write_table(vectors.select("vec_id", "embedding").withColumn(
         "uid", F.monotonically_increasing_id()), "vectors")
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
     hashed, _ = write_table(rows.where("vec_id IS NOT NULL").select("uid", "vec_id", "embedding").mapInArrow(
-        lambda it: _hash_vectors(it, tables, hashes, probes, seed),
-        "uid long, vec_id long, unit array<double>, codes array<long>"), "vector-codes")
+        lambda it: _hash_vectors(it, tables, hashes, probes, seed, kind),
+        "uid long, vec_id long, vector binary, codes array<long>"), "vector-codes")
+    # ids and buckets first: a vector travels only to the buckets that it shares, with the names of these alone
     entries = hashed.select("uid", F.explode("codes").alias("code"))
     live = entries.groupBy("code").count().where("count > 1").select(
         "code", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    dealt = (entries.join(live, "code")
-             .withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("uid", "code", "block", F.least("block", "other").alias("low"),
-                     F.greatest("block", "other").alias("high")))
+    shared = entries.join(live, "code").groupBy("uid").agg(F.collect_list(F.struct("code", "blocks")).alias("shared"))
     order = ("code", "low", "high")
-    found = (dealt.join(hashed, "uid").repartition(*order).sortWithinPartitions(*order)
-             .select("code", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"),
-                     "uid", "vec_id", "unit", "codes", "block"))
-    links, _ = write_table(found.mapInArrow(lambda it: _links(it, cosine),
+    dealt = (hashed.select("uid", "vec_id", "vector").join(shared, "uid")
+             .select("uid", "vec_id", "vector", F.col("shared.code").alias("codes"), F.explode("shared").alias("bucket"))
+             .withColumn("block", F.pmod(F.xxhash64("uid"), F.col("bucket.blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("bucket.blocks") - 1))))
+    found = (dealt.select(F.col("bucket.code").alias("code"), F.least("block", "other").cast("long").alias("low"),
+                          F.greatest("block", "other").cast("long").alias("high"), "uid", "vec_id", "vector", "codes", "block")
+             .repartition(*order).sortWithinPartitions(*order))
+    links, _ = write_table(found.mapInArrow(lambda it: _links(it, cosine, kind),
                                                "uid long, vec_id long, links long, root long"), "vector-links")
     component = connected_components(links.select(F.col("root").alias("a"), F.col("vec_id").alias("b")))
     counts = links.groupBy("uid").agg(F.sum("links").alias("n_links"))
