@@ -18,8 +18,8 @@ from mercato.session import write_table
 
 LENGTH = 100
 GRAM = 32
-BATCH_BYTES = 4 << 20
-PIECE = 1 << 20           # bytes hashed at a time
+BATCH_BYTES = 2 << 20
+PIECE = 1 << 19           # bytes hashed at a time
 COUNTED = np.uint64(16)   # low bits of a gram's hash that are left out where grams are only counted
 CHUNK = 1 << 14           # contexts compared at a time
 RANGES_PER_PARTITION = 4
@@ -228,7 +228,7 @@ GRAMS, TEXTS, CONTEXTS, WINDOWS, SPAN = 0, 1, 2, 3, 4
 
 def _dumped(*values) -> bytes:
     plain = pickle.dumps(values)
-    return pa.Codec("zstd", compression_level=3).compress(plain, asbytes=True) + len(plain).to_bytes(8, "little")
+    return pa.Codec("zstd", compression_level=6).compress(plain, asbytes=True) + len(plain).to_bytes(8, "little")
 
 
 def _loaded(payload: bytes):
