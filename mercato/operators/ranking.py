@@ -21,7 +21,6 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import math
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -143,41 +142,52 @@ def top_k_per_group(df: DataFrame, k: int, group_by: list[str], order: list[tupl
 
 # ------------------------------------------------- ranks by comparing keys
 # A key is the tuple of a row's sort values. Keys that cut the table are read to the driver, at most
-# BOUNDS * BOUND_SAMPLE of a bracket at a time, and compared as literals.
+# BOUNDS * BOUND_SAMPLE of a bracket at a time, and compared as literals of one SQL expression.
 Key = tuple
-Field = Callable[[int], Column]     # the i-th field of a key
 
 
-def _less(x: Column, y: Column) -> Column:
-    """x < y with NULL lowest; Spark's own order puts NaN highest."""
-    return F.coalesce(x < y, x.isNull() & y.isNotNull())
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _before(a: Field, b: Field, spec: RankSpec) -> Column:
-    """Whether key ``a`` sorts before key ``b``: a descending field is the ascending order reversed."""
-    out = F.lit(False)
-    for i, (_, asc) in reversed(list(enumerate(spec.sort_keys()))):
-        x, y = a(i), b(i)
-        out = (_less(x, y) if asc else _less(y, x)) | (x.eqNullSafe(y) & out)
-    return out
+def _literal(value, dtype: T.DataType) -> str:
+    """The value as a SQL literal of the type."""
+    kind = dtype.simpleString()
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    if isinstance(dtype, T.StructType):
+        return "named_struct(" + ", ".join(f"CAST(X'{f.name.encode().hex()}' AS STRING), {_literal(v, f.dataType)}"
+                                           for v, f in zip(value, dtype.fields)) + ")"
+    if isinstance(dtype, T.ArrayType):
+        return f"CAST(array({', '.join(_literal(v, dtype.elementType) for v in value)}) AS {kind})"
+    if isinstance(value, str):
+        return f"CAST(X'{value.encode().hex()}' AS STRING)"
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{value.hex()}'"
+    if isinstance(dtype, T.TimestampType):  # collected in the local time zone
+        return f"timestamp_micros({int(value.timestamp()) * 1_000_000 + value.microsecond})"
+    text = value.isoformat(" ") if isinstance(value, dt.datetime) else str(value)
+    return f"CAST('{text}' AS {kind})"
 
 
-def _row_key(spec: RankSpec) -> Field:
-    return lambda i: F.col(spec.sort_keys()[i][0])
+def _before(a: list[str], b: list[str], spec: RankSpec) -> str:
+    """Whether the key of fields ``a`` sorts before that of fields ``b``, as SQL.
 
+    NULL is lowest, and Spark's own order puts NaN highest; a descending field is the ascending order reversed.
+    """
+    out = "false"
+    for x, y, (_, asc) in reversed(list(zip(a, b, spec.sort_keys()))):
+        low, high = (x, y) if asc else (y, x)
+        out = f"(coalesce({low} < {high}, {low} IS NULL AND {high} IS NOT NULL) OR ({x} <=> {y} AND {out}))"
+    return out
 
-def _literal(value, dtype: T.DataType) -> Column:
-    if isinstance(value, T.Row):
-        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, dtype.fields)])
-    if isinstance(value, list):
-        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
-    if isinstance(value, dt.datetime) and isinstance(dtype, T.TimestampNTZType):
-        return F.lit(value.isoformat(" ")).cast(dtype)  # a plain literal would pass through the local time zone
-    return F.lit(bytes(value) if isinstance(value, bytearray) else value).cast(dtype)
 
+def _row_key(spec: RankSpec) -> list[str]:
+    return [_quoted(c) for c, _ in spec.sort_keys()]
 
-def _literal_key(key: Key, spec: RankSpec, schema: T.StructType) -> Field:
-    return lambda i: _literal(key[i], schema[spec.sort_keys()[i][0]].dataType)
+
+def _literal_key(key: Key, spec: RankSpec, schema: T.StructType) -> list[str]:
+    return [_literal(v, schema[c].dataType) for v, (c, _) in zip(key, spec.sort_keys())]
 
 
 def _compare(a, b) -> int:
@@ -203,14 +213,14 @@ def _spread(keys: list, n: int) -> list:
     return keys if len(keys) <= n else [keys[(i + 1) * len(keys) // (n + 1)] for i in range(n)]
 
 
-def _cell(bounds: list[Key], spec: RankSpec, schema: T.StructType) -> Column:
-    """How many of the sorted bounds sort strictly before the row: a decision tree of plain comparisons."""
-    def tree(i: int, j: int) -> Column:
+def _cell(bounds: list[Key], spec: RankSpec, schema: T.StructType) -> str:
+    """How many of the sorted bounds sort strictly before the row: a decision tree of plain comparisons, as SQL."""
+    def tree(i: int, j: int) -> str:
         if i == j:
-            return F.lit(i)
+            return str(i)
         mid = (i + j) // 2
         passed = _before(_literal_key(bounds[mid], spec, schema), _row_key(spec), spec)
-        return F.when(passed, tree(mid + 1, j)).otherwise(tree(i, mid))
+        return f"CASE WHEN {passed} THEN {tree(mid + 1, j)} ELSE {tree(i, mid)} END"
     return tree(0, len(bounds))
 
 
@@ -225,13 +235,13 @@ class _Bracket:
     size: int
     ranks: list[int]
 
-    def inside(self, schema: T.StructType) -> Column:
-        row, out = _row_key(self.spec), F.lit(True)
+    def inside(self, schema: T.StructType) -> str:
+        row, out = _row_key(self.spec), ["true"]
         if self.low is not None:
-            out = out & _before(_literal_key(self.low, self.spec, schema), row, self.spec)
+            out.append(_before(_literal_key(self.low, self.spec, schema), row, self.spec))
         if self.high is not None:
-            out = out & ~_before(_literal_key(self.high, self.spec, schema), row, self.spec)
-        return out
+            out.append("NOT " + _before(_literal_key(self.high, self.spec, schema), row, self.spec))
+        return " AND ".join(out)
 
     def split(self, bounds: list[Key], sizes: dict[int, int]) -> list["_Bracket"]:
         """The cells that hold a cut rank; cell c ends with bounds[c]."""
@@ -269,7 +279,7 @@ def _narrowed(df: DataFrame, brackets: list[_Bracket], seed: int) -> list[_Brack
     drawn = _read_keys([_keys_of(df.filter(b.inside(schema)).sample(False, min(1.0, BOUNDS * BOUND_SAMPLE / b.size), seed),
                                  at, b, F.lit(0)) for at, b in enumerate(brackets)], [b.spec for b in brackets])
     bounds = [_spread(_sorted_keys([key for _, key in keys], b.spec), BOUNDS) for keys, b in zip(drawn, brackets)]
-    cells = F.array(*[F.when(b.inside(schema), F.struct(F.lit(at).alias("b"), _cell(own, b.spec, schema).alias("c")))
+    cells = F.array(*[F.expr(f"CASE WHEN {b.inside(schema)} THEN named_struct('b', {at}, 'c', {_cell(own, b.spec, schema)}) END")
                       for at, (b, own) in enumerate(zip(brackets, bounds))])
     sizes: dict[int, dict[int, int]] = {}
     for row in (df.select(F.explode(cells).alias("x")).filter("x IS NOT NULL").groupBy("x.b", "x.c").count().collect()):
@@ -320,7 +330,7 @@ def add_tiles(df: DataFrame, specs: list[RankSpec], n_rows: int, seed: int = 17,
         if spec.partition_by or not spec.ntile:
             raise ValueError(f"{spec.out}: add_tiles is for ntiles over the whole table")
     cuts = _cut_keys(df, specs, n_rows, rows_per_task, seed)
-    return df.withColumns({spec.out: (_cell(keys, spec, df.schema) + 1).cast("int") for spec, keys in zip(specs, cuts)})
+    return df.withColumns({spec.out: (F.expr(_cell(keys, spec, df.schema)) + 1).cast("int") for spec, keys in zip(specs, cuts)})
 
 
 def ranks_of(rows: DataFrame, df: DataFrame, spec: RankSpec, within: str,
@@ -340,7 +350,7 @@ def ranks_of(rows: DataFrame, df: DataFrame, spec: RankSpec, within: str,
     if not keys:
         return rows.withColumns({spec.out: F.lit(None).cast("long"), within_out: F.lit(None).cast("long")})
     bounds = [*_spread(keys[:-1], BOUNDS - 1), keys[-1]]
-    cell = _cell(bounds, spec, df.schema)
+    cell = F.expr(_cell(bounds, spec, df.schema))
     early = df.select(*[F.col(c).alias(f"__x{i}") for i, c in enumerate(fields)], F.col(within).alias("__w"), cell.alias("__cell"))
     early = early.filter(F.col("__cell") < len(bounds))  # nothing after the last key matters
     counts = early.groupBy("__w", "__cell").agg(F.count(F.lit(1)).alias("__c"))
@@ -352,7 +362,7 @@ def ranks_of(rows: DataFrame, df: DataFrame, spec: RankSpec, within: str,
     total = counts.groupBy("__cell").agg(F.sum("__c").alias("__c"))  # at most BOUNDS rows
     total = total.select("__cell", earlier(Window.partitionBy()).alias("__total"))
     placed = rows.withColumn("__cell", cell)
-    after = _before(_row_key(spec), lambda i: F.col(f"__x{i}"), spec)
+    after = F.expr(_before(_row_key(spec), [f"__x{i}" for i in range(len(fields))], spec))
     inside = (placed.join(early, "__cell").filter(~after).groupBy(*[F.col(f"`{c}`") for c in rows.columns], "__cell")
               .agg(F.count(F.lit(1)).alias("__o"), F.count_if(F.col("__w").eqNullSafe(F.col(within))).alias("__in")))
     return (inside.withColumn("__w", F.struct(F.col(within).alias("__w"))).join(total, "__cell").join(local, ["__w", "__cell"])

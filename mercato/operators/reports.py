@@ -161,16 +161,14 @@ def _numbered_brands(products: DataFrame) -> tuple[DataFrame, int]:
     _times counts the product's rows of the brand, _nth numbers its brands. Up to 64 * MAX_BRAND_WORDS brands
     have a dense number; with more there are no words.
     """
-    listed, _ = write_table(products.groupBy("product_id", F.col("brand").alias("_brand")).agg(
-        F.count(F.lit(1)).cast("int").alias("_times")), "product-brands")
-    brands = listed.select("_brand").where("_brand IS NOT NULL").distinct()
-    known = [r[0] for r in brands.limit(64 * MAX_BRAND_WORDS + 1).collect()]
+    most = 64 * MAX_BRAND_WORDS
+    known = sorted(r[0] for r in products.select("brand").where("brand IS NOT NULL").distinct().limit(most + 1).collect())
+    listed = products.groupBy("product_id", F.col("brand").alias("_brand")).agg(F.count(F.lit(1)).cast("int").alias("_times"))
     listed = listed.withColumn("_nth", F.row_number().over(Window.partitionBy("product_id").orderBy("_brand")))
-    if len(known) > 64 * MAX_BRAND_WORDS:
+    if len(known) > most:
         return write_table(listed, "product-brands")[0], 0
-    numbers = listed.sparkSession.createDataFrame(list(zip(sorted(known), range(len(known)))), "_brand string, _number int")
-    return (write_table(listed.join(F.broadcast(numbers), "_brand", "left"), "product-brands")[0],
-            -(-len(known) // 64))
+    numbers = listed.sparkSession.createDataFrame(list(zip(known, range(len(known)))), "_brand string, _number int")
+    return write_table(listed.join(F.broadcast(numbers), "_brand", "left"), "product-brands")[0], -(-len(known) // 64)
 
 
 def customer_360(delivered: DataFrame, customers: DataFrame, products: DataFrame,

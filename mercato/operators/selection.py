@@ -64,9 +64,10 @@ def values_at_ranks(rows: DataFrame, wanted: DataFrame, keys: list[str], value:
     state, path = write_table(wanted.select(
         *keys, "rank", F.col("lo").cast("bigint").alias("__lo"), F.col("hi").cast("bigint").alias("__hi"),
         F.lit(0).cast("bigint").alias("__before"), F.lit(0).cast("bigint").alias("__here")), "selection")
+    widest = state.agg(F.max(hi - lo)).first()[0] or 0  # a round divides it by CELLS
     while True:
-        widest = state.agg(F.max(hi - lo)).first()[0]
-        last = widest is None or widest < CELLS  # cells of one value each
+        last = widest < CELLS  # cells of one value each
+        widest //= CELLS
         state = state.withColumn("__step", div(hi - lo, F.lit(CELLS)) + 1)
         brackets = _renamed(state.select(*bracket, "__hi", "__step").distinct(), keys, "__lo", "__hi", "__step")
         cells = (rows.join(brackets, _matches(keys) & F.col(value).between(lo, hi))

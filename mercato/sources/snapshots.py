@@ -84,7 +84,7 @@ def ancestors(lineage: DataFrame, roots: list[int] | None = None, table_name: st
     small joins (a recursive query would take L rounds). Both tables are
     written to the shared checkpoint folder each round, so plans stay short.
     """
-    from mercato.session import cut_lineage
+    from mercato.session import cut_lineage, cut_lineage_counted
 
     # the lineage is read twice (jump table, start rows): pass a materialised
     # table, one row per snapshot, not a plan over the data
@@ -101,9 +101,10 @@ def ancestors(lineage: DataFrame, roots: list[int] | None = None, table_name: st
         step = known.join(jump, (known.table_name == jump.table_name) & (known.ancestor_id == jump.__from)) \
             .select(known.table_name, "snapshot_id", F.col("__to").alias("ancestor_id"),
                     (F.col("depth") + span).alias("depth"))
-        if step.isEmpty():
+        step, n = cut_lineage_counted(step)
+        if not n:
             return known
-        known = cut_lineage(known.unionByName(step))
+        known = known.unionByName(step)
         j2 = jump.alias("a").join(jump.alias("b"), (F.col("a.table_name") == F.col("b.table_name"))
                                   & (F.col("a.__to") == F.col("b.__from")))
         jump = cut_lineage(j2.select(F.col("a.table_name").alias("table_name"), F.col("a.__from").alias("__from"),
