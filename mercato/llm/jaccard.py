@@ -20,6 +20,7 @@ WIDTH = 5
 PERCENT = 75
 RANGES_PER_PARTITION = 4
 PIVOTS = 8
+MERGED = 50  # rounds of stars go on while each joins a fiftieth of the components in question
 MAX_ROWS = 30_000  # of a batch, so that row numbers and counts fit 16 bits
 
 # ---------------------------------------------------------------- shingles
@@ -295,7 +296,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     edges, merged, turn = found.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")), 1, 0
     while merged:
         turn += 1
-        centre = open_entries.groupBy("h").agg(F.min_by(F.struct("doc_id", "n", "pos", "label"), F.xxhash64("doc_id", F.lit(turn))).alias("c"))
+        centre = open_entries.groupBy("h").agg(F.min_by(F.struct("doc_id", "n", "pos", "label"), F.xxhash64("h", "doc_id", F.lit(turn))).alias("c"))
         stars = _star_pairs(open_entries, centre.select("h", "c.*"), percent)
         new, _ = write_table(_verified(stars, open_sets, percent), "shingle-links")
         edges = edges.unionByName(new)
@@ -304,7 +305,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
             of.select(F.col("doc_id").alias("b"), F.col("label").alias("v")), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
         joined, _ = write_table(connected_components(labels), "shingle-merged")
         count = open_entries.agg(F.count_distinct("label")).first()[0]
-        merged = joined.where("node <> component").count() * 10 >= max(1, count)  # a tenth of the components in question
+        merged = joined.where("node <> component").count() * MERGED >= max(1, count)
         renamed = open_entries.join(joined.withColumnRenamed("node", "label"), "label", "left").withColumn(
             "label", F.coalesce("component", "label"))
         open_entries = _open(renamed)
