@@ -54,16 +54,16 @@ def _matches(columns: list[str]) -> Column:
 def values_at_ranks(rows: DataFrame, wanted: DataFrame, keys: list[str], value: str) -> DataFrame:
     """``wanted`` (keys, rank, lo, hi) -> (keys, rank, value, before, here): the value at each rank of each group.
 
-    ``rows`` (keys, value) are read once per round: pass a written table. lo and hi are values
+    ``rows`` (keys, value) are read once per round: pass written tables (``wanted`` is read twice). lo and hi are values
     between which the rank lies. before counts the group's rows with a smaller value, here those with
     that value. Ranks outside the group give no row; NULL values have no rank.
     """
     div = lambda a, b: F.call_function("div", a, b)  # noqa: E731 - whole-number division
     lo, hi, step, before = F.col("__lo"), F.col("__hi"), F.col("__step"), F.col("__before")
     bracket = [*keys, "__lo"]
-    state, path = write_table(wanted.select(
+    state, path = wanted.select(
         *keys, "rank", F.col("lo").cast("bigint").alias("__lo"), F.col("hi").cast("bigint").alias("__hi"),
-        F.lit(0).cast("bigint").alias("__before"), F.lit(0).cast("bigint").alias("__here")), "selection")
+        F.lit(0).cast("bigint").alias("__before"), F.lit(0).cast("bigint").alias("__here")), None
     widest = state.agg(F.max(hi - lo)).first()[0] or 0  # a round divides it by CELLS
     while True:
         last = widest < CELLS  # cells of one value each
@@ -81,7 +81,8 @@ def values_at_ranks(rows: DataFrame, wanted: DataFrame, keys: list[str], value:
                          (end - F.col("__c")).alias("__before"), F.col("__c").alias("__here")))
         done = path
         state, path = write_table(found, "selection")
-        drop_table_files(rows.sparkSession, done)
+        if done:
+            drop_table_files(rows.sparkSession, done)
         if last:
             return state.select(*keys, "rank", lo.alias(value), before.alias("before"), F.col("__here").alias("here"))
 
