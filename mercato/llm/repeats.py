@@ -18,7 +18,7 @@ from mercato.session import write_table
 
 LENGTH = 100
 GRAM = 32
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20    # of text: a batch packs to rows that the JVM need not hold as humongous objects
 PIECE = 1 << 19           # bytes hashed at a time
 COUNTED = np.uint64(16)   # low bits of a gram's hash that are left out where grams are only counted
 CHUNK = 1 << 14           # contexts compared at a time
@@ -236,6 +236,7 @@ def _loaded(payload: bytes):
 
 
 def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    pa.default_memory_pool().release_unused()  # what the last group needed; workers go on for many groups
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
     return pa.table([pa.array([r[i] for r in rows], kinds[t]) for i, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
