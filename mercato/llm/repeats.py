@@ -23,7 +23,7 @@ PIECE = 1 << 19           # bytes hashed at a time
 COUNTED = np.uint64(16)   # low bits of a gram's hash that are left out where grams are only counted
 CHUNK = 1 << 14           # contexts compared at a time
 RANGES_PER_PARTITION = 4
-HOT = 20_000              # occurrences of a gram beyond which its windows are dealt out one by one
+HOT = 100_000             # occurrences of a gram beyond which its windows are dealt one by one: fewer contexts fit 100 MB
 NO_ID = np.iinfo(np.int64).max  # a null doc_id comes last
 
 # ---------------------------------------------------------------- anchors

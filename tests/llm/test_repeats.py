@@ -51,7 +51,7 @@ def removed(df):
                   key=str)
 
 
-@pytest.mark.parametrize("seed, length, hot", [(1, 100, 20_000), (2, 100, 3), (3, 40, 20_000), (4, 50, 8)])
+@pytest.mark.parametrize("seed, length, hot", [(1, 100, 100_000), (2, 100, 3), (3, 40, 100_000), (4, 50, 8)])
 def test_same_as_brute_force(spark, monkeypatch, seed, length, hot):
     rows = corpus(seed)
     monkeypatch.setattr(repeats, "BATCH_BYTES", 3000)
