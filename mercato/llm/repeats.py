@@ -22,6 +22,7 @@ BATCH_BYTES = 1 << 20    # of text: a batch packs to rows that the JVM need not
 PIECE = 1 << 19           # bytes hashed at a time
 COUNTED = np.uint64(16)   # low bits of a gram's hash that are left out where grams are only counted
 CHUNK = 1 << 14           # contexts compared at a time
+PART = 1 << 14            # contexts analysed, or suffixes sorted, at a time: more only where one gram, or one distance, has more
 RANGES_PER_PARTITION = 4
 HOT = 100_000             # occurrences of a gram beyond which its windows are dealt one by one: fewer contexts fit 100 MB
 NO_ID = np.iinfo(np.int64).max  # a null doc_id comes last
@@ -140,7 +141,7 @@ def suffix_array(group: np.ndarray, rows: np.ndarray, right: np.ndarray, who: np
 
     Equal windows lie at one distance from their anchor, so suffixes at different distances have no repeat.
     """
-    width, data = rows.shape[1], rows.tobytes()
+    width, data = rows.shape[1], np.ascontiguousarray(rows).reshape(-1).data
     tags = np.empty(len(who), [("g", ">u8"), ("d", "u1")])
     tags["g"], tags["d"] = group[who], before
     tag = tags.tobytes()
@@ -199,6 +200,15 @@ def interval_tree(lcp: list[int], age: list[int], previous: list[int], length: i
     return lost, repeats
 
 
+def _whole_parts(first: np.ndarray):
+    """(start, end) of parts of about PART entries, none of which cuts a group; first marks where groups begin."""
+    starts, at = np.append(np.flatnonzero(first), len(first)), 0
+    while at < len(first):
+        end = int(starts[np.searchsorted(starts, min(at + PART, len(first)))])
+        yield at, end
+        at = end
+
+
 def repeats_around(group, rows, left, right, low, high, age, length):
     """Of distinct contexts of anchors: (context, distance, lost length) and the maximal repeats among their suffixes.
 
@@ -207,13 +217,19 @@ def repeats_around(group, rows, left, right, low, high, age, length):
     """
     reach = length - GRAM + 1
     who, before = branch_starts(group, rows, left, low, high, reach)
-    order, lcp = suffix_array(group, rows, right, who, before, reach)
+    order = np.lexsort((before, group[who]))
     who, before = who[order], before[order]
-    at = np.maximum(reach - before - 1, 0)
-    known = (before < left[who]) & (before < high[who])
-    previous = np.where(known, rows[who, at].astype(np.int64), -1)
-    lost, repeats = interval_tree(lcp.tolist(), age[who].tolist(), previous.tolist(), length)
-    lost = np.array(lost, np.int64)
+    lost, repeats = np.zeros(len(who), np.int64), []
+    differs = (group[who[1:]] != group[who[:-1]]) | (before[1:] != before[:-1])  # no repeat goes over such a border
+    for a, b in _whole_parts(np.concatenate(([True], differs))):
+        order, lcp = suffix_array(group, rows, right, who[a:b], before[a:b], reach)
+        own, distance = who[a:b][order], before[a:b][order]
+        at = np.maximum(reach - distance - 1, 0)
+        known = (distance < left[own]) & (distance < high[own])
+        previous = np.where(known, rows[own, at].astype(np.int64), -1)
+        lost[a:b], found = interval_tree(lcp.tolist(), age[own].tolist(), previous.tolist(), length)
+        who[a:b], before[a:b] = own, distance
+        repeats += [(first + a, last + a, size) for first, last, size in found]
     some = np.flatnonzero(lost)
     return (who[some], before[some], lost[some]), (who, before, repeats)
 
@@ -359,16 +375,31 @@ def _deal(length: int, ranges: int, hot: int, collapse: bool):
     return deal
 
 
-def _gathered(table: pa.Table, kind: int):
-    """The columns of one kind of payload, concatenated, with the batch of each row."""
-    found = [(b, _loaded(p)) for b, k, p in zip(table.column("batch").to_pylist(), table.column("kind").to_pylist(),
-                                                table.column("payload").to_pylist()) if k == kind]
-    if not found:
-        return None
+def _payloads(table: pa.Table, kind: int) -> list[tuple]:
+    """(batch, its columns) of each payload of one kind."""
+    return [(b, _loaded(p)) for b, k, p in zip(table.column("batch").to_pylist(), table.column("kind").to_pylist(),
+                                               table.column("payload").to_pylist()) if k == kind]
+
+
+def _gathered(found: list[tuple]):
+    """The columns of payloads, concatenated, with the batch of each row."""
     batch = np.repeat(np.array([b for b, _ in found], np.int64), [len(x[0]) for _, x in found])
     return [batch, *(np.concatenate([x[i] for _, x in found]) for i in range(len(found[0][1])))]
 
 
+def _contexts_in_parts(table: pa.Table):
+    """One hash range's contexts, gathered in parts of whole grams: a context takes a multiple of its bytes while it is analysed."""
+    found = _payloads(table, CONTEXTS)
+    hashes = np.sort(np.concatenate([x[0] for _, x in found]))
+    for a, b in _whole_parts(np.concatenate(([True], hashes[1:] != hashes[:-1]))):
+        part = []
+        for batch, columns in found:  # in the order of their hashes
+            of = slice(np.searchsorted(columns[0], hashes[a]), np.searchsorted(columns[0], hashes[b - 1], side="right"))
+            if of.start < of.stop:
+                part.append((batch, [x[of] for x in columns]))
+        yield _gathered(part)
+
+
 def _ages(own: np.ndarray, batch: np.ndarray, p: np.ndarray) -> np.ndarray:
     age = np.empty(len(p), np.int64)
     age[np.lexsort((p, batch, own))] = np.arange(len(p))
@@ -377,15 +408,17 @@ def _ages(own: np.ndarray, batch: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 def _distinct(rows: np.ndarray, left, right, h, age):
     """(number of each row's context, first row of each distinct context by age)."""
-    whole = np.concatenate((rows, np.column_stack((left, right)), h[:, None].view(np.uint8)), axis=1)
-    size, raw = whole.shape[1], whole.tobytes()
     seen: dict[bytes, int] = {}
     same = np.empty(len(rows), np.int64)
-    oldest = []
-    for k in np.argsort(age).tolist():
-        if (number := seen.setdefault(raw[k * size:(k + 1) * size], len(seen))) == len(oldest):
-            oldest.append(k)
-        same[k] = number
+    oldest, order = [], np.argsort(age)
+    for s in range(0, len(order), CHUNK):
+        part = order[s:s + CHUNK]
+        whole = np.concatenate((rows[part], np.column_stack((left[part], right[part])), h[part, None].view(np.uint8)), axis=1)
+        size, raw = whole.shape[1], whole.tobytes()
+        for n, k in enumerate(part.tolist()):
+            if (number := seen.setdefault(raw[n * size:(n + 1) * size], len(seen))) == len(oldest):
+                oldest.append(k)
+            same[k] = number
     return same, np.array(oldest, np.int64)
 
 
@@ -395,9 +428,9 @@ def _several(group: np.ndarray) -> np.ndarray:
     return n[place] > 1
 
 
-def _analysed(table: pa.Table, length: int):
-    """One hash range's contexts: columns, distinct ones, what their suffixes lose, and the suffix array's repeats."""
-    batch, h, rows, left, right, low, high, own, p = _gathered(table, CONTEXTS)
+def _analysed(part: list, length: int):
+    """A part of a range's contexts: columns, distinct ones, what their suffixes lose, and the suffix array's repeats."""
+    batch, h, rows, left, right, low, high, own, p = part
     age = _ages(own, batch, p)
     same, oldest = _distinct(rows, left, right, h, age)
     left, right, low, high = (x.astype(np.int64) for x in (left, right, low, high))
@@ -414,8 +447,8 @@ def _lose(length: int):
         found = []
         if SPAN in (kinds := set(table.column("kind").to_pylist())) and len(kinds) == 1:
             return _table(SPANS, spans)
-        if CONTEXTS in kinds:
-            batch, _, p, right, high, same, oldest, some, around = _analysed(table, length)
+        for part in _contexts_in_parts(table) if CONTEXTS in kinds else ():
+            batch, _, p, right, high, same, oldest, some, around = _analysed(part, length)
             copies = np.flatnonzero(oldest[same] != np.arange(len(p)))
             found.append((batch[copies], p[copies] - high[copies], p[copies] + right[copies]))
             if around:
@@ -423,7 +456,7 @@ def _lose(length: int):
                 at = some[who]
                 found.append((batch[at], p[at] - before, p[at] - before + lost))
         if WINDOWS in kinds:
-            batch, names, own, at = _gathered(table, WINDOWS)
+            batch, names, own, at = _gathered(_payloads(table, WINDOWS))
             order = np.lexsort((at, batch, own, names[:, 1], names[:, 0]))
             again = order[1:][(names[order][1:] == names[order][:-1]).all(axis=1)]
             found.append((batch[again], at[again], at[again] + length))
@@ -445,8 +478,8 @@ def _list(length: int):
         """One hash range: every maximal repeat with all its occurrences."""
         key = table.column("key")[0].as_py() << 40
         kinds, out, number = set(table.column("kind").to_pylist()), [], 0
-        if CONTEXTS in kinds:
-            batch, _, p, right, high, same, oldest, some, around = _analysed(table, length)
+        for part in _contexts_in_parts(table) if CONTEXTS in kinds else ():
+            batch, _, p, right, high, same, oldest, some, around = _analysed(part, length)
             order = np.argsort(same, kind="stable")
             cuts = np.searchsorted(same[order], np.arange(len(oldest) + 1))
             members = [order[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
@@ -461,7 +494,7 @@ def _list(length: int):
                 out.append((np.full(len(m), key | number), np.full(len(m), size), batch[m], p[m] - before))
                 number += 1
         if WINDOWS in kinds:
-            batch, names, _, at = _gathered(table, WINDOWS)
+            batch, names, _, at = _gathered(_payloads(table, WINDOWS))
             _, place, n = np.unique(names, axis=0, return_inverse=True, return_counts=True)
             m = np.flatnonzero(n[place.ravel()] > 1)
             out.append((key | (number + place.ravel()[m]), np.full(len(m), length), batch[m], at[m]))

@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from mercato.llm import queries, repeats
@@ -118,6 +120,42 @@ def test_maximal_repeats(spark):
     assert len(hot) == len({texts[d][i:i + 100] for d, i in repeated}) and sum(r["count"] for r in hot) == len(repeated)
 
 
+def range_of_contexts(n, grams, seed=3):
+    """One hash range's table: n contexts of random grams in 20 batches, a third of them copies of others."""
+    rng = np.random.default_rng(seed)
+    reach, rows = 69, rng.integers(97, 100, (n, 169)).astype(np.uint8)
+    h = np.sort(rng.integers(1, 1 << 60, grams).astype(np.uint64)[rng.integers(0, grams, n)])
+    again = rng.integers(0, n - 1, n // 3)
+    rows[again + 1, :150] = rows[again, :150]
+    left, low = np.full(n, reach, np.uint8), np.zeros(n, np.uint8)
+    columns = [h, rows, left, np.full(n, 100, np.uint8), low, rng.integers(0, reach, n).astype(np.uint8), rng.permutation(n), np.arange(n) * 300]
+    payloads = [repeats._dumped(*(x[k::20] for x in columns)) for k in range(20)]
+    return rows.nbytes, pa.table({"key": [0] * 20, "batch": list(range(20)), "kind": pa.array([repeats.CONTEXTS] * 20, pa.int32()), "payload": payloads})
+
+
+def spans_of(table):
+    return sorted((b, *x) for b, p in zip(table.column("batch").to_pylist(), table.column("payload").to_pylist())
+                  for x in zip(*(v.tolist() for v in repeats._loaded(p))))
+
+
+@pytest.mark.parametrize("grams", [1, 7, 900])
+def test_parts_of_a_range_lose_the_same(monkeypatch, grams):
+    _, table = range_of_contexts(2000, grams)
+    monkeypatch.setattr(repeats, "PART", 1 << 40)
+    whole = spans_of(repeats._lose(100)(table))
+    monkeypatch.setattr(repeats, "PART", 50)
+    assert whole and spans_of(repeats._lose(100)(table)) == whole
+
+
+def test_a_range_is_analysed_in_bounded_memory():
+    size, table = range_of_contexts(60_000, 20_000)
+    tracemalloc.start()
+    repeats._lose(100)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * size
+
+
 def test_interval_tree_of_a_known_array():
     # suffixes of one string at which "aXXX" occurs 3 times, "aXXXb" twice: lcp 4 and 5
     lost, found = repeats.interval_tree([0, 4, 5, 0], [2, 0, 1, 3], [-1, 7, 7, 7], 4)
