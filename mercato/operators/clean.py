@@ -14,16 +14,21 @@ RATING_MIN, RATING_MAX = 1, 5
 DELIVERED = "Delivered"
 
 
+def _is_valid() -> Column:
+    """All required fields, ``grand_total >= 0`` (not NaN) and ``quantity > 0``."""
+    cond = F.lit(True)
+    for c in REQUIRED_NOT_NULL:
+        cond = cond & F.col(c).isNotNull()
+    return cond & (F.col("grand_total") >= 0) & ~F.isnan(F.col("grand_total").cast("double")) & (F.col("quantity") > 0)
+
+
 def validate_orders(orders: DataFrame) -> DataFrame:
     """Keep rows with all required fields, ``grand_total >= 0`` (not NaN) and ``quantity > 0``.
 
     A plain conjunctive filter: Catalyst pushes the null checks and comparisons
     into the scan (``PushedFilters``) when the input is a file source.
     """
-    cond = F.lit(True)
-    for c in REQUIRED_NOT_NULL:
-        cond = cond & F.col(c).isNotNull()
-    return orders.filter(cond & (F.col("grand_total") >= 0) & ~F.isnan(F.col("grand_total").cast("double")) & (F.col("quantity") > 0))
+    return orders.filter(_is_valid())
 
 
 def rejections(orders: DataFrame) -> Column:
@@ -59,8 +64,12 @@ def sorted_out(orders: DataFrame) -> DataFrame:
 
 
 def rejected_orders(orders: DataFrame) -> DataFrame:
-    """The orders that ``validate_orders`` drops, with their ``_reasons``, as they came."""
-    return orders.withColumn("_reasons", rejections(orders)).filter(F.size("_reasons") > 0)
+    """The orders that ``validate_orders`` drops, with their ``_reasons``, as they came.
+
+    The filter is the plain condition: Catalyst moves it below the projection and into joins, where the array of
+    reasons would be built for every row, with the columns' own expressions copied into each reason.
+    """
+    return orders.filter(~F.coalesce(_is_valid(), F.lit(False))).withColumn("_reasons", rejections(orders))
 
 
 def sanitize_rating(orders: DataFrame) -> DataFrame:

@@ -65,11 +65,11 @@ def _status_filters(status: str | None):
     return F.lit(False), None
 
 
-def fact(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+def fact(spark: SparkSession, sf_dir: str, status: str | None = None, key: str | None = None) -> DataFrame:
     """One order line per lineitem, in the orders-fact contract.
 
     ``status``: keep only lines with that ``order_status``; the condition is
-    applied to each table before the joins.
+    applied to each table before the joins. ``key``: name of a further column with the order key.
     """
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -124,6 +124,7 @@ def fact(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFra
         .cast("double").alias("rating"),
         F.when(F.col("o_custkey") % 3 == 0, True)
          .when(F.col("o_custkey") % 3 == 1, False).alias("is_prime_member"),
+        *([F.col("l_orderkey").alias(key)] if key else []),
     )
 
 
@@ -206,15 +207,15 @@ def directory_target(spark: SparkSession, sf_dir: str, tables: tuple[str, ...])
 # that is no date (modulo 29 = 1), the customer is missing (31 = 2), the quantity is 0 (37 = 3), the total
 # is negative (41 = 4) or not a number (43 = 5). A row can have several.
 def defective_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.split_part(F.col("order_id"), F.lit("-"), F.lit(1)).cast("bigint")
+    k = F.col("_orderkey")  # a column of its own: the conditions would each build the id's text and split it again
     total = F.col("grand_total").cast("double")
     text = F.when(k % 29 == 1, F.lit("2024-13-45")).otherwise(F.col("order_date").cast("string"))
-    return fact(spark, sf_dir).withColumns({
+    return fact(spark, sf_dir, key="_orderkey").withColumns({
         "order_date_text": text,
         "order_date": F.try_to_date(text),
         "customer_id": F.when(k % 31 != 2, F.col("customer_id")),
         "quantity": F.when(k % 37 == 3, F.lit(0)).otherwise(F.col("quantity")),
-        "grand_total": F.when(k % 43 == 5, F.lit(float("nan"))).when(k % 41 == 4, -total - 1).otherwise(total)})
+        "grand_total": F.when(k % 43 == 5, F.lit(float("nan"))).when(k % 41 == 4, -total - 1).otherwise(total)}).drop("_orderkey")
 
 
 # ------------------------------------------------------------ orders history

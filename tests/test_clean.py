@@ -65,3 +65,29 @@ def test_money_is_validated_before_it_is_converted(spark):
     big = spark.createDataFrame([("O1", "c", "p", day, 1e17, 1, 3.0, "Delivered")], schema)
     with pytest.raises(Exception, match="does not fit"):
         clean.clean_orders(big).collect()
+
+
+def test_reasons_are_built_for_rejected_rows_only(spark):
+    schema = "k long, order_id string, customer_id string, product_id string, order_date date, grand_total double, quantity int"
+    day = dt.date(2022, 1, 5)
+    rows = [(k, f"O{k}", c, "p", d, t, q) for k, (c, d, t, q) in enumerate(
+        [("c", day, 1.0, 1), (None, day, 1.0, 1), ("c", None, 1.0, 1), ("c", day, None, None), ("c", day, -1.0, 0),
+         ("c", day, float("nan"), 1), ("c", day, 0.0, 1), (None, None, None, None)])]
+    orders = spark.createDataFrame(rows, schema)
+    # a join and computed columns, through which Spark moves a filter
+    joined = orders.join(spark.range(8).withColumnRenamed("id", "j"), F.expr("k = j and quantity + j > -1 or j = 99"), "left")
+    joined = joined.withColumn("grand_total", F.col("grand_total") * F.when(F.col("j") >= 0, 1).otherwise(1))
+    rejected = clean.rejected_orders(joined)
+    optimized = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("missing customer_id") == 1  # in the projection, not in a filter or a join condition
+    got = {r.order_id: list(r._reasons) for r in rejected.collect()}
+    assert got == {r.order_id: list(r._reasons) for r in joined.withColumn("_reasons", clean.rejections(joined)).collect() if r._reasons}
+    assert sorted(got) == ["O1", "O2", "O3", "O4", "O5", "O7"]
+    assert sorted(r.order_id for r in clean.validate_orders(joined).collect()) == ["O0", "O6"]
+
+
+def test_defects_need_no_text_of_the_order_id(spark):
+    from mercato.sources import testdata
+    orders = testdata.defective_orders(spark, "/root/testdata/sf0.001")
+    assert "_orderkey" not in orders.columns
+    assert "split" not in clean.rejected_orders(orders)._jdf.queryExecution().optimizedPlan().toString()
