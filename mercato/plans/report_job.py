@@ -22,6 +22,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from mercato.operators import clean, reports
 from mercato.session import cut_lineage, drop_table_files, publish, table_path, written_tables
@@ -91,7 +92,8 @@ def write_reports(results: dict[str, DataFrame], output_path: str, single_file:
     try:
         for name, df in results.items():
             obs = Observation(name)
-            out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+            text = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema if isinstance(f.dataType, NullType)}
+            out = df.withColumns(text).observe(obs, F.count(F.lit(1)).alias("rows"))  # CSV has no columns without a type
             if single_file:
                 out = out.coalesce(1)
             out.write.option("header", "true").csv(f"{staging}/{name}")
