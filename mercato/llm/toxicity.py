@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections import Counter
 from statistics import NormalDist
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.labelled import sample_texts
+from mercato.llm.labelled import by_label, sample_ids, texts_with
 from mercato.llm.words import batches_of, texts_of, word_codes
 
 TRAIN_DOCS = 1200  # per class
@@ -28,7 +29,8 @@ THRESHOLD = 0.3
 WORD, MARK = 32, 16  # longest unit and landmark, in letters
 RUN = 4  # single letters in a row that are read as one word
 GAPS = (1, 2)  # steps between two letters of a longer unit that count as neighbours in a landmark
-BLOCK = 1 << 16  # letters of longer units that are searched at once
+BLOCK = 1 << 14  # letters of longer units that are searched at once
+OCCURRENCES = 1 << 14  # units near a landmark whose values are pooled at once
 
 # ------------------------------------------------------------------ kernel
 
@@ -57,7 +59,7 @@ def subsequence_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ends.sum(axis=(1, 2))
 
 
-def kernels(words: np.ndarray, marks: np.ndarray, lengths: np.ndarray, chunk: int = 4096, cut: bool = False) -> np.ndarray:
+def kernels(words: np.ndarray, marks: np.ndarray, lengths: np.ndarray, chunk: int = 1024, cut: bool = False) -> np.ndarray:
     """subsequence_kernel of row pairs, chunk by chunk, with the words cut to their length class (marks too with cut)."""
     out = np.zeros(len(words), np.float32)
     class_of = np.searchsorted(SIZES, lengths)
@@ -265,7 +267,13 @@ class Sentences:
         if len(at) == 0:
             return at, at, np.zeros((0, len(marks.words)), np.float32)
         starts = np.flatnonzero(np.concatenate(([True], np.diff(self.sentence[at]) > 0)))
-        pooled = np.maximum.reduceat(values[row[self.code[at]]], starts, axis=0)
+        pooled = np.empty((len(starts), len(marks.words)), np.float32)
+        ends, k = np.append(starts[1:], len(at)), 0
+        while k < len(starts):  # whole sentences, about OCCURRENCES units at a time
+            last = max(k + 1, int(np.searchsorted(ends, starts[k] + OCCURRENCES, side="right")))
+            part = at[starts[k]:ends[last - 1]]
+            pooled[k:last] = np.maximum.reduceat(values[row[self.code[part]]], starts[k:last] - starts[k], axis=0)
+            k = last
         return self.sentence[at[starts]], self.text[at[starts]], pooled
 
 
@@ -377,8 +385,8 @@ def pick_landmarks(words: list[str], most: int | None = None) -> list[str]:
 
 def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray, squared_hinge: bool, ridge: float) -> np.ndarray:
     """Weights and bias of a linear SVM (squared hinge) or a logistic fit, by damped Newton steps."""
-    x = np.column_stack((x, np.ones(len(x)))).astype(float)
-    w = np.zeros(x.shape[1])
+    x = np.column_stack((x, np.ones(len(x)))).astype(float, copy=False)
+    w, weighted = np.zeros(x.shape[1]), np.empty_like(x)
     penalty = np.full(len(w), ridge)
     penalty[-1] = ridge / 100
     for _ in range(60):
@@ -389,7 +397,7 @@ def _newton(x: np.ndarray, y: np.ndarray, weight: np.ndarray, squared_hinge: boo
         else:
             p = 1 / (1 + np.exp(np.clip(margin, -30, 30)))
             grad, curve = -weight * y * p, weight * p * (1 - p) + 1e-9
-        step = np.linalg.solve((x * curve[:, None]).T @ x + np.diag(penalty + 1e-9), x.T @ grad + penalty * w)
+        step = np.linalg.solve(np.multiply(x, curve[:, None], out=weighted).T @ x + np.diag(penalty + 1e-9), x.T @ grad + penalty * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -402,8 +410,23 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> d
     Words that tell toxic texts apart, together with their near variants, mark the toxic sentences.
     There are as many as the evidence makes sure, and as many landmarks as their kernel needs. All sentences of clean texts are clean. The SVM is linear on the Nystroem map of the pooled kernel values. Its document
     score, the largest of the sentences, is turned into a probability by a logistic fit.
+
+    The sample is bounded, so one task trains on it; only the chosen ids and the model pass the driver.
     """
-    texts = sample_texts(docs, labels.select("doc_id", F.col("toxic").cast("int").alias("label")), train_docs)
+    names, chosen = sample_ids(labels.select("doc_id", F.col("toxic").cast("int").alias("label")), train_docs)
+
+    def trained(batches):
+        rows = [r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        model = train_texts(by_label(rows, names, chosen))
+        pa.default_memory_pool().release_unused()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    found = texts_with(docs, chosen).repartition(1).mapInArrow(trained, "model binary").collect() if chosen else []
+    return pickle.loads(found[0].model) if found else train_texts({})
+
+
+def train_texts(texts: dict[object, list[str]]) -> dict:
+    """The model of texts by label, 1 and 0."""
     texts = {k: without_copies(texts.get(k, [])) for k in (1, 0)}
     toxic, clean = (Sentences(texts_of(pa.array(texts[k], pa.large_string()))) for k in (1, 0))
     return train_on(toxic, clean)
@@ -450,11 +473,12 @@ def _fit(parts: tuple, marks: Landmarks, marked: np.ndarray) -> dict:
     (own, _, bad), (_, _, good), (_, _, put) = (part.features(marks) for part in parts)
     bad = bad[np.isin(own, marked)]
     plain = np.zeros((max(1, len(good)), len(marks.words)))  # sentences near no landmark
-    x = np.concatenate((bad, put, good, plain)) @ root
+    x = [np.concatenate((bad, put, good, plain)) @ root]
     sizes = [len(bad), len(put), len(good) + len(plain)]
+    del bad, put, good, plain
     y = np.repeat([1.0, 1.0, -1.0], sizes)
     weight = np.repeat([0.25 / max(1, sizes[0]), 0.25 / max(1, sizes[1]), 0.5 / max(1, sizes[2])], sizes) * len(y)
-    w = _newton(x, y, weight, True, 1.0)
+    w = _newton(x.pop(), y, weight, True, 1.0)
     model = {"words": marks.words, "weights": (root @ w[:-1]).tolist(), "bias": float(w[-1])}
     best = [document_scores(part, marks, model) for part in parts]
     sizes = [len(b) for b in best]

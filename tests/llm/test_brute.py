@@ -1,5 +1,6 @@
 """Operators that SQL can't express, against plain versions, and as Spark operators on odd tables."""
 import itertools
+import os
 import random
 import re
 
@@ -9,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercato.llm import language, packing, pii, toxicity
+from mercato.llm.labelled import sample_texts
+from mercato.llm.words import texts_of
 
 ODD = "doc_id long, text string, lang string, source string, label string, score string, spans string, length string"
 ODD_ROWS = [(1, "mail bob@example.org or 10.0.0.1 you idiot", "en", "s", None, "x", None, "1"), (2, None, None, None, None, None, None, None),
@@ -116,6 +119,32 @@ def test_toxicity_on_odd_tables(spark):
     assert len({r.score for r in toxicity.score_toxicity(docs, unlearned).collect()}) == 1
 
 
+def test_toxicity_is_trained_in_a_task(spark, monkeypatch):
+    docs, labels = toxic_tables(spark)
+
+    driver, sentences = os.getpid(), toxicity.Sentences
+
+    def elsewhere(texts):
+        assert os.getpid() != driver, "texts are analysed on the driver"
+        return sentences(texts)
+
+    monkeypatch.setattr(toxicity, "Sentences", elsewhere)
+    model = toxicity.train(docs, labels)
+    monkeypatch.undo()
+    kind = labels.select("doc_id", F.col("toxic").alias("label"))
+    assert model["words"] and model["words"] == toxicity.train_texts(sample_texts(docs, kind, toxicity.TRAIN_DOCS))["words"]
+
+
+def test_values_are_pooled_in_parts(monkeypatch):
+    rng = random.Random(4)
+    marks = toxicity.Landmarks(["idiot", "moron", "imbecile"])
+    texts = [" ".join(rng.choice(["idiot", "idi0t.", "morons", "plain", "word.", "imbeciles!"]) for _ in range(rng.randrange(0, 60))) for _ in range(50)]
+    sentences = toxicity.Sentences(texts_of(pa.array(texts, pa.large_string())))
+    whole = sentences.features(marks)
+    monkeypatch.setattr(toxicity, "OCCURRENCES", 3)
+    assert len(whole[0]) > 100 and all(np.array_equal(a, b) for a, b in zip(whole, sentences.features(marks)))
+
+
 # ------------------------------------------------------------------ language
 
 
