@@ -156,6 +156,18 @@ def test_a_range_is_analysed_in_bounded_memory():
     assert peak < 6 * size
 
 
+def test_ranges_hold_equal_shares_of_anchors():
+    # an anchor's hash is the smallest of 69: by the hashes themselves the lowest range would hold 97 %
+    data = np.random.default_rng(4).integers(97, 123, 300_000).astype(np.uint8)
+    h = repeats.anchors(data, np.array([0, len(data)]))[4]
+    for hashes in (h, np.unique(h >> repeats.COUNTED)):
+        ranges = dict(repeats._by_range(hashes, 20))
+        sizes = [len(k) for k in ranges.values()]
+        assert len(sizes) == 20 and sum(sizes) == len(hashes) and max(sizes) < 1.5 * len(hashes) / 20
+        assert all((np.diff(hashes[k].astype(np.float64)) >= 0).all() for k in ranges.values())
+        assert all(set(hashes[k].tolist()).isdisjoint(hashes[ranges[0]].tolist()) for r, k in ranges.items() if r)
+
+
 def test_interval_tree_of_a_known_array():
     # suffixes of one string at which "aXXX" occurs 3 times, "aXXXb" twice: lcp 4 and 5
     lost, found = repeats.interval_tree([0, 4, 5, 0], [2, 0, 1, 3], [-1, 7, 7, 7], 4)
