@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.llm.words import batches_of
 from mercato.session import cut_lineage, write_table
 
 WHITE = " \t\n\v\f\r"
 MIN_CHARS = 10
+BATCH_BYTES = 1 << 20  # of documents whose lines are hashed at a time: a line's tuple takes several times its bytes
 LAST = (1 << 63) - 1  # stands for a null doc_id: it comes after all others
 
 
@@ -27,7 +29,7 @@ def _key(text: str) -> tuple[int, bytes]:
 
 def _hash_lines(batches, min_chars: int):
     """Document batches -> (hi, lo, doc, version, pos) of every line that is long enough."""
-    for batch in batches:
+    for batch in batches_of(batches, BATCH_BYTES):
         out: list[tuple] = []
         docs, texts, versions = (batch.column(i).to_pylist() for i in range(3))
         for doc, text, version in zip(docs, texts, versions):
@@ -129,10 +131,14 @@ def line_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(row struct, text with the kept lines, n_dropped) for every row of docs; see line_bitmaps."""
+    """(row struct, text with the kept lines, n_dropped) for every row of docs; see line_bitmaps.
+
+    The texts stream past a hash table of their partition's bitmaps: they are not sorted, and the bitmaps'
+    Python worker is done before that of the texts begins.
+    """
     maps = line_bitmaps(docs, min_chars)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce("doc_id", F.lit(LAST)).alias("doc"),
                        _version().alias("version"))
-    return (rows.join(maps, ["doc", "version"], "left")
+    return (rows.join(maps.hint("shuffle_hash"), ["doc", "version"], "left")
             .select("row", _kept_texts(F.col("row.text"), "bitmap").alias("kept_text"),
                     F.coalesce("n_dropped", F.lit(0)).alias("n_dropped")))

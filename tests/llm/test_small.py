@@ -42,6 +42,24 @@ def test_lines_keep_the_smallest_document(docs):
     assert got[None] == ("", 1) and got[3] == (None, 0)
 
 
+def test_texts_are_not_sorted_to_meet_their_bitmaps(spark, docs):
+    rows = line_dedup.without_repeated_lines(docs)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_lines_of_cut_batches(docs, monkeypatch):
+    import pyarrow as pa
+
+    table = pa.table({"doc": [1, 2, 3], "text": ["a line that is long\nshort", None, "x" * 40 + "\n" + "A LINE that is long "], "version": [7, 8, 9]})
+    whole = [r for b in line_dedup._hash_lines(table.to_batches(), 10) for r in b.to_pylist()]
+    monkeypatch.setattr(line_dedup, "BATCH_BYTES", 30)
+    parts = list(line_dedup._hash_lines(table.to_batches(), 10))
+    assert len(parts) == 3 and [r for b in parts for r in b.to_pylist()] == whole
+    assert [(r["doc"], r["version"], r["pos"]) for r in whole] == [(1, 7, 0), (3, 9, 0), (3, 9, 1)]
+    assert (whole[0]["hi"], whole[0]["lo"]) == (whole[2]["hi"], whole[2]["lo"])
+
+
 def test_mix_comes_near_the_targets(spark):
     rng = random.Random(4)
     rows = [(k, "w " * rng.randrange(0, 60), rng.choice(["a", "a", "a", "b", "c", None]), "", 0) for k in range(4000)]
